@@ -255,13 +255,14 @@ def extraction_summary(records: DataFrame, success: str = "scrape_success") -> D
 
 
 def tagging_report(reviews: DataFrame, k: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(sentiment counts with whole percentages, most frequent topics) of a tagging run."""
+    """(sentiment counts with whole percentages, most frequent topics) of a tagging run.
+
+    Expects reviews tagged with ``keep_topics=True``: topics count for every sentiment.
+    """
     split = sentiment_split(reviews).withColumn(
         "pct", F.floor(F.col("n") * 100 / F.greatest("total", F.lit(1)))
     )
-    # complaints and praise of a review never overlap, so their union is the topic list kept for it
-    kept = reviews.select(F.concat("complaint_categories", "praise_categories").alias("topics"))
-    return split, tag_frequency(kept, "topics", k=k)
+    return split, tag_frequency(reviews, "topics", k=k)
 
 
 def any_tag(complaints: Column | str = "complaint_categories", praises: Column | str = "praise_categories") -> Column:

@@ -54,13 +54,13 @@ def fold_batch(
     """One row per key of a batch.
 
     ``f_<col>`` and ``l_<col>`` are the values of the first and of the last row,
-    ``c_<col>`` the last non-null value. Buffers hold one row per key and the
-    aggregate combines before the shuffle.
+    ``c_<col>`` the last non-null value. ``seq`` must be unique within a key.
+    Buffers hold one row per key and the aggregate combines before the shuffle.
     """
     values = [c for c in incoming.columns if c not in key and c != seq]
-    first = [c for c in values]
     overwrite = [c for c in values if policy.get(c, INSERT_ONLY) == OVERWRITE]
     keep = [c for c in values if policy.get(c, INSERT_ONLY) == COALESCE]
+    first = [c for c in values if c not in overwrite]
     aggs = [F.count(F.lit(1)).alias("_rows")]
     if first:
         aggs.append(F.min_by(F.struct(*first), F.col(seq)).alias("_first"))
@@ -72,7 +72,7 @@ def fold_batch(
     folded = incoming.groupBy(*key).agg(*aggs)
     return folded.select(
         *key, "_rows",
-        *[F.col(f"_first.{c}").alias(f"f_{c}") for c in values if c not in overwrite and c not in keep],
+        *[F.col(f"_first.{c}").alias(f"f_{c}") for c in first],
         *[F.col(f"_last.{c}").alias(f"l_{c}") for c in overwrite],
         *[F.col(f"c_{c}") for c in keep],
     )
@@ -114,7 +114,7 @@ def upsert(
         elif policy.get(c, INSERT_ONLY) == OVERWRITE:
             out.append(F.when(touched, F.col(f"l_{c}")).otherwise(F.col(c)).alias(c))
         elif policy.get(c, INSERT_ONLY) == COALESCE:
-            out.append(F.coalesce(F.col(f"c_{c}"), F.col(c)).alias(c))
+            out.append(F.coalesce(F.col(f"c_{c}"), F.col(c), F.col(f"f_{c}")).alias(c))
         else:
             out.append(F.when(stored, F.col(c)).otherwise(F.col(f"f_{c}")).alias(c))
     if action:

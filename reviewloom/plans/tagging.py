@@ -23,6 +23,7 @@ def tag_reviews(
     positive: Sequence[str] | None = None,
     negative: Sequence[str] | None = None,
     version: str = "v2",
+    keep_topics: bool = False,
 ) -> DataFrame:
     """Add sentiment, sentiment_confidence, complaint/praise categories and the model label."""
     if version not in ("v1", "v2"):
@@ -55,6 +56,7 @@ def tag_reviews(
         tg.route_complaints(F.col("sentiment"), F.col("_topics"), version).alias("complaint_categories"),
         tg.route_praises(F.col("sentiment"), F.col("_topics"), version).alias("praise_categories"),
         F.lit(lx.MODEL_TAGGED).alias("analysis_model"),
+        *([F.col("_topics").alias("topics")] if keep_topics else []),
     )
 
 
