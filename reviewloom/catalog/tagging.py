@@ -39,7 +39,8 @@ def d01(spark, sf):
     texts=b.TEXTS))
 def d02(spark, sf):
     docs = b.texts(spark, sf).withColumn("low", tg.lowered("review_text"))
-    return docs.select("id", b.joined_text(tg.topic_array("low", {**lx.REVIEW_TOPICS, **b.CORPUS_TOPICS})).alias("topics"))
+    found = tg.lexicon_evidence("low", {**lx.REVIEW_TOPICS, **b.CORPUS_TOPICS})
+    return docs.select("id", b.joined_text(found["topics"]).alias("topics"))
 
 
 @query("d03_sentiment_first_tagger", _tag_sql(
@@ -76,6 +77,11 @@ def d06(spark, sf):
     return _show(plan.tag_reviews(b.texts(spark, sf), **b.CORPUS))
 
 
+@query("d06_tagging_native_engine", _tag_sql(b.CORPUS_TOPICS, b.CORPUS_POSITIVE, b.CORPUS_NEGATIVE))
+def d06_native(spark, sf):
+    return _show(plan.tag_reviews(b.texts(spark, sf), engine="native", **b.CORPUS))
+
+
 @query("d06_tagging_default_lexicon", _tag_sql(lx.REVIEW_TOPICS, lx.POSITIVE_WORDS, lx.NEGATIVE_WORDS))
 def d06_default(spark, sf):
     return _show(plan.tag_reviews(b.texts(spark, sf)))

