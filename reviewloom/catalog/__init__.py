@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["tagging"]
+_FAMILIES = ["tagging", "dashboard"]
 
 
 def _load():
