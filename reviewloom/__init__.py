@@ -1,5 +1,5 @@
 """Vendor and review analytics on Spark."""
 
-from reviewloom.session import build_session
+from reviewloom.session import build_session, materialize
 
-__all__ = ["build_session"]
+__all__ = ["build_session", "materialize"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["tagging", "dashboard"]
+_FAMILIES = ["tagging", "dashboard", "keyed", "health"]
 
 
 def _load():

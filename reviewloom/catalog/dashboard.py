@@ -13,6 +13,7 @@ from reviewloom.operators import selects as se
 from reviewloom.operators.dedup import top_by_key
 from reviewloom.plans import dashboard as dash
 from reviewloom.plans import tagging as plan
+from reviewloom.session import materialize
 
 V, R, T, LI = b.VENDORS, b.REVIEWS, b.TEXTS, b.LISTINGS
 
@@ -524,9 +525,8 @@ def j09(spark, sf):
     return audits.sentiment_distribution(b.reviews(spark, sf))
 
 
-@query("j10_orphan_reviews", with_ctes("""SELECT user_id AS vendor_id, count(*) AS n FROM events WHERE user_id NOT IN
-    (SELECT s_suppkey FROM supplier) GROUP BY 1"""
-    .replace("WITH ", ""), dummy="SELECT 1"))
+@query("j10_orphan_reviews", """SELECT user_id AS vendor_id, count(*) AS n FROM events WHERE user_id NOT IN
+    (SELECT s_suppkey FROM supplier) GROUP BY 1""")
 def j10a(spark, sf):
     child = b.table(spark, sf, "events").select(F.col("user_id").alias("vendor_id"))
     lost = audits.orphans(child, b.table(spark, sf, "supplier"), "vendor_id", "s_suppkey")
@@ -540,9 +540,9 @@ def j10b(spark, sf):
 
 @query("j10_review_violations", with_ctes("""SELECT 'unique_review_key' AS check, count(*) AS violations FROM (SELECT source, source_review_id FROM texts
     GROUP BY 1, 2 HAVING count(*) > 1) UNION ALL SELECT 'vendor_exists', count(*) FROM texts WHERE vendor_id NOT IN (SELECT id FROM vendors)
-    UNION ALL SELECT 'sentiment_label', count(*) FROM texts WHERE lang_label NOT IN ('', 'positive', 'neutral', 'negative')
-    UNION ALL SELECT 'text_present', count(*) FROM texts WHERE review_text IS NULL""".replace(
-    "lang_label", "CASE rating WHEN 5 THEN 'positive' WHEN 1 THEN 'bad' ELSE '' END"), texts=T, vendors=V))
+    UNION ALL SELECT 'sentiment_label', count(*) FROM texts WHERE CASE rating WHEN 5 THEN 'positive' WHEN 1 THEN 'bad' ELSE '' END
+      NOT IN ('', 'positive', 'neutral', 'negative')
+    UNION ALL SELECT 'text_present', count(*) FROM texts WHERE review_text IS NULL""", texts=T, vendors=V))
 def j10c(spark, sf):
     label = F.when(F.col("rating") == 5, "positive").when(F.col("rating") == 1, "bad").otherwise("")
     return audits.review_violations(b.texts(spark, sf).withColumn("sentiment", label), b.vendors(spark, sf))
@@ -598,7 +598,7 @@ _RATING_TEXT = "CASE WHEN avg_rating = 0 THEN 'N/A' ELSE CAST(avg_rating AS VARC
 
 @query("l01_top_complaint", with_ctes(_TOP, **_L))
 def l01(spark, sf):
-    t = plan.flag_vendor_replies(tagged(spark, sf))
+    t = materialize(dash.slim(plan.flag_vendor_replies(tagged(spark, sf))))
     return insights.top_complaint(ru.tag_frequency(t, "complaint_categories", ru.complaint_filter()), ru.sentiment_split(t))
 
 
@@ -651,7 +651,7 @@ def l06(spark, sf):
                                      _spot("djs", 6, _RATING_TEXT), _spot("planners", 7, "coverage_pct"))),
     **_L, categories=_roll_cte("category"), states=_roll_cte("state")))
 def l07(spark, sf):
-    t = plan.flag_vendor_replies(tagged(spark, sf))
+    t = materialize(dash.slim(plan.flag_vendor_replies(tagged(spark, sf))))
     v = b.vendors(spark, sf)
     return insights.all_insights(
         ru.tag_frequency(t, "complaint_categories", ru.complaint_filter()),

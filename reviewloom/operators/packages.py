@@ -42,9 +42,9 @@ def merge_packages(first: DataFrame, direct: DataFrame, seq: str = "seq") -> Dat
     """Packages of both sources, one per row: the last first-source record's list, then every direct list."""
     newest = first.groupBy("name").agg(F.max_by("packages", F.col(seq)).alias("packages"))
     parts = [
-        newest.select("name", F.lit(0).alias("source_rank"), F.lit(0).cast("bigint").alias("record_no"),
+        newest.select("name", F.lit(0).alias("source_rank"), F.lit("").alias("record"),
                       F.posexplode("packages").alias("position", "package")),
-        direct.select("name", F.lit(1).alias("source_rank"), F.col(seq).cast("bigint").alias("record_no"),
+        direct.select("name", F.lit(1).alias("source_rank"), F.col(seq).cast("string").alias("record"),
                       F.posexplode("packages").alias("position", "package")),
     ]
     return parts[0].unionByName(parts[1])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reviewloom import lexicons as lx
 from reviewloom.functions.scalars import col_of, star_label
 from reviewloom.functions.tagging import blank
-from reviewloom.operators.selects import filled, text_longer, vendors_with_totals
+from reviewloom.operators.selects import filled, text_chars, vendors_with_totals
 
 
 def share(part: Column, whole: Column, digits: int | None = None) -> Column:
@@ -38,7 +38,7 @@ def review_kpis(reviews: DataFrame, min_text: int = 50) -> DataFrame:
     r = F.col("rating").cast("decimal(12,2)")
     return reviews.agg(
         F.count(F.lit(1)).alias("total_reviews"),
-        F.count_if(text_longer("review_text", min_text)).alias("with_text"),
+        F.count_if(text_chars(reviews) > min_text).alias("with_text"),
         F.count_distinct("vendor_id").alias("vendors_with_reviews"),
         mean_of(F.sum(r), F.count("rating")).alias("avg_rating"),
         F.min("rating").cast("double").alias("min_rating"),
@@ -67,7 +67,7 @@ def contact_by_source(vendors: DataFrame) -> DataFrame:
 def coverage_rollup(vendors: DataFrame, reviews: DataFrame, by: str = "category", min_text: int = 20) -> DataFrame:
     """Per group: vendors, reviews, mean rating and the share of vendors with a review."""
     counted = vendors_with_totals(
-        vendors.filter(filled(by)).select("id", by), reviews, text_longer("review_text", min_text)
+        vendors.filter(filled(by)).select("id", by), reviews, text_chars(reviews) > min_text
     )
     return (
         counted.groupBy(by)
@@ -176,7 +176,7 @@ def best_rated(
 ) -> DataFrame:
     """Highly rated vendors with enough stored reviews of substance."""
     stored = (
-        reviews.filter(text_longer("review_text", min_text))
+        reviews.filter(text_chars(reviews) > min_text)
         .groupBy("vendor_id")
         .agg(F.count(F.lit(1)).alias("stored"))
         .filter(F.col("stored") >= min_stored)
@@ -215,7 +215,7 @@ def claimed_total(vendors: DataFrame) -> DataFrame:
 def text_by_source(reviews: DataFrame, min_text: int = 50) -> DataFrame:
     return reviews.groupBy("source").agg(
         F.count(F.lit(1)).alias("reviews"),
-        F.count_if(text_longer("review_text", min_text)).alias("with_text"),
+        F.count_if(text_chars(reviews) > min_text).alias("with_text"),
         F.count_distinct("vendor_id").alias("vendors"),
     )
 

@@ -16,6 +16,11 @@ def text_longer(c: Column | str, n: int) -> Column:
     return F.length(col_of(c)) > n
 
 
+def text_chars(df: DataFrame) -> Column:
+    """Review text length: the stored ``text_chars`` where a table has it, so the text itself is not read."""
+    return F.col("text_chars") if "text_chars" in df.columns else F.length("review_text")
+
+
 def text_between(c: Column | str, low: int, high: int, banned: Sequence[str] = ()) -> Column:
     """Review-like block: length strictly inside the bounds and no banned word."""
     t = col_of(c)

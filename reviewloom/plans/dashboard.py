@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewloom.operators import insights
 from reviewloom.operators import rollups as ru
 from reviewloom.operators.selects import vendor_card
+from reviewloom.session import materialize
 from reviewloom.sources.sinks import dashboard_document
 
 
@@ -37,5 +38,15 @@ def sections(vendors: DataFrame, reviews: DataFrame, source: str | None = None)
     }
 
 
+def slim(reviews: DataFrame) -> DataFrame:
+    """The columns the dashboard needs, with the text reduced to its length."""
+    return reviews.select(
+        "id", "vendor_id", "source", F.length("review_text").alias("text_chars"), "rating", "sentiment",
+        "complaint_categories", "praise_categories", "is_vendor_reply",
+    )
+
+
 def document(vendors: DataFrame, reviews: DataFrame, source: str | None = None) -> DataFrame:
-    return dashboard_document(sections(vendors, reviews, source), single=("vendor_kpis", "review_kpis"))
+    """The dashboard as one JSON object; reviews are tagged and scanned once, then re-read without text."""
+    stored = materialize(slim(reviews), "dashboard_reviews")
+    return dashboard_document(sections(vendors, stored, source), single=("vendor_kpis", "review_kpis"))

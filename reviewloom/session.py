@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed shuffle partitions of joins and coalesces small ones, so the
 # shuffle partition count is an upper bound and not a tuning knob per query.
@@ -27,14 +29,27 @@ def build_session(app_name: str = "reviewloom", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Shared checkpoint folder of the cluster; ``fallback`` is only used where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+def shared_dir(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
+
+    Where it is unset (a local session, a test) a fresh local folder stands in.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if configured:
         return configured
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set; name a shared folder")
-    os.makedirs(fallback, exist_ok=True)
-    return fallback
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+    folder = os.path.join(tempfile.gettempdir(), f"reviewloom-{spark.sparkContext.applicationId}")
+    os.makedirs(folder, exist_ok=True)
+    return folder
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a frame used by several jobs once and read it back.
+
+    The written table survives lost executors, cuts the lineage and keeps column
+    pruning, which a cached or checkpointed frame does not.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
