@@ -100,7 +100,7 @@ def card_texts(
     html: Column | str, words: Sequence[str] = tuple(lx.CARD_CLASS_WORDS), first: int = 20, max_len: int = 500
 ) -> Column:
     """Short texts of elements whose class mentions packages or pricing, the first twenty."""
-    pattern = r'(?s)<(?:\w+)[^>]*class="[^"]*(?:' + "|".join(words) + r')[^"]*"[^>]*>([^<]*)<'
+    pattern = r'(?s)<(?:\w+)[^>]*class="[^"]*(?:' + "|".join(words) + r')[^"]*"[^>]*>([^<]*)(?=<)'
     texts = F.transform(all_matches(html, pattern), lambda t: F.trim(t))
     return F.slice(F.filter(texts, lambda t: (F.length(t) > 0) & (F.length(t) < max_len)), 1, first)
 

@@ -23,8 +23,14 @@ def _hits(text: str, words: list[str]) -> str:
 
 
 def definitions() -> dict[str, str]:
-    """Function name to ``(arguments) RETURNS type RETURN expression``."""
-    t = "lower(coalesce(t, ''))"
+    """Function name to ``(arguments) RETURNS type RETURN expression``.
+
+    The ``_low`` functions take lower-cased text, so each text is lower-cased once
+    and not once per word.
+    """
+    t, low = "t", "lower(coalesce(t, ''))"
+    dated = r"r'([A-Z][a-z]+)\s+(\d+),\s*(\d{4})'"
+    month, day, year = (f"regexp_extract(t, {dated}, {i})" for i in (1, 2, 3))
     topics = ", ".join(f"CASE WHEN {_any(t, words)} THEN {_lit(name)} END" for name, words in lx.REVIEW_TOPICS.items())
     signal = "CASE WHEN r >= 4.5 THEN 3 WHEN r >= 4 THEN 2 WHEN r >= 3 THEN 0 WHEN r >= 2 THEN -2 WHEN r >= 1 THEN -3 ELSE 0 END"
     score = f"sign({signal} + {_hits(t, lx.POSITIVE_WORDS)} - {_hits(t, lx.NEGATIVE_WORDS)})"
@@ -35,20 +41,22 @@ def definitions() -> dict[str, str]:
     )
     lo, mid = lx.TIER_THRESHOLDS[lx.DEFAULT_TIER_CATEGORY]
     return {
-        "review_topics": f"(t STRING) RETURNS ARRAY<STRING> RETURN array_compact(array({topics}))",
-        "review_sentiment": "(t STRING, r DOUBLE) RETURNS STRING RETURN "
-                            f"CASE {score} WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
-        "vendor_reply": "(t STRING) RETURNS BOOLEAN RETURN "
-                        f"{_any('left(lower(coalesce(t, chr(0))), 200)', lx.REPLY_PHRASES)} OR "
-                        f"(({' OR '.join(f'startswith({t}, {_lit(g)})' for g in lx.REPLY_GREETINGS)}) AND "
-                        f"{_any('left(lower(coalesce(t, chr(0))), 150)', lx.REPLY_COURTESIES)})",
+        "review_topics_low": f"(t STRING) RETURNS ARRAY<STRING> RETURN array_compact(array({topics}))",
+        "review_topics": f"(t STRING) RETURNS ARRAY<STRING> RETURN review_topics_low({low})",
+        "review_sentiment_low": "(t STRING, r DOUBLE) RETURNS STRING RETURN "
+                                f"CASE {score} WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
+        "review_sentiment": f"(t STRING, r DOUBLE) RETURNS STRING RETURN review_sentiment_low({low}, r)",
+        "vendor_reply_low": f"(t STRING) RETURNS BOOLEAN RETURN {_any('t', lx.REPLY_PHRASES)} OR "
+                            f"(({' OR '.join(f'startswith(t, {_lit(g)})' for g in lx.REPLY_GREETINGS)}) AND "
+                            f"{_any('left(t, 150)', lx.REPLY_COURTESIES)})",
+        "vendor_reply": "(t STRING) RETURNS BOOLEAN RETURN vendor_reply_low(left(lower(left(coalesce(t, ''), 200)), 200))",
         "parse_price": "(t STRING) RETURNS DOUBLE RETURN try_cast(replace(regexp_extract("
                        "replace(replace(replace(lower(t), 'starting at', ''), 'from', ''), 'starting price', ''), "
                        r"r'\d+[,\d]*\.?\d*', 0), ',', '') AS DOUBLE)",
         "price_tier": f"(c STRING, a DOUBLE, m DOUBLE) RETURNS STRING RETURN CASE WHEN {p} IS NULL THEN 'unknown' "
                       f"{tier} WHEN {p} < {lo} THEN 'budget' WHEN {p} < {mid} THEN 'mid' ELSE 'premium' END",
         "parse_review_date": "(t STRING) RETURNS DATE RETURN coalesce("
-                             r"try_to_date(nullif(regexp_extract(t, r'([A-Z][a-z]{2}\s+\d+,\s*\d{4})', 1), ''), 'MMM d, yyyy'), "
+                             f"CASE WHEN length({month}) = 3 THEN try_to_date(concat({month}, ' ', {day}, ', ', {year}), 'MMM d, yyyy') END, "
                              r"try_cast(regexp_extract(t, r'\d{4}-\d{2}-\d{2}', 0) AS DATE))",
     }
 

@@ -48,22 +48,23 @@ def with_file_path(df: DataFrame) -> DataFrame:
 
 
 def read_package_files(
-    spark: SparkSession, packages: str, direct: str, websites: str
+    spark: SparkSession, packages: str, direct: str, websites: str, lines: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three package sources in one shape each, with ``seq`` as reading order.
 
-    Files are read in name order; the website source is an object keyed by vendor name.
+    Files are read in name order; the website source is an object keyed by vendor
+    name. A file is one JSON document, or with ``lines`` one document per line,
+    which lets Spark split large files.
     """
-    seq = F.struct("file_path", "_pos")
-    first = read_with_position(spark, packages, schemas.PACKAGE_FILE)
+    first = read_elements(spark, packages, schemas.PACKAGE_FILE, lines)
     found = F.when(F.size("prices_found") > 0, F.col("prices_found")).otherwise(F.col("starting_prices_raw"))
     first = first.select(
         F.coalesce("name", F.lit("")).alias("name"),
         F.coalesce("packages", F.array()).alias("packages"),
         F.coalesce(found, F.array()).alias("prices_found"),
-        seq.alias("seq"),
+        "seq",
     )
-    probe = read_with_position(spark, direct, schemas.DIRECT_PACKAGE_FILE).select(
+    probe = read_elements(spark, direct, schemas.DIRECT_PACKAGE_FILE, lines).select(
         F.coalesce("name", F.lit("")).alias("name"),
         F.coalesce("packages", F.array()).alias("packages"),
         F.coalesce("prices_clean", F.array()).alias("prices_clean"),
@@ -72,27 +73,33 @@ def read_package_files(
         F.coalesce("description", F.lit("")).alias("description"),
         F.coalesce("pages_ok", F.lit(0)).alias("pages_ok"),
         F.coalesce("url", F.lit("")).alias("website_url"),
-        seq.alias("seq"),
+        "seq",
     )
     if path_exists(spark, websites):
-        raw = spark.read.text(websites, wholetext=True).select("value", F.col("_metadata.file_path").alias("file_path"))
-        sites = raw.select(
-            "file_path", F.posexplode(F.from_json("value", f"MAP<STRING, {schemas.WEBSITE_ENTRY}>")).alias("_pos", "name", "v")
-        ).select("name", "v.phone", "v.website_url", seq.alias("seq"))
+        entries = F.from_json("value", f"MAP<STRING, {schemas.WEBSITE_ENTRY}>")
+        sites = _documents(spark, websites, lines).select("_file", "_line", F.posexplode(entries).alias("_pos", "name", "v"))
+        sites = sites.select("name", "v.phone", "v.website_url", F.struct("_file", "_line", "_pos").alias("seq"))
     else:
-        sites = spark.createDataFrame(
-            [], "name STRING, phone STRING, website_url STRING, seq STRUCT<file_path: STRING, _pos: INT>"
-        )
+        sites = spark.createDataFrame([], f"name STRING, phone STRING, website_url STRING, seq {_SEQ_TYPE}")
     return first, probe, sites
 
 
-def read_with_position(spark: SparkSession, pattern: str, element: str) -> DataFrame:
-    """Elements of JSON array files with their file and position."""
+_SEQ_TYPE = "STRUCT<_file: STRING, _line: BIGINT, _pos: INT>"
+
+
+def _documents(spark: SparkSession, pattern: str, lines: bool) -> DataFrame:
+    """JSON documents with their file and, for line files, a number that grows along the file."""
+    raw = spark.read.text(pattern, wholetext=not lines)
+    return raw.select("value", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+
+
+def read_elements(spark: SparkSession, pattern: str, element: str, lines: bool = False) -> DataFrame:
+    """Elements of JSON arrays with their reading order."""
     if not path_exists(spark, pattern):
-        return spark.createDataFrame([], f"{element}, file_path STRING, _pos INT")
-    raw = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("file_path"))
-    rows = raw.select("file_path", F.posexplode(F.from_json("value", f"ARRAY<STRUCT<{_fields(element)}>>")).alias("_pos", "e"))
-    return rows.select("e.*", "file_path", "_pos")
+        return spark.createDataFrame([], f"{element}, seq {_SEQ_TYPE}")
+    elements = F.from_json("value", f"ARRAY<STRUCT<{_fields(element)}>>")
+    rows = _documents(spark, pattern, lines).select("_file", "_line", F.posexplode(elements).alias("_pos", "e"))
+    return rows.select("e.*", F.struct("_file", "_line", "_pos").alias("seq"))
 
 
 def _fields(ddl: str) -> str:
