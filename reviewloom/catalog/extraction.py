@@ -15,6 +15,7 @@ from reviewloom.catalog.bindings import query, with_ctes
 from reviewloom.functions import markup as mk
 from reviewloom.functions import payloads as pl
 from reviewloom.functions import review_text as rt
+from reviewloom.session import spread_small
 
 # ---- JSON-LD --------------------------------------------------------------
 
@@ -85,7 +86,7 @@ _DETAIL = """named_struct('id', CAST(id AS STRING), 'vendorId', source_vendor_id
   'pricing', named_struct('noSeason', CASE WHEN star_rating > 3 THEN named_struct('min', named_struct('value', starting_price_min), 'average', named_struct('value', starting_price_avg)) END,
     'peak', named_struct('min', named_struct('value', id), 'average', named_struct('value', id + 1))),
   'startingPriceRange', concat('$', review_count + 100, '-$2,000'), 'reviewSummary', named_struct('count', 0, 'overallRating', star_rating), 'reviewsCount', review_count,
-  'description', repeat(name, 400), 'adTier', 'GOLD',
+  'description', repeat(name, 300), 'adTier', 'GOLD',
   'deals', named_struct('items', array(named_struct('description', repeat('d', 250)), named_struct('description', ''), named_struct('description', category))),
   'socialMedia', array(named_struct('code', 'FBURL', 'value', 'f1'), named_struct('code', 'MY_FACEBOOK', 'value', category), named_struct('code', 'INSTAGRAM', 'value', state)),
   'awards', array(named_struct('name', source)), 'orgDetails', named_struct('startYear', id, 'totalMembers', 3))"""
@@ -94,12 +95,12 @@ _DETAIL = """named_struct('id', CAST(id AS STRING), 'vendorId', source_vendor_id
 def _detail(spark, sf):
     raw, plain = _DETAIL.format(name="CASE WHEN id > 300 THEN name ELSE '' END"), _DETAIL.format(name="concat('plain ', name)")
     payload = F.expr(f"to_json(named_struct('vendor', named_struct('vendorRaw', {raw}, 'vendor', {plain})))")
-    return pl.detail_vendors(b.vendors(spark, sf).select("id", payload.alias("payload")), "payload", "id")
+    return pl.detail_vendors(spread_small(b.vendors(spark, sf)).select("id", payload.alias("payload")), "payload", "id")
 
 
 @query("b05_detail_vendors", with_ctes("""SELECT id, source_vendor_id AS vendor_id, CASE WHEN id > 300 THEN name ELSE concat('plain ', name) END AS name,
     coalesce(nullif(email, ''), 'fallback@x.test') AS email, coalesce(nullif(website_url, ''), 'shown.test') AS website_url, city, state, source AS service_area,
-    coalesce(CAST(review_count AS BIGINT), 0) AS review_count, CAST(star_rating AS DOUBLE) AS star_rating, length(left(repeat(name, 400), 5000)) AS description_length,
+    coalesce(CAST(review_count AS BIGINT), 0) AS review_count, CAST(star_rating AS DOUBLE) AS star_rating, length(left(repeat(name, 300), 5000)) AS description_length,
     'GOLD' AS ad_tier, CAST(id AS INT) AS year_founded, true AS scrape_success FROM vendors""", vendors=b.VENDORS))
 def b05(spark, sf):
     return _detail(spark, sf).select(
@@ -194,7 +195,7 @@ def _review_pages(spark, sf):
           named_struct('name', 'time', 'value', 4), named_struct('name', 'price', 'value', 4)),
         'reviewer', named_struct('firstName', o_orderpriority, 'lastName', CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'Doe' END, 'email', 'hidden@x.test')),
       named_struct('id', concat('s', o_orderkey), 'createdAt', '', 'comment', named_struct('content', 'short'), 'ratings', NULL, 'reviewer', NULL)))))""")
-    return b.table(spark, sf, "orders").select(payload.alias("payload"))
+    return spread_small(b.table(spark, sf, "orders")).select(payload.alias("payload"))
 
 
 _SUB = "CAST(left(o_orderpriority, 1) AS INT)"
@@ -235,21 +236,21 @@ _CUT = rt.HEADER.replace("\\", "\\")
     SELECT doc_id, string_split(regexp_replace(blob, '{rt.HEADER}', chr(1) || '\1', 'g'), chr(1)) AS parts FROM blobs) WHERE len(parts) > 1)) WHERE i > 1) WHERE length(body) > 30""",
     blobs=f"SELECT doc_id, {_BLOB} AS blob FROM documents"))
 def b16(spark, sf):
-    blobs = b.table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.expr(_BLOB).alias("text"))
+    blobs = spread_small(b.table(spark, sf, "documents").filter("lang = 'en'")).select("doc_id", F.expr(_BLOB).alias("text"))
     rows = rt.split_reviews(blobs, ["doc_id"])
     return rows.select("doc_id", F.col("position").cast("bigint").alias("position"), "reviewer", "rating", F.md5("body").alias("body"))
 
 
 @query("b16_review_dates_near_header", """SELECT doc_id, DATE '2024-03-03' AS review_date FROM documents WHERE lang = 'en'""")
 def b16b(spark, sf):
-    blobs = b.table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.expr(_BLOB).alias("text"))
+    blobs = spread_small(b.table(spark, sf, "documents").filter("lang = 'en'")).select("doc_id", F.expr(_BLOB).alias("text"))
     return rt.split_reviews(blobs, ["doc_id"], min_body=0).filter("position = 0").select("doc_id", "review_date")
 
 
 @query("b17_blob_without_header", r"""SELECT doc_id, coalesce(nullif(regexp_replace(trim(regexp_extract(text, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', ''), ''), 'Anonymous') AS reviewer,
     md5(left(text, 2000)) AS body FROM documents WHERE length(text) > 80 AND length(text) < 3000""")
 def b17(spark, sf):
-    rows = rt.split_reviews(b.table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
+    rows = rt.split_reviews(spread_small(b.table(spark, sf, "documents").select("doc_id", "text")), ["doc_id"])
     return rows.select("doc_id", "reviewer", F.md5("body").alias("body"))
 
 

@@ -162,7 +162,9 @@ def deal_texts(items: Column | str, width: int = 200) -> Column:
 def detail_vendors(payloads: DataFrame, payload: str = "payload", *keep: str) -> DataFrame:
     """Vendor rows of a detail state: the raw record when it has a name, else the plain one."""
     parsed = payloads.select(*keep, F.from_json(payload, DETAIL_STATE)["vendor"].alias("d"))
-    chosen = parsed.filter(F.col("d").isNotNull()).select(
+    # No filter on the parsed column: it would be pushed below and parse twice. A
+    # payload without a vendor gives a row with scrape_success = false.
+    chosen = parsed.select(
         *keep,
         F.when(F.coalesce(F.col("d.vendorRaw.name"), F.lit("")) != "", F.col("d.vendorRaw"))
         .otherwise(F.col("d.vendor")).alias("s"),
@@ -220,13 +222,14 @@ def next_data_vendors(
     ``first_path_only`` uses the second list only when the first is empty and
     never the third, as the pricing reader does.
     """
-    page = F.from_json(payload, NEXT_DATA)["props"]["pageProps"]
+    parsed = payloads.select(*key, F.from_json(payload, NEXT_DATA).alias("_p"))
+    page = F.col("_p.props.pageProps")
     nothing = F.array().cast(f"array<{' '.join(_NEXT_VENDOR.split())}>")
     one = F.coalesce(page["searchResults"]["vendors"], nothing)
     two = F.coalesce(page["vendorSearchData"]["vendorSearch"]["vendors"], nothing)
     three = F.coalesce(page["adjacentVendors"], nothing)
     combined = F.when(F.size(one) > 0, one).otherwise(two) if first_path_only else F.concat(one, two, three)
-    rows = payloads.select(*key, F.posexplode(combined).alias("position", "v")).withColumn(
+    rows = parsed.select(*key, F.posexplode(combined).alias("position", "v")).withColumn(
         "vendor_id", first_filled("v.id", "v.vendorId", "v.slug")
     )
     kept = first_by_key(rows, [*key, "vendor_id"], ["position"])
@@ -274,8 +277,8 @@ def rating_map(ratings: Column | str) -> Column:
 
 def review_nodes(payloads: DataFrame, keep: Sequence[str], payload: str = "payload", min_text: int = 10) -> DataFrame:
     """Review rows of landed review-service pages. Reviewer e-mail is not carried."""
-    page = F.from_json(payload, REVIEW_PAGE)["reviews"]
-    nodes = payloads.select(*keep, page["totalCount"].alias("total_count"), F.explode(page["nodes"]).alias("n"))
+    page = payloads.select(*keep, F.from_json(payload, REVIEW_PAGE).alias("_p"))
+    nodes = page.select(*keep, F.col("_p.reviews.totalCount").alias("total_count"), F.explode("_p.reviews.nodes").alias("n"))
     name = F.trim(F.concat_ws(" ", F.col("n.reviewer.firstName"), F.col("n.reviewer.lastName")))
     rows = nodes.select(
         *keep, "total_count",

@@ -1,6 +1,7 @@
-"""SQL-callable forms of the scalar operators, as temporary SQL functions.
+"""SQL-callable forms of the scalar operators, as temporary functions.
 
-They are plain expressions that Catalyst inlines; no Python runs per row.
+``review_evidence`` is the one-scan lexicon matcher; the others are plain SQL
+expressions that Catalyst inlines.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from reviewloom import lexicons as lx
+from reviewloom.functions.tagging import lexicon_udf
 
 
 def _lit(word: str) -> str:
@@ -18,22 +20,12 @@ def _any(text: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({text}, {_lit(w)})" for w in words) + ")"
 
 
-def _hits(text: str, words: list[str]) -> str:
-    return "(" + " + ".join(f"int(contains({text}, {_lit(w)}))" for w in words) + ")"
-
-
 def definitions() -> dict[str, str]:
-    """Function name to ``(arguments) RETURNS type RETURN expression``.
-
-    The ``_low`` functions take lower-cased text, so each text is lower-cased once
-    and not once per word.
-    """
-    t, low = "t", "lower(coalesce(t, ''))"
+    """Function name to ``(arguments) RETURNS type RETURN expression``."""
+    evidence = "review_evidence(lower(coalesce(t, '')))"
     dated = r"r'([A-Z][a-z]+)\s+(\d+),\s*(\d{4})'"
     month, day, year = (f"regexp_extract(t, {dated}, {i})" for i in (1, 2, 3))
-    topics = ", ".join(f"CASE WHEN {_any(t, words)} THEN {_lit(name)} END" for name, words in lx.REVIEW_TOPICS.items())
     signal = "CASE WHEN r >= 4.5 THEN 3 WHEN r >= 4 THEN 2 WHEN r >= 3 THEN 0 WHEN r >= 2 THEN -2 WHEN r >= 1 THEN -3 ELSE 0 END"
-    score = f"sign({signal} + {_hits(t, lx.POSITIVE_WORDS)} - {_hits(t, lx.NEGATIVE_WORDS)})"
     p = "coalesce(nullif(a, 0D), m)"
     tier = " ".join(
         f"WHEN c = {_lit(code)} THEN CASE WHEN {p} < {lo} THEN 'budget' WHEN {p} < {mid} THEN 'mid' ELSE 'premium' END"
@@ -41,11 +33,10 @@ def definitions() -> dict[str, str]:
     )
     lo, mid = lx.TIER_THRESHOLDS[lx.DEFAULT_TIER_CATEGORY]
     return {
-        "review_topics_low": f"(t STRING) RETURNS ARRAY<STRING> RETURN array_compact(array({topics}))",
-        "review_topics": f"(t STRING) RETURNS ARRAY<STRING> RETURN review_topics_low({low})",
-        "review_sentiment_low": "(t STRING, r DOUBLE) RETURNS STRING RETURN "
-                                f"CASE {score} WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
-        "review_sentiment": f"(t STRING, r DOUBLE) RETURNS STRING RETURN review_sentiment_low({low}, r)",
+        "review_topics": f"(t STRING) RETURNS ARRAY<STRING> RETURN {evidence}.topics",
+        "review_polarity": f"(t STRING) RETURNS INT RETURN {evidence}.pos - {evidence}.neg",
+        "review_sentiment": "(t STRING, r DOUBLE) RETURNS STRING RETURN "
+                            f"CASE sign({signal} + review_polarity(t)) WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
         "vendor_reply_low": f"(t STRING) RETURNS BOOLEAN RETURN {_any('t', lx.REPLY_PHRASES)} OR "
                             f"(({' OR '.join(f'startswith(t, {_lit(g)})' for g in lx.REPLY_GREETINGS)}) AND "
                             f"{_any('left(t, 150)', lx.REPLY_COURTESIES)})",
@@ -63,6 +54,7 @@ def definitions() -> dict[str, str]:
 
 def register(spark: SparkSession) -> list[str]:
     """Create the functions in the session; returns their names."""
+    spark.udf.register("review_evidence", lexicon_udf(lx.REVIEW_TOPICS, lx.POSITIVE_WORDS, lx.NEGATIVE_WORDS))
     for name, body in definitions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{body}")
-    return list(definitions())
+    return ["review_evidence", *definitions()]

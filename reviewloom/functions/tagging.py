@@ -62,10 +62,11 @@ def lexicon_evidence(
         )
     if engine != "arrow":
         raise ValueError("engine is arrow or native")
-    return _one_scan_udf(topics, positive, negative)(col_of(lower_text))
+    return lexicon_udf(topics, positive, negative)(col_of(lower_text))
 
 
-def _one_scan_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], negative: Sequence[str]):
+def lexicon_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], negative: Sequence[str]):
+    """Arrow UDF behind ``lexicon_evidence``: one scan of each text finds every word of the lexicon."""
     names = list(topics)
     meaning: dict[str, list] = {}  # word -> [topic numbers, positive weight, negative weight]
     for number, words in enumerate(topics.values()):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
 from reviewloom.functions import tagging as tg
+from reviewloom.session import spread_small
 
 
 def tag_reviews(
@@ -66,20 +67,6 @@ def tag_reviews(
     )
 
 
-def spread_small(df: DataFrame, per_core: int = 16 * 1024 * 1024) -> DataFrame:
-    """Spread an input too small to give every core a split; larger inputs are left alone.
-
-    Tagging costs far more per byte than moving the text once, and the size bound
-    keeps the exchange off any input that already has splits for all cores.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return df.repartition(cores) if size < cores * per_core else df
-
-
 def flag_vendor_replies(reviews: DataFrame, text: str = "review_text") -> DataFrame:
     """Mark vendor replies and note it once in the model label."""
     headed = reviews.withColumn("_head", tg.reply_head(text))
