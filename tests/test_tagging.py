@@ -78,7 +78,7 @@ def test_overlapping_keywords_are_all_found(spark):
 
 
 @pytest.mark.parametrize("text,want", [
-    ("Hi Ann, thank you so much", True), ("Hello, sorry about that", True), ("Hi there, great DJ", False), ("thank you all", False),
+    ("Hi Ann, thank you so much", True), ("Hello Ann, sorry about that", True), ("Hello, sorry about that", False), ("Hi there, great DJ", False), ("thank you all", False),
     ("x" * 150 + "thank you for your review", True), ("x" * 190 + "thank you for your review", False), ("hi " + "x" * 150 + "thank", False),
     (None, False), ("We appreciate your feedback!", True),
 ])
