@@ -204,7 +204,9 @@ def versioned(spark, sf):
 
 
 @query("m03_stream_tagging", with_ctes(
-    "SELECT id, sentiment, array_to_string(complaints, ',') AS complaints, array_to_string(praises, ',') AS praises FROM tagged", texts=b.TEXTS,
+    """SELECT id, CASE WHEN (rating <= 2 AND sentiment = 'positive') OR (rating >= 4.5 AND sentiment = 'negative') THEN
+      CASE WHEN rating >= 4 THEN 'positive' ELSE 'negative' END ELSE sentiment END AS sentiment,
+      array_to_string(complaints, ',') AS complaints, array_to_string(praises, ',') AS praises FROM tagged""", texts=b.TEXTS,
     tagged=b.tagged("texts", b.CORPUS_TOPICS, b.CORPUS_POSITIVE, b.CORPUS_NEGATIVE)))
 def m03(spark, sf):
     """Two drops of the same reviews: the second finds every key already stored."""

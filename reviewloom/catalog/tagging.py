@@ -30,16 +30,16 @@ def _tag_sql(topics, pos, neg, version="v2", select=_TAG_COLUMNS):
     f"SELECT id, array_to_string(list_sort({b.topic_list('lower(review_text)', b.CORPUS_TOPICS)}), ',') AS topics FROM texts",
     texts=b.TEXTS))
 def d01(spark, sf):
-    low = tg.lowered("review_text")
-    return b.texts(spark, sf).select("id", b.joined_text(tg.topic_array(low, b.CORPUS_TOPICS, ordered=True)).alias("topics"))
+    found = tg.lexicon_evidence(tg.lowered("review_text"), b.CORPUS_TOPICS)
+    return b.texts(spark, sf).select("id", b.joined_text(F.array_sort(found["topics"])).alias("topics"))
 
 
 @query("d02_topics_lexicon_order", b.with_ctes(
     f"SELECT id, array_to_string({b.topic_list('lower(review_text)', {**lx.REVIEW_TOPICS, **b.CORPUS_TOPICS})}, ',') AS topics FROM texts",
     texts=b.TEXTS))
 def d02(spark, sf):
-    docs = b.texts(spark, sf).withColumn("low", tg.lowered("review_text"))
-    found = tg.lexicon_evidence("low", {**lx.REVIEW_TOPICS, **b.CORPUS_TOPICS})
+    docs = b.texts(spark, sf)
+    found = tg.lexicon_evidence(tg.lowered("review_text"), {**lx.REVIEW_TOPICS, **b.CORPUS_TOPICS})
     return docs.select("id", b.joined_text(found["topics"]).alias("topics"))
 
 

@@ -75,13 +75,12 @@ def lexicon_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], ne
     for slot, words in ((1, positive), (2, negative)):
         for word in words:
             meaning.setdefault(word, [set(), 0, 0])[slot] += 1
-    result = pa.struct([("topics", pa.list_(pa.string())), ("pos", pa.int32()), ("neg", pa.int32())])
 
     @F.arrow_udf("topics array<string>, pos int, neg int")
     def evidence(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = _word_finder(list(meaning))
         for batch in batches:
-            rows = []
+            topic_rows, pos_rows, neg_rows = [], [], []
             for text in batch.to_pylist():
                 found, pos, neg = set(), 0, 0
                 for word in find(text or ""):
@@ -89,8 +88,11 @@ def lexicon_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], ne
                     found |= numbers
                     pos += p
                     neg += n
-                rows.append({"topics": [names[i] for i in sorted(found)], "pos": pos, "neg": neg})
-            yield pa.array(rows, type=result)
+                topic_rows.append([names[i] for i in sorted(found)])
+                pos_rows.append(pos)
+                neg_rows.append(neg)
+            columns = [pa.array(topic_rows, pa.list_(pa.string())), pa.array(pos_rows, pa.int32()), pa.array(neg_rows, pa.int32())]
+            yield pa.StructArray.from_arrays(columns, names=["topics", "pos", "neg"])
 
     return evidence
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
 from reviewloom.functions.scalars import col_of, contains_any, matched_words
+from reviewloom.operators.rollups import mean_of
 
 _MB = 1024.0 * 1024.0
 STATUSES = ["ok", "blocked", "captcha", "error"]
@@ -134,7 +135,7 @@ def run_metrics(log: DataFrame, *by: str) -> DataFrame:
             F.count_if(F.col("status") == "ok").alias("successful"),
             F.count_if(F.col("status") == "blocked").alias("blocked"),
             F.count_if(F.col("status") == "captcha").alias("captcha"),
-            F.round(F.try_divide(micros.cast("double"), F.count("elapsed")), 4).alias("avg_duration"),
+            mean_of(micros, F.count("elapsed"), 4).alias("avg_duration"),
         )
         .withColumn("success_rate", F.try_divide(F.col("successful") * 100.0, F.col("attempts")))
     )

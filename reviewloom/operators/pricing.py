@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.scalars import col_of, market_position, percent_of_range
 from reviewloom.operators.dedup import top_by_key
+from reviewloom.operators.rollups import mean_of
+from reviewloom.session import materialize
 
 TIERS = ["budget", "mid", "premium", "unknown"]
 _STEP = 1000.0
@@ -67,7 +69,7 @@ def market_stats(
         F.coalesce(F.max(lo).cast("double"), F.lit(0.0)).alias("max_price"),
         F.coalesce(F.try_divide(F.sum(avg.cast("decimal(18,2)")).cast("double"), F.count(avg)), F.lit(0.0)).alias("avg_price"),
         F.coalesce(
-            F.bround(F.try_divide(F.sum(stars.cast("decimal(12,2)")).cast("double"), F.count(stars)), 2), F.lit(0.0)
+            mean_of(F.sum(stars.cast("decimal(12,2)")), F.count(stars), 2, ties_to_even=True), F.lit(0.0)
         ).alias("avg_rating"),
         F.coalesce(F.sum(F.col(reviews).cast("bigint")), F.lit(0)).alias("total_reviews"),
         *[F.count_if(t == name).alias(f"tier_{name}") for name in TIERS],
@@ -103,9 +105,17 @@ def price_histogram(listings: DataFrame, by: str = "category", price: str = "sta
 def with_market_position(
     listings: DataFrame, stats: DataFrame, by: str = "category", price: str = "starting_price_min"
 ) -> DataFrame:
-    """Each listing's place in its market."""
-    side = stats.select(
-        by, F.col("avg_price").alias("_avg"), F.col("min_price").alias("_min"), F.col("max_price").alias("_max")
+    """Each listing's place in its market.
+
+    The statistics (one row per category) are written first. Spark then knows
+    their real size and broadcasts them only when they are small, and the listings
+    are not shuffled by a possibly hot category.
+    """
+    side = materialize(
+        stats.select(
+            by, F.col("avg_price").alias("_avg"), F.col("min_price").alias("_min"), F.col("max_price").alias("_max")
+        ),
+        "market_stats",
     )
     return (
         listings.join(side, by)

@@ -24,9 +24,14 @@ def share(part: Column, whole: Column, digits: int | None = None) -> Column:
     return pct if digits is None else F.round(pct, digits)
 
 
-def mean_of(total: Column, n: Column, digits: int = 2) -> Column:
-    """Rounded mean from an exact sum and its count; null without values."""
-    return F.round(F.try_divide(total.cast("double"), n), digits)
+def mean_of(total: Column, n: Column, digits: int = 2, ties_to_even: bool = False) -> Column:
+    """Rounded mean from an exact sum and its count; null without values.
+
+    Division and rounding are decimal: a mean of exactly x.xx5 rounds the same way
+    on every run and in every engine.
+    """
+    mean = F.try_divide(total.cast("decimal(28,6)"), n.cast("decimal(18,0)"))
+    return (F.bround(mean, digits) if ties_to_even else F.round(mean, digits)).cast("double")
 
 
 def count_by(df: DataFrame, key: str, missing: str = "?") -> DataFrame:

@@ -34,7 +34,10 @@ def append_new(spark: SparkSession, table: str, order: str = "scraped_at"):
         rows = batch
         if path_exists(batch.sparkSession, f"{table}/batch=*"):
             stored = batch.sparkSession.read.parquet(table).filter(f"batch <> {batch_id}")
-            rows = new_rows(stored, batch, REVIEW_KEY, [order])
+            # Only the stored keys of this batch matter. A micro-batch is small, so the
+            # semi join can broadcast it and the stored keys are scanned without a shuffle.
+            seen = stored.select(*REVIEW_KEY).join(batch.select(*REVIEW_KEY), list(REVIEW_KEY), "left_semi")
+            rows = new_rows(seen, batch, REVIEW_KEY, [order])
         else:
             rows = new_rows(batch.limit(0), batch, REVIEW_KEY, [order])
         rows.write.mode("overwrite").parquet(target)
