@@ -1,9 +1,9 @@
 """Market benchmarks per category: median, tiers, histogram, position of a price.
 
-Prices are first reduced to (category, price, count). Ranks are then found in
-two steps, thousands and the exact price inside one thousand, so no window ever
-holds more than the distinct values of one step: 100,000 for prices below one
-hundred million with two decimals, however many rows a category has.
+Each of these needs a small fact per category (a rank, a range, a mean) next to
+every listing. The fact is aggregated with map-side partial sums, written, and
+joined back: its real size is then known, so Spark broadcasts it when it is small
+and listings are never shuffled by a category that may hold a third of them.
 """
 
 from __future__ import annotations
@@ -22,19 +22,20 @@ TIERS = ["budget", "mid", "premium", "unknown"]
 _STEP = 1000.0
 
 
-def price_counts(df: DataFrame, by: str, price: str) -> DataFrame:
-    """(group, price, count) of the priced rows."""
-    return (
-        df.filter(F.col(price).isNotNull())
-        .groupBy(by, F.col(price).cast("double").alias("price"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def priced(df: DataFrame, by: str, price: str) -> DataFrame:
+    """(group, price) of the priced rows."""
+    return df.filter(F.col(price).isNotNull()).select(by, F.col(price).cast("double").alias("price"))
 
 
 def upper_median(df: DataFrame, by: str, price: str) -> DataFrame:
-    """(group, median_price): element ``n // 2`` of the sorted prices, exact."""
-    counts = price_counts(df, by, price).withColumn("_hi", F.floor(F.col("price") / _STEP))
-    steps = counts.groupBy(by, "_hi").agg(F.sum("n").alias("n"))
+    """(group, median_price): element ``n // 2`` of the sorted prices, exact.
+
+    Ranks are found in two steps, thousands and then the exact price inside the one
+    thousand that holds the rank. A window holds one row per distinct value of its
+    step: at most 100,000 for prices below one hundred million with two decimals.
+    """
+    rows = priced(df, by, price).withColumn("_hi", F.floor(F.col("price") / _STEP))
+    steps = rows.groupBy(by, "_hi").agg(F.count(F.lit(1)).alias("n"))
     run = Window.partitionBy(by).orderBy("_hi")
     ranked = steps.select(
         by, "_hi",
@@ -42,8 +43,9 @@ def upper_median(df: DataFrame, by: str, price: str) -> DataFrame:
         F.col("n").alias("_n"),
         F.floor(F.sum("n").over(Window.partitionBy(by)) / 2).alias("_rank"),
     )
-    chosen = ranked.filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
-    inside = counts.join(chosen.select(by, "_hi", "_before", "_rank"), [by, "_hi"])
+    holds_rank = (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
+    chosen = materialize(ranked.filter(holds_rank).select(by, "_hi", "_before", "_rank"), "median_step")
+    inside = rows.join(chosen, [by, "_hi"]).groupBy(by, "price", "_before", "_rank").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy(by).orderBy("price")) + F.col("_before")
     return (
         inside.select(by, "price", "_rank", upto.alias("_upto"))
@@ -86,31 +88,26 @@ def tier_counts(listings: DataFrame, by: str = "category", tier: str = "price_ti
 def price_histogram(listings: DataFrame, by: str = "category", price: str = "starting_price_min") -> DataFrame:
     """Non-empty price bins of a fifth of the range; the highest price opens a sixth bin.
 
-    Groups need two priced rows. The bounds are joined to (category, price, count)
-    rows, not to the listings.
+    Groups need two priced rows.
     """
-    counts = price_counts(listings, by, price)
-    bounds = (
-        counts.groupBy(by)
-        .agg(F.min("price").alias("_lo"), F.max("price").alias("_hi"), F.sum("n").alias("_n"))
+    rows = priced(listings, by, price)
+    bounds = materialize(
+        rows.groupBy(by)
+        .agg(F.min("price").alias("_lo"), F.max("price").alias("_hi"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
-        .select(by, "_lo", F.greatest(F.lit(1.0), (F.col("_hi") - F.col("_lo")) / 5).alias("_step"))
+        .select(by, "_lo", F.greatest(F.lit(1.0), (F.col("_hi") - F.col("_lo")) / 5).alias("_step")),
+        "price_bounds",
     )
-    binned = counts.join(bounds, by).withColumn("bin", F.floor((F.col("price") - F.col("_lo")) / F.col("_step")))
+    binned = rows.join(bounds, by).withColumn("bin", F.floor((F.col("price") - F.col("_lo")) / F.col("_step")))
     return binned.groupBy(by, "bin").agg(
-        F.min(F.col("_lo") + F.col("bin") * F.col("_step")).alias("bin_start"), F.sum("n").alias("n")
+        F.min(F.col("_lo") + F.col("bin") * F.col("_step")).alias("bin_start"), F.count(F.lit(1)).alias("n")
     )
 
 
 def with_market_position(
     listings: DataFrame, stats: DataFrame, by: str = "category", price: str = "starting_price_min"
 ) -> DataFrame:
-    """Each listing's place in its market.
-
-    The statistics (one row per category) are written first. Spark then knows
-    their real size and broadcasts them only when they are small, and the listings
-    are not shuffled by a possibly hot category.
-    """
+    """Each listing's place in its market."""
     side = materialize(
         stats.select(
             by, F.col("avg_price").alias("_avg"), F.col("min_price").alias("_min"), F.col("max_price").alias("_max")
