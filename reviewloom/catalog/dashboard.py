@@ -427,8 +427,8 @@ def g02(spark, sf):
     return pricing.top_per_category(b.listings(spark, sf)).select("id", "category", "rank")
 
 
-@query("g03_catalogue_order", with_ctes("""SELECT id, category, row_number() OVER (PARTITION BY category
-    ORDER BY coalesce(nullif(star_rating, 0), 99999), id) AS place FROM listings
+@query("g03_catalogue_order", with_ctes("""SELECT id, category, CAST(row_number() OVER (PARTITION BY category
+    ORDER BY coalesce(nullif(star_rating, 0), 99999), id) AS INT) AS place FROM listings
     QUALIFY place <= 3""", listings=LI))
 def g03(spark, sf):
     order = [F.coalesce(F.nullif(F.col("star_rating"), F.lit(0.0)), F.lit(99999.0)), "id"]

@@ -52,7 +52,7 @@ def b02(spark, sf):
     return rows.select("page_id", "type", "name", F.get_json_object("offers", "$.price").cast("double").alias("price"), "price_range")
 
 
-@query("b03_structured_data_counts", """SELECT p_partkey AS page_id, 3 AS json_ld_blocks, 1 AS json_blocks, p_size > 30 AS has_initial_state,
+@query("b03_structured_data_counts", """SELECT p_partkey AS page_id, CAST(3 AS BIGINT) AS json_ld_blocks, CAST(1 AS BIGINT) AS json_blocks, p_size > 30 AS has_initial_state,
     CASE WHEN p_size > 40 THEN concat('{"nItems":', CAST(p_size AS VARCHAR), '}') ELSE '' END AS preview FROM part""")
 def b03(spark, sf):
     return _ld_pages(spark, sf).select(
@@ -180,7 +180,7 @@ def b11(spark, sf):
     return _detail(spark, sf).select("id", "starting_price_min", "starting_price_avg", "peak_price_min", "peak_price_avg", "offpeak_price_min")
 
 
-@query("b12_deals", with_ctes("SELECT id, 3 AS deal_count, concat(repeat('d', 200), '|', category) AS deals FROM vendors", vendors=b.VENDORS))
+@query("b12_deals", with_ctes("SELECT id, CAST(3 AS BIGINT) AS deal_count, concat(repeat('d', 200), '|', category) AS deals FROM vendors", vendors=b.VENDORS))
 def b12(spark, sf):
     return _detail(spark, sf).select("id", F.col("deal_count").cast("bigint").alias("deal_count"), F.array_join("deal_descriptions", "|").alias("deals"))
 
@@ -213,7 +213,7 @@ def b14(spark, sf):
     return pl.review_nodes(_review_pages(spark, sf), []).select("source_review_id", "rating")
 
 
-@query("b15_rating_map", f"SELECT CAST(o_orderkey AS VARCHAR) AS source_review_id, CAST({_SUB} AS DOUBLE) AS quality, 4e0 AS price, 4 AS n FROM orders")
+@query("b15_rating_map", f"SELECT CAST(o_orderkey AS VARCHAR) AS source_review_id, CAST({_SUB} AS DOUBLE) AS quality, 4e0 AS price, CAST(4 AS BIGINT) AS n FROM orders")
 def b15(spark, sf):
     return pl.review_nodes(_review_pages(spark, sf), []).select(
         "source_review_id", F.col("category_ratings")["quality"].alias("quality"), F.col("category_ratings")["price"].alias("price"),
@@ -387,8 +387,15 @@ def b32(spark, sf):
     UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events""")
 def b33(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"rating":', value, 'e0},"list":[{"comment":"', event_type, '"},{"ignored":1}]}')""")
-    profile = pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")), depth=4)
-    return profile
+    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")), words=())
+
+
+@query("b33_json_review_keys", """SELECT '$.review' AS path, 'OBJECT' AS type, count(*) AS n FROM events
+    UNION ALL SELECT '$.a.b.c.rating', 'BIGINT', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events WHERE event_type = 'view'""")
+def b33b(spark, sf):
+    payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"x":1},"a":{"b":{"c":{"rating":1}}},"list":',
+      CASE event_type WHEN 'view' THEN '[{"comment":"c"}]' WHEN 'click' THEN '[]' ELSE '["comment"]' END, '}')""")
+    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")))
 
 
 @query("b34_populated_keys", """SELECT section, key, count(*) AS n, count(*) FILTER (v NOT IN ('', '0')) AS populated FROM (

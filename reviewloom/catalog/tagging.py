@@ -197,6 +197,17 @@ def d13b(spark, sf):
     return ru.tagging_report(plan.tag_reviews(b.texts(spark, sf), keep_topics=True, **b.CORPUS))[1]
 
 
+@query("d14_complaints_outside_vocabulary", b.with_ctes(f"""SELECT id, array_to_string(complaints, ',') AS complaints FROM tagged
+    WHERE len(list_filter(complaints, lambda x: x NOT IN ({', '.join(b.q(w) for w in lx.COMPLAINT_VOCABULARY)}))) > 0""", **_REPORT))
+def d14b(spark, sf):
+    from reviewloom.operators.audits import unknown_tags
+
+    tagged = plan.tag_reviews(b.texts(spark, sf), **b.CORPUS)
+    return unknown_tags(tagged, "complaint_categories", lx.COMPLAINT_VOCABULARY).select(
+        "id", b.joined_text("complaint_categories").alias("complaints")
+    )
+
+
 @query("d14_tags_outside_vocabulary", b.with_ctes(f"""SELECT id, array_to_string(praises, ',') AS praises FROM tagged
     WHERE len(list_filter(praises, lambda x: x NOT IN ({', '.join(b.q(w) for w in lx.PRAISE_VOCABULARY)}))) > 0""", **_REPORT))
 def d14(spark, sf):

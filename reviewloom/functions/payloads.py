@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom import lexicons as lx
 from reviewloom.functions import markup
 from reviewloom.functions.scalars import (
     col_of,
+    contains_any,
     first_filled,
     first_non_zero,
     iso_date,
@@ -295,44 +297,39 @@ def review_nodes(payloads: DataFrame, keep: Sequence[str], payload: str = "paylo
 
 # ---- payload profiling ----------------------------------------------------
 
-def variant_paths(payloads: DataFrame, payload: str = "payload", words: Sequence[str] = (), depth: int = 6) -> DataFrame:
-    """(path, type, n) of the keys down to a depth, first element of lists only.
+def variant_paths(
+    payloads: DataFrame, payload: str = "payload", words: Sequence[str] = tuple(lx.JSON_REVIEW_KEYS), depth: int = 6
+) -> DataFrame:
+    """(path, type, n) of the keys that mention one of the words, down to a depth; no words means every key.
 
-    One generator per level; a level holds only the values found one level above.
+    Only the first element of a list is opened. The levels of one document are
+    opened inside its row, so the payloads are read and parsed once.
     """
-    level = payloads.select(F.lit("$").alias("path"), F.try_parse_json(F.col(payload)).alias("v")).filter(
-        F.col("v").isNotNull()
+    root = F.struct(F.lit("$").alias("path"), F.lit("").alias("key"), F.try_parse_json(F.col(payload)).alias("v"))
+    rows = payloads.select(F.array(root).alias("_l0"))
+    for level in range(1, depth + 1):
+        rows = rows.withColumn(f"_l{level}", F.flatten(F.transform(F.col(f"_l{level - 1}"), _children)))
+    found = rows.select(F.explode(F.concat(*[F.col(f"_l{i}") for i in range(1, depth + 1)])).alias("e"))
+    keys = found.select(
+        F.col("e.path").alias("path"), F.regexp_extract(F.schema_of_variant("e.v"), r"^(\w+)", 1).alias("type"),
+        F.col("e.key").alias("key"),
     )
-    found = []
-    for _ in range(depth):
-        opened = level.select(
-            "path",
-            F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$[0]", "variant"))
-            .otherwise(F.col("v")).alias("v"),
-            F.when(F.schema_of_variant("v").startswith("ARRAY"), F.lit("[0]")).otherwise(F.lit("")).alias("step"),
-        ).filter(F.schema_of_variant("v").startswith("OBJECT"))
-        level = _explode_objects(opened)
-        found.append(level.select("path", "key", F.schema_of_variant("v").alias("type")))
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
     if words:
-        hit = None
-        for w in words:
-            c = F.contains(F.lower("key"), F.lit(w))
-            hit = c if hit is None else hit | c
-        rows = rows.filter(hit)
-    kind = F.regexp_extract("type", r"^(\w+)", 1)
-    return rows.groupBy("path", kind.alias("type")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _explode_objects(opened: DataFrame) -> DataFrame:
-    """Children of object values as (path, key, v)."""
-    pairs = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
-    return opened.select("path", "step", F.explode(pairs).alias("e")).select(
-        F.concat("path", "step", F.lit("."), "e.key").alias("path"), F.col("e.key").alias("key"),
-        F.col("e.value").alias("v"),
+        keys = keys.filter(contains_any(F.lower("key"), words))
+    return keys.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _children(node: Column) -> Column:
+    """Children of an object value, or of the first element of a list, as (path, key, v)."""
+    value = node["v"]
+    is_list = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
+    opened = F.when(is_list, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
+    prefix = F.concat(node["path"], F.when(is_list, F.lit("[0].")).otherwise(F.lit(".")))
+    pairs = F.map_entries(F.try_variant_get(opened, "$", "map<string,variant>"))
+    children = F.transform(
+        pairs, lambda p: F.struct(F.concat(prefix, p["key"]).alias("path"), p["key"].alias("key"), p["value"].alias("v"))
     )
+    return F.coalesce(children, F.array().cast("array<struct<path:string,key:string,v:variant>>"))
 
 
 def populated_keys(payloads: DataFrame, payload: str = "payload") -> DataFrame:
