@@ -387,7 +387,7 @@ def b32(spark, sf):
     UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events""")
 def b33(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"rating":', value, 'e0},"list":[{"comment":"', event_type, '"},{"ignored":1}]}')""")
-    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")), words=())
+    return pl.variant_paths(spread_small(b.table(spark, sf, "events")).select(payload.alias("payload")), words=())
 
 
 @query("b33_json_review_keys", """SELECT '$.review' AS path, 'OBJECT' AS type, count(*) AS n FROM events
@@ -395,7 +395,7 @@ def b33(spark, sf):
 def b33b(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"x":1},"a":{"b":{"c":{"rating":1}}},"list":',
       CASE event_type WHEN 'view' THEN '[{"comment":"c"}]' WHEN 'click' THEN '[]' ELSE '["comment"]' END, '}')""")
-    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")))
+    return pl.variant_paths(spread_small(b.table(spark, sf, "events")).select(payload.alias("payload")))
 
 
 @query("b34_populated_keys", """SELECT section, key, count(*) AS n, count(*) FILTER (v NOT IN ('', '0')) AS populated FROM (

@@ -256,3 +256,61 @@ def e12b(spark, sf):
 def e12c(spark, sf):
     first, direct, _ = _package_inputs(spark, sf)
     return packages.merge_prices(first, direct)
+
+
+# ---- whole plans ----------------------------------------------------------
+
+
+@query("dataset_build", with_ctes("""SELECT coalesce(s.source, n.source) AS source, coalesce(s.svid, n.svid) AS source_vendor_id,
+    coalesce(n.name, s.name) AS name, CASE WHEN n.svid IS NOT NULL THEN n.phone ELSE s.phone END AS phone, coalesce(s.category, n.category) AS category,
+    coalesce(n.price, s.price) AS starting_price_min, CASE WHEN n.svid IS NOT NULL THEN n.rating ELSE s.rating END AS star_rating,
+    CASE WHEN n.svid IS NOT NULL THEN 7 END AS scrape_run_id FROM
+    (SELECT source, source_vendor_id AS svid, name, phone, category, CAST(starting_price_min AS DOUBLE) AS price, CAST(star_rating AS DOUBLE) AS rating FROM vendors) s
+    FULL JOIN (SELECT 'ASIA' AS source, s_name AS svid, concat(s_name, ' listed') AS name, '' AS phone, 'wedding-photographers' AS category,
+        CASE WHEN s_acctbal > 0 THEN floor(s_acctbal) END AS price, 0e0 AS rating FROM supplier
+      UNION ALL SELECT v.source, v.source_vendor_id, concat(v.name, ' new'), concat('9', v.phone), v.category, NULL, 3e0 FROM vendors v WHERE v.phone <> '') n
+    ON s.source = n.source AND s.svid = n.svid""", vendors=V))
+def dataset_build(spark, sf):
+    """Two source shapes into the stored vendor table: suppliers are new, vendors with a phone are seen again."""
+    from datetime import datetime
+
+    from reviewloom.plans.dataset import build_vendors
+
+    vendors = b.vendors(spark, sf)
+    held = vendors.select(
+        "source", "source_vendor_id", "name", "phone", "category", F.col("starting_price_min").cast("double").alias("starting_price_min"),
+        F.col("star_rating").cast("double").alias("star_rating"), F.lit(None).cast("bigint").alias("scrape_run_id"),
+    )
+    listed = b.table(spark, sf, "supplier").select(
+        F.lit("ASIA").alias("source"), F.col("s_name").alias("slug"), F.concat("s_name", F.lit(" listed")).alias("name"),
+        F.when(F.col("s_acctbal") > 0, F.concat(F.lit("$"), F.format_number(F.floor("s_acctbal"), 0), F.lit(".00"))).otherwise("call").alias("starting_price"),
+        F.col("s_suppkey").alias("seq"),
+    )
+    detailed = vendors.filter("phone <> ''").select(
+        "source", F.col("source_vendor_id").alias("vendor_id"), F.concat("name", F.lit(" new")).alias("name"), F.concat(F.lit("9"), "phone").alias("phone"),
+        "category", F.lit(3.0).alias("rating"), F.col("id").alias("seq"),
+    )
+    rules = {"ASIA": ["vendor_id", "slug"], "EUROPE": ["vendor_id"]}
+    return build_vendors(held, [listed, detailed], rules, 7, datetime(2024, 1, 1))
+
+
+@query("pricing_build", """SELECT source, key, name, category, starting_price_min, CASE WHEN p IS NULL THEN 'unknown' WHEN p < lo THEN 'budget' WHEN p < mid THEN 'mid' ELSE 'premium' END AS price_tier
+    FROM (SELECT *, coalesce(nullif(a, 0), starting_price_min) AS p, CASE category WHEN 'COORD' THEN 1500 ELSE 1200 END AS lo, CASE category WHEN 'COORD' THEN 3500 ELSE 2500 END AS mid,
+    row_number() OVER (PARTITION BY source, key ORDER BY r, pos) AS rn FROM (
+      SELECT 'one' AS source, p_brand AS key, p_name AS name, 'COORD' AS category, p_size * 100e0 AS starting_price_min, NULL AS a, 0 AS r, p_partkey AS pos FROM part
+      UNION ALL SELECT 'two', concat('/s/', CAST(s_nationkey AS VARCHAR)), s_name, 'DJ', NULL, CASE WHEN s_acctbal > 0 THEN s_acctbal END, 1, s_suppkey FROM supplier)) WHERE rn = 1""")
+def pricing_build(spark, sf):
+    from reviewloom.functions.scalars import first_filled
+    from reviewloom.plans.dataset import priced_listings
+
+    one = b.table(spark, sf, "part").selectExpr(
+        "'one' AS source", "p_brand AS vendor_id", "p_name AS name", "'COORD' AS category", "p_size * 100D AS starting_price_min",
+        "CAST(NULL AS DOUBLE) AS starting_price_avg", "0 AS source_rank", "p_partkey AS position",
+    )
+    two = b.table(spark, sf, "supplier").selectExpr(
+        "'two' AS source", "'' AS vendor_id", "concat('/s/', s_nationkey) AS source_url", "s_name AS name", "'DJ' AS category",
+        "CASE WHEN s_acctbal > 0 THEN s_acctbal END AS starting_price_avg", "1 AS source_rank", "s_suppkey AS position",
+    )
+    return priced_listings([one, two]).select(
+        "source", first_filled("vendor_id", "source_url").alias("key"), "name", "category", "starting_price_min", "price_tier"
+    )

@@ -347,7 +347,8 @@ def populated_keys(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 # ---- unified vendor record ------------------------------------------------
 
 def unified_vendor(
-    records: DataFrame, id_rules: dict[str, Sequence[str]], default_category: str, run_id: int | None = None
+    records: DataFrame, id_rules: dict[str, Sequence[str]], default_category: str = lx.DEFAULT_CATEGORY,
+    run_id: int | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Source records of any shape to the columns of the vendor table.
 
@@ -387,6 +388,6 @@ def unified_vendor(
         F.left(text("description"), F.lit(5000)).alias("description"), text("headline").alias("headline"),
         text("ad_tier").alias("ad_tier"), text("vendor_tier").alias("vendor_tier"),
         text("service_area").alias("service_area"),
-        F.lit(run_id).cast("bigint").alias("scrape_run_id"),
+        F.lit(run_id).cast("bigint").alias("scrape_run_id"), *keep,
         *([named_structs("award_names").alias("awards")] if "award_names" in have else []),
     )
