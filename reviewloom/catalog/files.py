@@ -196,8 +196,10 @@ def a13(spark, sf):
 
 @query("versioned_table_write", with_ctes("SELECT source, count(*) AS n FROM vendors GROUP BY 1", vendors=V))
 def versioned(spark, sf):
-    path = sinks.write_version(b.vendors(spark, sf), _folder(spark, "table"), "1", partition_by=["source"])
-    return spark.read.parquet(path).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    root = _folder(spark, "table")
+    sinks.write_version(b.vendors(spark, sf).filter("source = 'ASIA'"), root, "0001", partition_by=["source"])
+    sinks.write_version(b.vendors(spark, sf), root, "0002", partition_by=["source"])
+    return sinks.read_current(spark, root).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- M3: incremental work -------------------------------------------------

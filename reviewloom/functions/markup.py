@@ -46,9 +46,10 @@ def page_title(html: Column | str) -> Column:
     return F.trim(F.regexp_extract(F.coalesce(col_of(html), F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-def dollar_amounts(text: Column | str, first: int = 30) -> Column:
-    """Dollar amounts in reading order; the report keeps the first thirty."""
-    return F.slice(all_matches(text, PRICE, 0), 1, first)
+def dollar_amounts(text: Column | str, first: int | None = 30) -> Column:
+    """Dollar amounts in reading order; the report keeps the first thirty, ``None`` keeps all."""
+    found = all_matches(text, PRICE, 0)
+    return found if first is None else F.slice(found, 1, first)
 
 
 def class_text(html: Column | str, marker: str) -> Column:

@@ -41,41 +41,37 @@ def split_reviews(
     header is one review when its length is plausible. The stored body has at
     most ``width`` characters, the width of the review text column.
     """
-    t = F.col(text)
-    parts = F.split(F.regexp_replace(t, HEADER, _MARK + "$1"), _MARK)
-    cut = df.select(*key, t.alias("_text"), parts.alias("_parts"))
-
-    many = (
-        cut.filter(F.size("_parts") > 1)
-        .select(*key, "_text", F.posexplode("_parts").alias("_pos", "_part"))
-        .filter(F.col("_pos") > 0)
-        .withColumn("_header", F.regexp_extract("_part", "^" + HEADER, 1))
-        .withColumn("_body", trim_bullets(F.substring(F.col("_part"), F.length("_header") + 1, F.length("_part"))))
-        .filter(F.length("_body") > min_body)
+    # Header and body are worked out inside the list, before it is exploded: a filter
+    # on an exploded value stays above the generator and nothing is computed twice.
+    pieces = F.split(F.regexp_replace(F.col(text), HEADER, _MARK + "$1"), _MARK)
+    headed = F.transform(pieces, lambda p: F.struct(p.alias("piece"), F.regexp_extract(p, "^" + HEADER, 1).alias("header")))
+    parts = F.transform(headed, lambda h: F.struct(h["header"].alias("header"), _body_after(h["header"], h["piece"]).alias("body")))
+    rows = df.select(*key, F.col(text).alias("_text"), parts.alias("_parts")).select(
+        *key, "_text", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_pos", "_part")
+    )
+    several, header, whole = F.col("_n") > 1, F.col("_part.header"), F.col("_text")
+    low, high = single
+    n = F.length(whole)
+    kept = F.when(several, (F.col("_pos") > 0) & (F.length("_part.body") > min_body)).otherwise(
+        (n > low) & (n < high) & (n > min_single)
     )
     # Dates are searched 200 characters around the first occurrence of the header.
-    at = F.position(F.col("_header"), F.col("_text"))
+    at = F.position(header, whole)
     begin = F.greatest(at - 200, F.lit(1))
-    around = F.substring(F.col("_text"), begin, at + 200 - begin)
-    structured = many.select(
+    around = F.substring(whole, begin, at + 200 - begin)
+    alone = F.coalesce(F.nullif(reviewer_of(whole), F.lit("")), F.lit("Anonymous"))
+    return rows.filter(kept).select(
         *key,
-        (F.col("_pos") - 1).alias("position"),
-        reviewer_of("_header").alias("reviewer"),
-        rating_of("_header").alias("rating"),
-        parse_date(around, iso=False).alias("review_date"),
-        F.left("_body", F.lit(width)).alias("body"),
+        F.greatest(F.col("_pos") - 1, F.lit(0)).alias("position"),
+        F.when(several, reviewer_of(header)).otherwise(alone).alias("reviewer"),
+        F.when(several, rating_of(header)).otherwise(rating_of(whole)).alias("rating"),
+        F.when(several, parse_date(around, iso=False)).alias("review_date"),
+        F.left(F.when(several, F.col("_part.body")).otherwise(whole), F.lit(width)).alias("body"),
     )
-    n = F.length("_text")
-    low, high = single
-    whole = cut.filter((F.size("_parts") == 1) & (n > low) & (n < high) & (n > min_single)).select(
-        *key,
-        F.lit(0).alias("position"),
-        F.coalesce(F.nullif(reviewer_of("_text"), F.lit("")), F.lit("Anonymous")).alias("reviewer"),
-        rating_of("_text").alias("rating"),
-        F.lit(None).cast("date").alias("review_date"),
-        F.left("_text", F.lit(width)).alias("body"),
-    )
-    return structured.unionByName(whole)
+
+
+def _body_after(header: Column, piece: Column) -> Column:
+    return trim_bullets(F.substring(piece, F.length(header) + 1, F.length(piece)))
 
 
 def block_columns(block: Column | str, iso: bool = True, width: int = 2000) -> list[Column]:

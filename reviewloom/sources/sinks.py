@@ -24,16 +24,17 @@ def write_latest_and_archive(df: DataFrame, root: str, run_ts: str) -> str:
     return f"{root}/run_ts={run_ts}"
 
 
-def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest archive partition; partition pruning leaves the others unread."""
-    from reviewloom.sources.readers import path_exists
+def finished(spark: SparkSession, root: str, partition: str) -> list[str]:
+    """Sorted ``partition=value`` folders whose write was committed; half-written ones are not seen."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{partition}=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(status.getPath().getParent().toString() for status in found)
+
 
-    if not path_exists(spark, f"{root}/run_ts=*"):
-        return spark.createDataFrame([], schema)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/run_ts=*")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    newest = max(status.getPath().toString() for status in found)
-    return spark.read.schema(schema).json(newest)
+def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The newest finished archive partition; the others stay unread."""
+    folders = finished(spark, root, "run_ts")
+    return spark.read.schema(schema).json(folders[-1]) if folders else spark.createDataFrame([], schema)
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
@@ -79,7 +80,11 @@ def write_document(document: DataFrame, path: str) -> None:
 
 
 def write_version(df: DataFrame, root: str, version: str, partition_by: Sequence[str] = ()) -> str:
-    """New version directory of a table; readers of the previous version are not disturbed."""
+    """New version directory of a table. Names must sort by age.
+
+    Readers take the newest finished version, so a failed write is never visible and
+    readers of the previous version are not disturbed.
+    """
     path = f"{root}/version={version}"
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -88,6 +93,14 @@ def write_version(df: DataFrame, root: str, version: str, partition_by: Sequence
     return path
 
 
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The newest finished version of a table."""
+    folders = finished(spark, root, "version")
+    if not folders:
+        raise FileNotFoundError(f"no finished version below {root}")
+    return spark.read.parquet(folders[-1])
+
+
 def write_bucketed(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str | None = None) -> None:
     """Bucketed table on the upsert key: later upserts and joins on it skip one shuffle."""
     writer = df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)

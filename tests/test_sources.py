@@ -48,6 +48,16 @@ def test_latest_is_the_newest_archive(spark, tmp_path):
     assert [r["name"] for r in sinks.read_latest(spark, root, schemas.PRICING_RECORD).collect()] == ["2"]
 
 
+def test_unfinished_versions_are_not_seen(spark, tmp_path):
+    import os
+
+    root = str(tmp_path / "t")
+    for version in ("0001", "0002", "0003"):
+        sinks.write_version(spark.createDataFrame([(version,)], "v STRING"), root, version)
+    os.rename(f"{root}/version=0003/_SUCCESS", f"{root}/version=0003/_pending")
+    assert sinks.read_current(spark, root).first()["v"] == "0002"
+
+
 def test_run_audit(spark):
     t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     runs = sinks.start_run(spark, 1, "m1", "djs", started_at=t0).unionByName(sinks.start_run(spark, 2, "m2", "djs", started_at=t1))
