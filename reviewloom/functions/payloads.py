@@ -73,8 +73,9 @@ REVIEW_PAGE = """reviews STRUCT<totalCount: BIGINT, pageInfo: STRUCT<hasNextPage
 
 def json_ld_vendors(pages: DataFrame, key: Sequence[str], html: str = "html", min_name: int = 2) -> DataFrame:
     """Vendor rows of the JSON-LD item lists of a page; broken blocks are skipped."""
-    blocks = pages.select(*key, F.explode(markup.json_ld_blocks(html)).alias("_block"))
-    lists = blocks.select(*key, F.from_json("_block", JSON_LD_LIST).alias("l")).filter(F.col("l.`@type`") == "ItemList")
+    parsed = F.transform(markup.json_ld_blocks(html), lambda block: F.from_json(block, JSON_LD_LIST))
+    # Chosen inside the list: a filter after the explode would parse every block twice.
+    lists = pages.select(*key, F.explode(F.filter(parsed, lambda d: d["@type"] == "ItemList")).alias("l"))
     items = lists.select(*key, F.posexplode("l.itemListElement").alias("position", "e")).select(
         *key, "position", F.col("e.item").alias("b")
     )
@@ -99,9 +100,9 @@ def json_ld_offers(
     pages: DataFrame, key: Sequence[str], html: str = "html", types: Sequence[str] = ("Product", "Service", "LocalBusiness")
 ) -> DataFrame:
     """(type, name, offers, price range) of the products and services of a page."""
-    blocks = pages.select(*key, F.explode(markup.json_ld_blocks(html)).alias("_block"))
-    parsed = blocks.select(*key, F.from_json("_block", JSON_LD_OFFER).alias("o"))
-    return parsed.filter(F.col("o.`@type`").isin(*types)).select(
+    parsed = F.transform(markup.json_ld_blocks(html), lambda block: F.from_json(block, JSON_LD_OFFER))
+    offers = pages.select(*key, F.explode(F.filter(parsed, lambda d: d["@type"].isin(*types))).alias("o"))
+    return offers.select(
         *key, F.col("o.`@type`").alias("type"), "o.name", "o.offers", F.col("o.priceRange").alias("price_range")
     )
 
@@ -334,9 +335,7 @@ def _children(node: Column) -> Column:
 
 def populated_keys(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """(section, key, n, populated): how often each key of a top-level section carries a value."""
-    top = payloads.select(F.from_json(payload, "map<string,string>").alias("m")).select(
-        F.explode("m").alias("section", "body")
-    )
+    top = payloads.select(F.explode(F.from_json(payload, "map<string,string>")).alias("section", "body"))
     inner = top.select("section", F.explode(F.from_json("body", "map<string,string>")).alias("key", "value"))
     empty = F.coalesce(F.col("value"), F.lit("")).isin("", "[]", "{}", "0", "false", "null")
     return inner.groupBy("section", "key").agg(

@@ -46,9 +46,11 @@ def split_reviews(
     pieces = F.split(F.regexp_replace(F.col(text), HEADER, _MARK + "$1"), _MARK)
     headed = F.transform(pieces, lambda p: F.struct(p.alias("piece"), F.regexp_extract(p, "^" + HEADER, 1).alias("header")))
     parts = F.transform(headed, lambda h: F.struct(h["header"].alias("header"), _body_after(h["header"], h["piece"]).alias("body")))
-    rows = df.select(*key, F.col(text).alias("_text"), parts.alias("_parts")).select(
-        *key, "_text", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_pos", "_part")
-    )
+    # The outer form: a plain explode of a column gets a "not empty" filter, which is
+    # pushed below this projection and would work out the list three times.
+    cut = df.select(*key, F.col(text).alias("_text"), parts.alias("_parts"))
+    counted = cut.select(*key, "_text", F.size("_parts").alias("_n"), "_parts")
+    rows = counted.select(*key, "_text", "_n", F.posexplode_outer("_parts").alias("_pos", "_part"))
     several, header, whole = F.col("_n") > 1, F.col("_part.header"), F.col("_text")
     low, high = single
     n = F.length(whole)
