@@ -1,5 +1,5 @@
 """Vendor and review analytics on Spark."""
 
-from reviewloom.session import build_session, materialize
+from reviewloom.session import Workspace, build_session, materialize
 
-__all__ = ["build_session", "materialize"]
+__all__ = ["Workspace", "build_session", "materialize"]

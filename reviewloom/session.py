@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,13 @@ def build_session(app_name: str = "reviewloom", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Where it is unset (a local session, a test) a fresh local folder stands in.
+    Where it is unset in a single-process session (``local[n]``, a test) a fresh
+    local folder stands in; with executors in other processes it must be set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
     folder = os.path.join(tempfile.gettempdir(), f"reviewloom-{spark.sparkContext.applicationId}")
     os.makedirs(folder, exist_ok=True)
@@ -51,9 +53,38 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     The written table survives lost executors, cuts the lineage and keeps column
     pruning, which a cached or checkpointed frame does not.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return Workspace(df.sparkSession, name).write(df)
+
+
+class Workspace:
+    """Tables of one run under a folder of its own in the shared folder.
+
+    The owner drops a table as soon as nothing reads it any more, or all of them
+    with ``close``; what a returned lazy frame still reads has to stay.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def write(self, df: DataFrame, name: str = "table") -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(self.path(name))
+
+    def close(self) -> None:
+        self._delete(self.root)
+
+    def _delete(self, where: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread_small(df: DataFrame, per_core: int = 16 * 1024 * 1024) -> DataFrame:

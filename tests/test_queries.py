@@ -10,9 +10,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from reviewloom import catalog  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_oracles_belong_to_queries():
-    assert set(entry.oracle_sql()) <= set(NAMES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
