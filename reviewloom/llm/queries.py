@@ -20,6 +20,16 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_register
+def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from reviewloom.llm.sequence_packing import pack_documents
+
+    packed = pack_documents(_table(spark, sf, "documents"), tokenizer_path=public_tokenizers.path("byte_bpe_50k.json"), content=F.crc32)
+    return packed.withColumnRenamed("content", "ids_crc32")
+
+
 @_register
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.quality_rules import judge_documents
