@@ -30,6 +30,13 @@ def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.withColumnRenamed("content", "ids_crc32")
 
 
+@_register
+def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.decontamination import find_leaks
+
+    return find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 @_register
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.quality_rules import judge_documents
