@@ -30,6 +30,13 @@ def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.withColumnRenamed("content", "ids_crc32")
 
 
+@_register
+def op7_context_tree_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.lm_scoring import score_documents
+
+    return score_documents(_table(spark, sf, "documents"))
+
+
 @_register
 def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.decontamination import find_leaks
