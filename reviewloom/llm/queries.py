@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_register
+def op3_toxicity_chain(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @_register
 def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
@@ -30,6 +37,13 @@ def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.withColumnRenamed("content", "ids_crc32")
 
 
+@_register
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.quality_classifier import score_quality
+
+    return score_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @_register
 def op7_context_tree_scoring(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.lm_scoring import score_documents
