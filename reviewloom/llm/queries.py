@@ -37,6 +37,16 @@ def op4_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.withColumnRenamed("content", "ids_crc32")
 
 
+@_register
+def op5_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.warc_files import archive_folder, read_archive, write_archive
+
+    folder = archive_folder(spark)
+    # small shards, so that a table of a few hundred MB is written by many tasks
+    manifest = write_archive(_table(spark, sf, "pages"), folder, shard_bytes=8 << 20, file_bytes=1 << 20)
+    return read_archive(manifest, folder).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_register
 def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.quality_classifier import score_quality
