@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_register
+def op2_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.licence_scan import scan_licences
+
+    return scan_licences(_table(spark, sf, "documents"))
+
+
 @_register
 def op3_toxicity_chain(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.toxicity import score_toxicity
