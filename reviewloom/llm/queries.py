@@ -84,6 +84,13 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio_score")
 
 
+@_register
+def op10_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.suffix_dedup import removal
+
+    return removal(_table(spark, sf, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
