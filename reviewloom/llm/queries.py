@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_register
+def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.jaccard_join import link_documents
+
+    return link_documents(_table(spark, sf, "documents"), words=3, percent=90)
+
+
 @_register
 def op2_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
     from reviewloom.llm.licence_scan import scan_licences
