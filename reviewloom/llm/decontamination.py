@@ -62,11 +62,11 @@ def _verified(near: DataFrame, items: DataFrame, id_col: str, item_col: str, win
     """Diagonals on which enough tokens of one window agree. ``_words`` begins where document and item overlap."""
     begin = F.greatest(-F.col("_shift"), F.lit(0))  # first item token of the overlap
     agree = F.filter(F.transform("_words", lambda w, i: F.when(w == F.get(F.col("_tokens"), i + begin), i + begin)), lambda i: i.isNotNull())
-    out = near.join(items, "_item").select("_doc", "_item", "_shift", F.size("_tokens").alias("_n"), agree.alias("_agree"))
+    out = near.join(items, "_item").select("_doc", "_item", "_shift", F.size("_tokens").alias("_n"), agree.alias("_agree"), F.spark_partition_id().alias("_barrier"))
     width = F.least(F.lit(window), F.col("_n"))
     need = F.ceil(min_share * width).cast("int")
     inside = F.filter("_agree", lambda p, j: F.coalesce(F.get(F.col("_agree"), j + need - 1) - p < width, F.lit(False)))
-    out = out.where(F.size(inside) > 0)
+    out = out.where((F.size(inside) > 0) & (F.col("_barrier") >= 0))  # the barrier keeps the filter above the list it reads
     best = F.struct(F.size("_agree").alias("n"), (-F.col("_shift")).alias("s"), (F.get("_agree", F.lit(0)) + F.col("_shift")).alias("first"),
                     (F.get("_agree", F.size("_agree") - 1) + F.col("_shift")).alias("last"), F.col("_n").alias("of"))
     out = out.groupBy("_doc", "_item").agg(F.max(best).alias("b"))

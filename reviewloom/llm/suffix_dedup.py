@@ -324,3 +324,53 @@ def removal(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return out.select(
         F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("bigint").alias("n_spans"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"), F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"))
+
+
+def _whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without the parts of characters at their ends."""
+    out = []
+    for a, b in spans:
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if b > a:
+            out.append((a, b))
+    return out
+
+
+def clean_texts(docs: DataFrame, *, text_col: str = "text", chars_col: str | None = "n_chars", length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
+    """All documents, with all their columns, without the repeated strings; ``chars_col`` gets the new number of characters.
+
+    Characters that a run covers in part stay, so the text stays valid.
+    """
+    space = Workspace(docs.sparkSession, "suffix")
+    runs, _ = repeated_spans(docs, space, text_col=text_col, length=length, gram=gram, most=most)
+    names = docs.columns
+    at, chars = names.index(text_col), names.index(chars_col) if chars_col in names else None
+    data = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
+    keyed = docs.withColumn("_suffix_h", F.substring(F.unhex(F.sha2(data, 256)), 1, 16))
+    met = keyed.join(runs.select(F.col("h").alias("_suffix_h"), F.col("spans").alias("_suffix_spans")).hint("shuffle_merge"), "_suffix_h", "left").select(*[keyed[c] for c in names], "_suffix_spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                columns = list(batch.columns[:-1])
+                texts, spans = columns[at].to_pylist(), batch.columns[-1].to_pylist()
+                sizes = columns[chars].to_pylist() if chars is not None else []
+                for i, found in enumerate(spans):
+                    if found:
+                        data, kept, end = texts[i].encode(), [], 0
+                        for a, b in _whole_characters(data, merge_spans([(x["a"], x["b"]) for x in found])):
+                            kept.append(data[end:a])
+                            end = b
+                        texts[i] = b"".join([*kept, data[end:]]).decode()
+                        if chars is not None:
+                            sizes[i] = len(texts[i])
+                columns[at] = pa.array(texts, columns[at].type)
+                if chars is not None:
+                    columns[chars] = pa.array(sizes, columns[chars].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return met.mapInArrow(run, docs.schema)
