@@ -99,8 +99,8 @@ def _normal(sentence: Column) -> Column:
 
 
 def _sentences(text: Column) -> Column:
-    """Pieces between line ends and sentence ends (a stop, colon or semicolon before white space)."""
-    return F.split(text, r"[.:;](?=\s|$)|\n")
+    """Pieces between line ends and sentence ends (a stop before white space)."""
+    return F.split(text, r"[.](?=\s|$)|\n")
 
 
 def _known(sentences: Column, ids: Column) -> Column:

@@ -234,14 +234,15 @@ def _spans_by_hash(cuts: DataFrame, length: int, gram: int) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 ids, offsets, hashes = [], [], []
-                for cut, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for c in range(min(starts, len(text) - length + 1)):
+                for cut, text, shift, anchor in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                    for c in range(min(starts - shift, len(text) - length + 1)):
                         ids.append(cut)
                         offsets.append(c)
-                        hashes.append(xxhash.xxh3_128_digest(text[c : c + length]))
+                        # strings are compared with those that have the same anchor at the same place
+                        hashes.append(xxhash.xxh3_128_digest(b"%d,%d," % (anchor, shift + c) + text[c : c + length]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(offsets, pa.int64()), pa.array(hashes, pa.binary())], names=["cut", "c", "string"])
 
-    strings = cuts.select("cut", "bytes", "n").select("cut", "bytes").mapInArrow(run, "cut binary, c bigint, string binary")
+    strings = cuts.select("cut", "bytes", "shift", "anchor").mapInArrow(run, "cut binary, c bigint, string binary")
     repeated = strings.groupBy("string").agg(F.count("*").alias("k")).where("k > 1")
     alone = strings.join(repeated, "string").groupBy("cut").agg(F.min("c").alias("first"), (F.max("c") + length).alias("last"))
     many = cuts.where((F.col("n") > 1) & (F.octet_length("bytes") >= length)).select("cut", F.lit(0).cast("bigint").alias("first"), F.octet_length("bytes").cast("bigint").alias("last"))

@@ -62,7 +62,7 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
+def fit_linear(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression by full-batch gradient descent with momentum; the last weight is the offset."""
     x = np.concatenate([x, np.ones((len(x), 1), dtype=np.float32)], axis=1)
     w, v = np.zeros(x.shape[1], dtype=np.float32), np.zeros(x.shape[1], dtype=np.float32)
