@@ -317,6 +317,7 @@ _MARKET = f"""SELECT category, count(*) AS count, count(starting_price_min) AS w
     CAST(coalesce(sum(review_count), 0) AS BIGINT) AS total_reviews,
     count(*) FILTER (price_tier = 'budget') AS tier_budget, count(*) FILTER (price_tier = 'mid') AS tier_mid,
     count(*) FILTER (price_tier = 'premium') AS tier_premium, count(*) FILTER (price_tier = 'unknown') AS tier_unknown,
+    count(*) FILTER (price_tier NOT IN ('budget', 'mid', 'premium', 'unknown')) AS tier_other,
     coalesce(list_sort(list(starting_price_min) FILTER (starting_price_min IS NOT NULL))[count(starting_price_min) // 2 + 1], 0) AS median_price
     FROM tiered GROUP BY 1"""
 

@@ -15,7 +15,6 @@ from reviewloom.catalog.bindings import query, with_ctes
 from reviewloom.functions import markup as mk
 from reviewloom.functions import payloads as pl
 from reviewloom.functions import review_text as rt
-from reviewloom.session import spread_small
 
 # ---- JSON-LD --------------------------------------------------------------
 
@@ -95,12 +94,12 @@ _DETAIL = """named_struct('id', CAST(id AS STRING), 'vendorId', source_vendor_id
 def _detail(spark, sf):
     raw, plain = _DETAIL.format(name="CASE WHEN id > 300 THEN name ELSE '' END"), _DETAIL.format(name="concat('plain ', name)")
     payload = F.expr(f"to_json(named_struct('vendor', named_struct('vendorRaw', {raw}, 'vendor', {plain})))")
-    return pl.detail_vendors(spread_small(b.vendors(spark, sf)).select("id", payload.alias("payload")), "payload", "id")
+    return pl.detail_vendors(b.vendors(spark, sf).select("id", payload.alias("payload")), "payload", "id")
 
 
 @query("b05_detail_vendors", with_ctes("""SELECT id, source_vendor_id AS vendor_id, CASE WHEN id > 300 THEN name ELSE concat('plain ', name) END AS name,
     coalesce(nullif(email, ''), 'fallback@x.test') AS email, coalesce(nullif(website_url, ''), 'shown.test') AS website_url, city, state, source AS service_area,
-    coalesce(CAST(review_count AS BIGINT), 0) AS review_count, CAST(star_rating AS DOUBLE) AS star_rating, length(left(repeat(name, 300), 5000)) AS description_length,
+    coalesce(CAST(review_count AS BIGINT), 0) AS review_count, CAST(star_rating AS DOUBLE) AS star_rating, length(repeat(name, 300)) AS description_length,
     'GOLD' AS ad_tier, CAST(id AS INT) AS year_founded, true AS scrape_success FROM vendors""", vendors=b.VENDORS))
 def b05(spark, sf):
     return _detail(spark, sf).select(
@@ -136,7 +135,7 @@ _NEXT_PRICE = "CASE WHEN p_size > 30 THEN p_size * 1e0 WHEN p_size > 20 THEN p_s
 
 
 @query("b07_next_data_vendors", f"""SELECT p_partkey AS page_id, vendor_id, name, {_NEXT_PRICE} AS starting_price_min, CAST(p_size AS BIGINT) AS review_count,
-    p_type AS categories, '1,2,3,4,5' AS images FROM (
+    p_type AS categories, '1,2,3,4,5,6' AS images FROM (
     SELECT *, 'a' AS vendor_id, CASE WHEN p_size > 5 THEN p_name ELSE 'later' END AS name FROM part
     UNION ALL SELECT *, 'b', CASE WHEN p_size > 5 THEN p_brand ELSE 'late' END FROM part
     UNION ALL SELECT *, concat('s', CAST(p_partkey AS VARCHAR)), 'by slug' FROM part UNION ALL SELECT *, 'c', p_type FROM part)""")
@@ -180,7 +179,7 @@ def b11(spark, sf):
     return _detail(spark, sf).select("id", "starting_price_min", "starting_price_avg", "peak_price_min", "peak_price_avg", "offpeak_price_min")
 
 
-@query("b12_deals", with_ctes("SELECT id, CAST(3 AS BIGINT) AS deal_count, concat(repeat('d', 200), '|', category) AS deals FROM vendors", vendors=b.VENDORS))
+@query("b12_deals", with_ctes("SELECT id, CAST(3 AS BIGINT) AS deal_count, concat(repeat('d', 250), '|', category) AS deals FROM vendors", vendors=b.VENDORS))
 def b12(spark, sf):
     return _detail(spark, sf).select("id", F.col("deal_count").cast("bigint").alias("deal_count"), F.array_join("deal_descriptions", "|").alias("deals"))
 
@@ -195,7 +194,7 @@ def _review_pages(spark, sf):
           named_struct('name', 'time', 'value', 4), named_struct('name', 'price', 'value', 4)),
         'reviewer', named_struct('firstName', o_orderpriority, 'lastName', CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'Doe' END, 'email', 'hidden@x.test')),
       named_struct('id', concat('s', o_orderkey), 'createdAt', '', 'comment', named_struct('content', 'short'), 'ratings', NULL, 'reviewer', NULL)))))""")
-    return spread_small(b.table(spark, sf, "orders")).select(payload.alias("payload"))
+    return b.table(spark, sf, "orders").select(payload.alias("payload"))
 
 
 _SUB = "CAST(left(o_orderpriority, 1) AS INT)"
@@ -223,39 +222,38 @@ def b15(spark, sf):
 
 # ---- review text ----------------------------------------------------------
 
-_BLOB = """CASE WHEN lang = 'en' THEN concat('Ann B.Rating: 4•Feed•Mar 3, 2024', text, chr(10), 'Mary Ann C. Rating: 5•', source, '•', repeat('good ', 12))
-  ELSE text END"""
+_BLOB = """concat('Ann B.Rating: 4•Feed•Mar 3, 2024', text, chr(10), 'Mary Ann C. Rating: 5•', source, '•', repeat('good ', 12))"""
 _CUT = rt.HEADER.replace("\\", "\\")
 
 
 @query("b16_split_review_blobs", with_ctes(rf"""SELECT doc_id, i - 2 AS position, regexp_replace(trim(regexp_extract(h, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', '') AS reviewer,
-    try_cast(regexp_extract(h, 'Rating:\s*(\d+(?:\.\d+)?)', 1) AS DOUBLE) AS rating, md5(left(body, 2000)) AS body FROM (
+    try_cast(regexp_extract(h, 'Rating:\s*(\d+(?:\.\d+)?)', 1) AS DOUBLE) AS rating, md5(body) AS body FROM (
     SELECT doc_id, i, h, regexp_replace(regexp_replace(substr(p, length(h) + 1), '^\s+|\s+$', '', 'g'), '•+$', '') AS body FROM (
     SELECT doc_id, i, p, regexp_extract(p, '^{rt.HEADER}', 1) AS h FROM (
     SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS p FROM (
     SELECT doc_id, string_split(regexp_replace(blob, '{rt.HEADER}', chr(1) || '\1', 'g'), chr(1)) AS parts FROM blobs) WHERE len(parts) > 1)) WHERE i > 1) WHERE length(body) > 30""",
     blobs=f"SELECT doc_id, {_BLOB} AS blob FROM documents"))
 def b16(spark, sf):
-    blobs = spread_small(b.table(spark, sf, "documents").filter("lang = 'en'")).select("doc_id", F.expr(_BLOB).alias("text"))
+    blobs = b.table(spark, sf, "documents").select("doc_id", F.expr(_BLOB).alias("text"))
     rows = rt.split_reviews(blobs, ["doc_id"])
     return rows.select("doc_id", F.col("position").cast("bigint").alias("position"), "reviewer", "rating", F.md5("body").alias("body"))
 
 
-@query("b16_review_dates_near_header", """SELECT doc_id, DATE '2024-03-03' AS review_date FROM documents WHERE lang = 'en'""")
+@query("b16_review_dates_near_header", """SELECT doc_id, DATE '2024-03-03' AS review_date FROM documents""")
 def b16b(spark, sf):
-    blobs = spread_small(b.table(spark, sf, "documents").filter("lang = 'en'")).select("doc_id", F.expr(_BLOB).alias("text"))
+    blobs = b.table(spark, sf, "documents").select("doc_id", F.expr(_BLOB).alias("text"))
     return rt.split_reviews(blobs, ["doc_id"], min_body=0).filter("position = 0").select("doc_id", "review_date")
 
 
 @query("b17_blob_without_header", r"""SELECT doc_id, coalesce(nullif(regexp_replace(trim(regexp_extract(text, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', ''), ''), 'Anonymous') AS reviewer,
-    md5(left(text, 2000)) AS body FROM documents WHERE length(text) > 80 AND length(text) < 3000""")
+    md5(text) AS body FROM documents WHERE length(text) > 80""")
 def b17(spark, sf):
-    rows = rt.split_reviews(spread_small(b.table(spark, sf, "documents").select("doc_id", "text")), ["doc_id"])
+    rows = rt.split_reviews(b.table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     return rows.select("doc_id", "reviewer", F.md5("body").alias("body"))
 
 
 @query("b18_single_review_block", with_ctes(r"""SELECT doc_id, 'Ann B' AS reviewer, 4.5e0 AS rating, DATE '2024-03-03' AS review_date,
-    md5(left(CASE WHEN length(clean) < 30 THEN block ELSE clean END, 2000)) AS review_text FROM (SELECT doc_id, block,
+    md5(CASE WHEN length(clean) < 30 THEN block ELSE clean END) AS review_text FROM (SELECT doc_id, block,
     regexp_replace(regexp_replace(block, '^[A-Z].*?\.\s*Rating:\s*\d+(?:\.\d+)?.*?\d{4}', ''), '^\s*[•\s]+', '') AS clean FROM blocks)""",
     blocks="SELECT doc_id, concat('Ann B. Rating: 4.5•Feed•Mar 3, 2024 • ', text) AS block FROM documents"))
 def b18(spark, sf):
@@ -263,12 +261,12 @@ def b18(spark, sf):
     return blocks.select("doc_id", *rt.block_columns("block")).withColumn("review_text", F.md5("review_text"))
 
 
-@query("b19_review_snippets", """SELECT conv_id, concat(CAST(conv_id AS VARCHAR), '-snippet-', CAST(i AS VARCHAR)) AS source_review_id, md5(left(t, 2000)) AS review_text,
-    CASE i WHEN 0 THEN 4.5e0 END AS rating FROM (SELECT conv_id, 0 AS i, text AS t FROM conversations WHERE turn = 1
-    UNION ALL SELECT conv_id, 1, role FROM conversations WHERE turn = 1) WHERE length(t) >= 20""")
+@query("b19_review_snippets", """SELECT conv_id, concat(CAST(conv_id AS VARCHAR), '-snippet-', CAST(i AS VARCHAR)) AS source_review_id, md5(t) AS review_text,
+    CASE i WHEN 0 THEN 4.5e0 END AS rating FROM (SELECT conv_id, 0 AS i, text AS t FROM conversations
+    UNION ALL SELECT conv_id, 1, role FROM conversations) WHERE length(t) >= 20""")
 def b19(spark, sf):
     snippets = F.expr("array(named_struct('text', text, 'reviewer', role, 'rating', '4.5 of 5'), named_struct('text', role, 'reviewer', '', 'rating', ''))")
-    base = b.table(spark, sf, "conversations").filter("turn = 1").select("conv_id", snippets.alias("snippets"))
+    base = b.table(spark, sf, "conversations").select("conv_id", snippets.alias("snippets"))
     return rt.snippet_rows(base, "conv_id").select("conv_id", "source_review_id", F.md5("review_text").alias("review_text"), "rating")
 
 
@@ -387,7 +385,7 @@ def b32(spark, sf):
     UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events""")
 def b33(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"rating":', value, 'e0},"list":[{"comment":"', event_type, '"},{"ignored":1}]}')""")
-    return pl.variant_paths(spread_small(b.table(spark, sf, "events")).select(payload.alias("payload")), words=())
+    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")), words=())
 
 
 @query("b33_json_review_keys", """SELECT '$.review' AS path, 'OBJECT' AS type, count(*) AS n FROM events
@@ -395,7 +393,7 @@ def b33(spark, sf):
 def b33b(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"x":1},"a":{"b":{"c":{"rating":1}}},"list":',
       CASE event_type WHEN 'view' THEN '[{"comment":"c"}]' WHEN 'click' THEN '[]' ELSE '["comment"]' END, '}')""")
-    return pl.variant_paths(spread_small(b.table(spark, sf, "events")).select(payload.alias("payload")))
+    return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")))
 
 
 @query("b34_populated_keys", """SELECT section, key, count(*) AS n, count(*) FILTER (v NOT IN ('', '0')) AS populated FROM (

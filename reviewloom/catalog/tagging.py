@@ -157,7 +157,7 @@ def d_chain(spark, sf):
 @query("d11_untagged_newest", b.with_ctes("""SELECT r.id, v.name AS vendor_name FROM (SELECT * FROM reviews WHERE sentiment = ''
     ORDER BY scraped_at DESC NULLS FIRST, id LIMIT 500) r JOIN vendors v ON v.id = r.vendor_id""", reviews=b.REVIEWS, vendors=b.VENDORS))
 def d11(spark, sf):
-    return plan.newest_untagged(b.reviews(spark, sf), b.vendors(spark, sf)).select("id", "vendor_name")
+    return plan.newest_untagged(b.reviews(spark, sf), b.vendors(spark, sf), limit=500).select("id", "vendor_name")
 
 
 @query("d12_tags_written_back", b.with_ctes("""SELECT r.id, coalesce(t.sentiment, r.sentiment) AS sentiment,

@@ -15,10 +15,10 @@ from reviewloom import lexicons as lx
 from reviewloom.functions.scalars import col_of, collapse_spaces, contains_any, count_occurrences
 from reviewloom.operators.dedup import top_by_key
 
-JSON_LD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
-PLAIN_JSON = r'(?s)<script type="application/json">(.*?)</script>'
+JSON_LD = r"""(?is)<script\b[^>]*\btype\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script\s*>"""
+PLAIN_JSON = r"""(?is)<script\b[^>]*\btype\s*=\s*["']application/json["'][^>]*>(.*?)</script\s*>"""
 INITIAL_STATE = r"(?s)window\.__INITIAL_STATE__\s*=\s*(\{.*?\});"
-NEXT_DATA = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
+NEXT_DATA = r"""(?is)<script\b[^>]*\bid\s*=\s*["']__NEXT_DATA__["'][^>]*>(.*?)</script\s*>"""
 PRICE = r"\$\s*[\d,]+(?:\.\d{2})?"
 ANCHOR = r'(?s)<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>'
 
@@ -33,7 +33,7 @@ def json_ld_blocks(html: Column | str) -> Column:
 
 def visible_text(html: Column | str) -> Column:
     """Text of a page without scripts, styles and tags, spaces collapsed."""
-    body = F.regexp_replace(F.coalesce(col_of(html), F.lit("")), r"(?is)<(script|style)\b.*?</(script|style)>", " ")
+    body = F.regexp_replace(F.coalesce(col_of(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     return F.trim(collapse_spaces(F.regexp_replace(body, r"(?s)<[^>]*>", " ")))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewloom import lexicons as lx
 from reviewloom.functions import markup
 from reviewloom.functions.scalars import (
+    cut_to,
     col_of,
     contains_any,
     first_filled,
@@ -156,10 +157,10 @@ def social_value(links: Column | str, *codes: str) -> Column:
     return F.try_element_at(F.filter(col_of(links), wanted), F.lit(-1))["value"]
 
 
-def deal_texts(items: Column | str, width: int = 200) -> Column:
-    """Non-empty deal descriptions, each cut to the column width."""
+def deal_texts(items: Column | str, width: int | None = None) -> Column:
+    """Non-empty deal descriptions, cut to a column width if one is given."""
     filled = F.filter(col_of(items), lambda d: F.coalesce(d["description"], F.lit("")) != "")
-    return F.coalesce(F.transform(filled, lambda d: F.left(d["description"], F.lit(width))), F.array().cast("array<string>"))
+    return F.coalesce(F.transform(filled, lambda d: cut_to(d["description"], width)), F.array().cast("array<string>"))
 
 
 def detail_vendors(payloads: DataFrame, payload: str = "payload", *keep: str) -> DataFrame:
@@ -196,7 +197,7 @@ def detail_vendors(payloads: DataFrame, payload: str = "payload", *keep: str) ->
         season("offPeak", "min").alias("offpeak_price_min"), season("offPeak", "average").alias("offpeak_price_avg"),
         first_non_zero("s.reviewSummary.count", "s.reviewsCount").alias("review_count"),
         first_non_zero("s.reviewSummary.overallRating", "o.starCount", "o.stars", default=0.0).alias("star_rating"),
-        F.left(first_filled("s.description"), F.lit(5000)).alias("description"),
+        first_filled("s.description").alias("description"),
         first_filled("s.headline").alias("headline"),
         first_filled("s.adTier").alias("ad_tier"), first_filled("s.vendorTier").alias("vendor_tier"),
         first_filled("s.claimedStatus").alias("claimed_status"),
@@ -235,7 +236,9 @@ def next_data_vendors(
     rows = parsed.select(*key, F.posexplode(combined).alias("position", "v")).withColumn(
         "vendor_id", first_filled("v.id", "v.vendorId", "v.slug")
     )
-    kept = first_by_key(rows, [*key, "vendor_id"], ["position"])
+    # a record without any id keeps a row of its own
+    own = F.when(F.col("vendor_id") == "", F.col("position"))
+    kept = first_by_key(rows, [*key, "vendor_id", own], ["position"])
     return kept.select(
         *key, "position", "vendor_id",
         first_filled("v.name").alias("name"), first_filled("v.slug").alias("slug"),
@@ -248,7 +251,7 @@ def next_data_vendors(
         first_non_zero("v.reviewCount", "v.reviewsCount").alias("review_count"),
         first_non_zero("v.averageReviewsRate", "v.starRating", default=0.0).alias("star_rating"),
         F.transform("v.categories", lambda c: c["name"]).alias("categories"),
-        F.slice(F.transform("v.photos", lambda p: p["url"]), 1, 5).alias("images"),
+        F.transform("v.photos", lambda p: p["url"]).alias("images"),
         (first_filled("v.name") != "").alias("scrape_success"),
     )
 
@@ -275,7 +278,11 @@ def mean_rating(ratings: Column | str) -> Column:
 
 
 def rating_map(ratings: Column | str) -> Column:
-    return F.map_from_entries(F.transform(col_of(ratings), lambda r: F.struct(r["name"], r["value"])))
+    """Sub-ratings by name; the last of a repeated name counts, those without a name are left out."""
+    named = F.filter(col_of(ratings), lambda r: r["name"].isNotNull())
+    names = F.transform(named, lambda r: r["name"])
+    last = F.filter(named, lambda r, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), r["name"]))
+    return F.map_from_entries(F.transform(last, lambda r: F.struct(r["name"], r["value"])))
 
 
 def review_nodes(payloads: DataFrame, keep: Sequence[str], payload: str = "payload", min_text: int = 10) -> DataFrame:
@@ -286,12 +293,12 @@ def review_nodes(payloads: DataFrame, keep: Sequence[str], payload: str = "paylo
     rows = nodes.select(
         *keep, "total_count",
         F.col("n.id").alias("source_review_id"),
-        F.left(F.coalesce(F.col("n.comment.content"), F.lit("")), F.lit(5000)).alias("review_text"),
+        F.coalesce(F.col("n.comment.content"), F.lit("")).alias("review_text"),
         F.col("n.title").alias("review_title"),
         mean_rating("n.ratings").alias("rating"),
         rating_map("n.ratings").alias("category_ratings"),
         iso_date("n.createdAt").alias("review_date"),
-        F.left(name, F.lit(200)).alias("reviewer_name"),
+        name.alias("reviewer_name"),
     )
     return rows.filter(F.length("review_text") > min_text)
 

@@ -33,6 +33,11 @@ def non_blank(c: Column | str) -> Column:
     return F.nullif(col_of(c), F.lit(""))
 
 
+def cut_to(text: Column, width: int | None) -> Column:
+    """The first ``width`` characters, or the whole text without a width."""
+    return text if width is None else F.left(text, F.lit(width))
+
+
 def first_filled(*cols: Column | str, default: str | None = "") -> Column:
     """First text that is neither null nor empty."""
     parts = [non_blank(c) for c in cols]

@@ -20,11 +20,17 @@ from reviewloom.session import materialize
 
 TIERS = ["budget", "mid", "premium", "unknown"]
 _STEP = 1000.0
+NO_GROUP = "OTHER"
+
+
+def grouped(df: DataFrame, by: str) -> DataFrame:
+    """Rows without a group belong to the group of the others."""
+    return df.withColumn(by, F.coalesce(F.col(by).cast("string"), F.lit(NO_GROUP)))
 
 
 def priced(df: DataFrame, by: str, price: str) -> DataFrame:
     """(group, price) of the priced rows."""
-    return df.filter(F.col(price).isNotNull()).select(by, F.col(price).cast("double").alias("price"))
+    return grouped(df, by).filter(F.col(price).isNotNull()).select(by, F.col(price).cast("double").alias("price"))
 
 
 def upper_median(df: DataFrame, by: str, price: str) -> DataFrame:
@@ -61,6 +67,7 @@ def market_stats(
     tier: str = "price_tier",
 ) -> DataFrame:
     """Counts, price range, median, means and tier counts per category, zeros when empty."""
+    listings = grouped(listings, by)
     lo, avg = F.col(price_min), F.col(price_avg)
     stars = F.nullif(F.col(rating).cast("double"), F.lit(0.0))
     t = F.coalesce(F.col(tier), F.lit("unknown"))
@@ -69,12 +76,13 @@ def market_stats(
         F.count(lo).alias("with_price"),
         F.coalesce(F.min(lo).cast("double"), F.lit(0.0)).alias("min_price"),
         F.coalesce(F.max(lo).cast("double"), F.lit(0.0)).alias("max_price"),
-        F.coalesce(F.try_divide(F.sum(avg.cast("decimal(18,2)")).cast("double"), F.count(avg)), F.lit(0.0)).alias("avg_price"),
+        F.coalesce(F.try_divide(F.sum(avg.cast("decimal(28,6)")).cast("double"), F.count(avg)), F.lit(0.0)).alias("avg_price"),
         F.coalesce(
-            mean_of(F.sum(stars.cast("decimal(12,2)")), F.count(stars), 2, ties_to_even=True), F.lit(0.0)
+            mean_of(F.sum(stars.cast("decimal(28,6)")), F.count(stars), 2, ties_to_even=True), F.lit(0.0)
         ).alias("avg_rating"),
         F.coalesce(F.sum(F.col(reviews).cast("bigint")), F.lit(0)).alias("total_reviews"),
         *[F.count_if(t == name).alias(f"tier_{name}") for name in TIERS],
+        F.count_if(~t.isin(TIERS)).alias("tier_other"),
     )
     median = upper_median(listings, by, price_min)
     return main.join(median, by, "left").withColumn("median_price", F.coalesce("median_price", F.lit(0.0)))
@@ -82,7 +90,7 @@ def market_stats(
 
 def tier_counts(listings: DataFrame, by: str = "category", tier: str = "price_tier") -> DataFrame:
     """One column per price tier."""
-    return listings.groupBy(by).pivot(tier, TIERS).agg(F.count(F.lit(1))).fillna(0, TIERS)
+    return grouped(listings, by).groupBy(by).pivot(tier, TIERS).agg(F.count(F.lit(1))).fillna(0, TIERS)
 
 
 def price_histogram(listings: DataFrame, by: str = "category", price: str = "starting_price_min") -> DataFrame:
@@ -115,7 +123,7 @@ def with_market_position(
         "market_stats",
     )
     return (
-        listings.join(side, by)
+        grouped(listings, by).join(side, by, "left")
         .withColumn("market_position", market_position(price, "_avg"))
         .withColumn("pct_of_range", percent_of_range(F.col(price).cast("double"), "_min", "_max"))
         .drop("_avg", "_min", "_max")

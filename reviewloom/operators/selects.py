@@ -94,13 +94,19 @@ def split_known(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) ->
 
 def attach_vendor_id(incoming: DataFrame, vendors: DataFrame, storefront: str = "source_vendor_id") -> DataFrame:
     """Surrogate vendor id for incoming reviews by (source, storefront id)."""
-    ids = vendors.select("source", F.col("source_vendor_id").alias(storefront), F.col("id").alias("vendor_id"))
+    # one id per storefront, so that a vendor stored twice does not double its reviews
+    ids = vendors.groupBy("source", F.col("source_vendor_id").alias(storefront)).agg(F.min("id").alias("vendor_id"))
     return incoming.join(ids, ["source", storefront])
 
 
-def observed_totals(vendors: DataFrame, observed: DataFrame, total: str = "total") -> DataFrame:
-    """Vendors with review_count replaced where a different total was observed."""
-    seen = observed.select(F.col("vendor_id").alias("id"), F.col(total).cast("bigint").alias("_total"))
+def observed_totals(vendors: DataFrame, observed: DataFrame, total: str = "total", order: str | None = None) -> DataFrame:
+    """Vendors with review_count replaced where a different total was observed.
+
+    Of several observations of a vendor the last one by ``order`` counts, else the largest.
+    """
+    n = F.col(total).cast("bigint")
+    best = F.max(F.struct(F.col(order).alias("o"), n.alias("n")))["n"] if order else F.max(n)
+    seen = observed.groupBy(F.col("vendor_id").alias("id")).agg(best.alias("_total"))
     changed = F.col("_total").isNotNull() & ~F.col("_total").eqNullSafe(F.col("review_count").cast("bigint"))
     return (
         vendors.join(seen, "id", "left")

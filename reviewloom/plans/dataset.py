@@ -47,4 +47,7 @@ def priced_listings(
     """
     records = unify(sources)
     tiered = records.withColumn("price_tier", price_tier("category", "starting_price_avg", "starting_price_min", thresholds))
-    return first_by_key(tiered, ["source", first_filled("vendor_id", "source_url")], list(order))
+    name = first_filled("vendor_id", "source_url")
+    # a record with neither keeps a row of its own
+    own = F.when(name == "", F.struct(*order))
+    return first_by_key(tiered, ["source", name, own], list(order))

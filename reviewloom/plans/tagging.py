@@ -2,7 +2,7 @@
 
 Every step is a projection over the row itself. The plan has no shuffle, so it
 scales with the number of input splits, and a hot vendor or source costs nothing.
-The only exchange ever added is the one of ``spread_small`` for tiny inputs.
+Small inputs get more splits from ``spark.sql.files.minPartitionNum``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
 from reviewloom.functions import tagging as tg
-from reviewloom.session import spread_small
 
 
 def tag_reviews(
@@ -31,7 +30,7 @@ def tag_reviews(
     """Add sentiment, sentiment_confidence, complaint/praise categories and the model label."""
     if version not in ("v1", "v2"):
         raise ValueError("version is v1 or v2")
-    topics = topics or lx.REVIEW_TOPICS
+    topics = topics or (lx.REVIEW_TOPICS_V1 if version == "v1" else lx.REVIEW_TOPICS)
     if version == "v1":
         pos_words = list(positive or lx.POSITIVE_WORDS_V1)
         neg_words = list(negative or lx.NEGATIVE_WORDS_V1)
@@ -42,7 +41,7 @@ def tag_reviews(
         signal, confidence = tg.rating_signal_v2(rating), tg.confidence_v2
 
     base = reviews.columns
-    found = spread_small(reviews).withColumn("_low", tg.lowered(text)).select(
+    found = reviews.withColumn("_low", tg.lowered(text)).select(
         *base, tg.lexicon_evidence("_low", topics, pos_words, neg_words, engine).alias("_found")
     )
     topic_names = F.col("_found.topics")
@@ -72,7 +71,7 @@ def flag_vendor_replies(reviews: DataFrame, text: str = "review_text") -> DataFr
     headed = reviews.withColumn("_head", tg.reply_head(text))
     flagged = headed.withColumn("is_vendor_reply", tg.reply_opening("_head")).drop("_head")
     model = F.col("analysis_model")
-    already = F.endswith(model, F.lit(lx.MODEL_SUFFIX_REPLY))
+    already = F.contains(model, F.lit(lx.MODEL_SUFFIX_REPLY))
     return flagged.withColumn(
         "analysis_model",
         F.when(F.col("is_vendor_reply") & ~F.coalesce(already, F.lit(False)),
@@ -131,16 +130,16 @@ def untagged(reviews: DataFrame) -> DataFrame:
 
 
 def newest_untagged(
-    reviews: DataFrame, vendors: DataFrame, limit: int = 500, order: str = "scraped_at", key: str = "id"
+    reviews: DataFrame, vendors: DataFrame, limit: int | None = None, order: str = "scraped_at", key: str = "id"
 ) -> DataFrame:
-    """The newest untagged reviews with their vendor's name (a work list, so the limit is the feature).
+    """Untagged reviews with their vendor's name: all of them, or the ``limit`` newest.
 
-    The limit is applied before the join: each review has exactly one vendor, and
+    A limit is applied before the join: each review has exactly one vendor, and
     reviews whose vendor is unknown are removed by the semi join first.
     """
     known = untagged(reviews).join(
         vendors.select(F.col("id").alias("vendor_id")), "vendor_id", "left_semi"
     )
-    chosen = known.orderBy(F.col(order).desc_nulls_first(), key).limit(limit)
+    chosen = known if limit is None else known.orderBy(F.col(order).desc_nulls_first(), key).limit(limit)
     names = vendors.select(F.col("id").alias("vendor_id"), F.col("name").alias("vendor_name"))
     return chosen.join(names, "vendor_id")

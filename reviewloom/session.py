@@ -85,18 +85,3 @@ class Workspace:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(where)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread_small(df: DataFrame, per_core: int = 16 * 1024 * 1024) -> DataFrame:
-    """Spread an input too small to give every core a split; larger inputs are left alone.
-
-    For work that costs far more per byte than moving the bytes once, such as
-    tagging and payload parsing. The size bound keeps the exchange off any input
-    that already has splits for all cores.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return df.repartition(cores) if size < cores * per_core else df
