@@ -34,7 +34,7 @@ from reviewloom.session import Workspace
 
 SALTS = 256
 #: Words seen by a worker are kept with their ids up to this number, then dropped all at once.
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 #: The signs that every Unicode version and regular-expression engine splits alike; other texts are encoded whole.
 _PLAIN = r"[^\x00-\x1b\x20-\x84\x86-ȳ‐-‧]|<\|endoftext\|>"
 
@@ -213,19 +213,19 @@ def plan_sequences(histogram: dict[int, int], capacity: int, rounds: float = 2.0
     return plan
 
 
-def _places(plan: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
-    """Per (length, run of ranks): where the pieces of these ranks go. Sorted by length and first rank."""
+def _places(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Rows (length, first rank, last rank, pieces per sequence, first sequence, offset): where the pieces of these ranks go."""
     rows, taken, base = [], {}, 0
     for lengths, n in plan:
         offset = 0
         for size in dict.fromkeys(lengths):
             per = lengths.count(size)
-            rows.append((size, taken.get(size, 0), per, base, offset))
-            taken[size] = taken.get(size, 0) + per * n
+            first = taken.get(size, 0)
+            taken[size] = first + per * n
+            rows.append((size, first, taken[size] - 1, per, base, offset))
             offset += per * size
         base += n
-    rows.sort()
-    return {k: np.array(v, dtype=np.int64) for k, v in zip(("length", "first", "per", "base", "offset"), zip(*rows))}
+    return rows
 
 
 # --- pieces to places ------------------------------------------------------------
@@ -243,7 +243,7 @@ def pack_documents(
     pieces = pieces.withColumn("ids", content(F.col("ids")) if content else F.col("ids")).withColumnRenamed("ids", "content")
     pieces = space.write(pieces, "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    places = _places(plan_sequences(histogram, capacity, rounds)) if histogram else None
+    plan = docs.sparkSession.createDataFrame(_places(plan_sequences(histogram, capacity, rounds)), "length bigint, _first bigint, _last bigint, _per bigint, _base bigint, _offset bigint")
 
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(SALTS)))
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
@@ -253,21 +253,9 @@ def pack_documents(
     ranked = salted.withColumn("_rank", F.row_number().over(within)).join(sizes, ["length", "_salt"]).select(
         id_col, "piece", "start", "length", "content", (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
 
-    schema = T.StructType([*ranked.schema.fields[:-1], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length = batch.column(3).to_numpy(zero_copy_only=False)
-            rank = batch.column(5).to_numpy(zero_copy_only=False)
-            at = np.searchsorted(_pair(places["length"], places["first"]), _pair(length, rank), side="right") - 1
-            since, per = rank - places["first"][at], places["per"][at]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(places["base"][at] + since // per), pa.array(places["offset"][at] + since % per * length)],
-                names=[f.name for f in schema.fields])
-
-    return ranked.mapInArrow(place, schema)
-
-
-def _pair(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """One sortable number for (length, rank): exact for fewer than 2**44 pieces of one length."""
-    return (length.astype(np.uint64) << np.uint64(44)) | rank.astype(np.uint64)
+    # the plan's size is bounded by the capacity and the rounds
+    placed = ranked.join(F.broadcast(plan), (ranked["length"] == plan["length"]) & F.col("_rank").between(F.col("_first"), F.col("_last"))).drop(plan["length"])
+    since = F.col("_rank") - F.col("_first")
+    return placed.select(
+        id_col, "piece", "start", "length", "content", (F.col("_base") + F.floor(since / F.col("_per"))).cast("bigint").alias("sequence_id"),
+        (F.col("_offset") + since % F.col("_per") * F.col("length")).alias("offset"))
