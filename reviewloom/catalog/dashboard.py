@@ -179,6 +179,14 @@ def e15(spark, sf):
     return se.observed_totals(b.vendors(spark, sf), seen).select("id", "review_count", "count_changed")
 
 
+@query("e15_repeated_observations", vr("""SELECT v.id, coalesce(o.total + 1, v.review_count) AS review_count FROM vendors v
+    LEFT JOIN (SELECT vendor_id, count(*) AS total FROM reviews GROUP BY 1) o ON o.vendor_id = v.id"""))
+def e15b(spark, sf):
+    seen = b.reviews(spark, sf).groupBy("vendor_id").agg(F.count(F.lit(1)).alias("total")).withColumn("page", F.lit(1))
+    later = seen.select("vendor_id", (F.col("total") + 1).alias("total"), F.lit(2).alias("page"))
+    return se.observed_totals(b.vendors(spark, sf), seen.unionByName(later), order="page").select("id", "review_count")
+
+
 # ---- F: aggregations ------------------------------------------------------
 
 @query("f01_count_by_key", with_ctes("SELECT coalesce(email, '?') = '?' AS unknown, source, count(*) AS n FROM vendors GROUP BY 1, 2", vendors=V))
@@ -327,6 +335,23 @@ def f13(spark, sf):
     return pricing.market_stats(tiered(spark, sf)).withColumn("avg_price", F.round("avg_price", 4))
 
 
+_NO_CATEGORY = "SELECT * REPLACE (CASE WHEN id % 7 <> 0 THEN category END AS category) FROM listings"
+
+
+@query("f13_null_category", with_ctes("""SELECT coalesce(category, 'OTHER') AS category, count(*) AS count, coalesce(list_sort(list(starting_price_min) FILTER (starting_price_min IS NOT NULL))[count(starting_price_min) // 2 + 1], 0) AS median_price
+    FROM missing GROUP BY 1""", listings=LI, missing=_NO_CATEGORY))
+def f13c(spark, sf):
+    rows = tiered(spark, sf).withColumn("category", F.when(F.col("id") % 7 != 0, F.col("category")))
+    return pricing.market_stats(rows).select("category", "count", "median_price")
+
+
+@query("f15_null_category", with_ctes("""SELECT coalesce(category, 'OTHER') AS category, count(starting_price_min) AS n FROM missing WHERE starting_price_min IS NOT NULL
+    GROUP BY 1 HAVING count(*) > 1""", listings=LI, missing=_NO_CATEGORY))
+def f15b(spark, sf):
+    rows = b.listings(spark, sf).withColumn("category", F.when(F.col("id") % 7 != 0, F.col("category")))
+    return pricing.price_histogram(rows).groupBy("category").agg(F.sum("n").alias("n"))
+
+
 @query("f13_upper_median", with_ctes("""SELECT source, CAST(list_sort(list(starting_price_min))[count(*) // 2 + 1] AS DOUBLE) AS median_price
     FROM vendors WHERE starting_price_min IS NOT NULL GROUP BY 1""", vendors=V))
 def f13b(spark, sf):

@@ -220,6 +220,23 @@ def b15(spark, sf):
     )
 
 
+@query("b15_repeated_names", "SELECT CAST(o_orderkey AS VARCHAR) AS source_review_id, o_custkey * 1e0 AS quality, CAST(2 AS BIGINT) AS n FROM orders")
+def b15b(spark, sf):
+    payload = F.expr("""to_json(named_struct('reviews', named_struct('totalCount', 1, 'nodes', array(named_struct('id', CAST(o_orderkey AS STRING), 'comment',
+      named_struct('content', repeat('long enough ', 600)), 'ratings', array(named_struct('name', 'quality', 'value', 1L), named_struct('name', CAST(NULL AS STRING), 'value', 3L),
+      named_struct('name', 'time', 'value', 4L), named_struct('name', 'quality', 'value', o_custkey)))))))""")
+    rows = pl.review_nodes(b.table(spark, sf, "orders").select(payload.alias("payload")), []).filter("length(review_text) = 7200")
+    return rows.select("source_review_id", F.col("category_ratings")["quality"].alias("quality"), F.size("category_ratings").cast("bigint").alias("n"))
+
+
+@query("b01_script_attributes", "SELECT p_partkey AS page_id, p_name AS name FROM part")
+def b01b(spark, sf):
+    body = F.expr("""to_json(named_struct('@type', 'ItemList', 'itemListElement', array(named_struct('item', named_struct('name', p_name)))))""")
+    html = F.concat(F.lit("<html><SCRIPT nonce='a' type = 'application/ld+json' data-x=\"1\">"), body, F.lit("</script ></html>"))
+    pages = b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return pl.json_ld_vendors(pages, ["page_id"]).select("page_id", "name")
+
+
 # ---- review text ----------------------------------------------------------
 
 _BLOB = """concat('Ann B.Rating: 4•Feed•Mar 3, 2024', text, chr(10), 'Mary Ann C. Rating: 5•', source, '•', repeat('good ', 12))"""
@@ -245,6 +262,14 @@ def b16b(spark, sf):
     return rt.split_reviews(blobs, ["doc_id"], min_body=0).filter("position = 0").select("doc_id", "review_date")
 
 
+@query("b16_equal_headers", """SELECT doc_id, position, CASE position WHEN 0 THEN DATE '2024-03-03' ELSE DATE '2023-01-09' END AS review_date
+    FROM documents, (SELECT unnest([0, 1]) AS position)""")
+def b16c(spark, sf):
+    text = F.concat(F.lit("Ann B.Rating: 5•Feed•Mar 3, 2024 "), "text", F.lit(" and all was well. Ann B.Rating: 5•Feed•Jan 9, 2023 "), F.repeat(F.lit("fine "), F.lit(12)))
+    rows = rt.split_reviews(b.table(spark, sf, "documents").select("doc_id", text.alias("text")), ["doc_id"])
+    return rows.select("doc_id", F.col("position").cast("bigint").alias("position"), "review_date")
+
+
 @query("b17_blob_without_header", r"""SELECT doc_id, coalesce(nullif(regexp_replace(trim(regexp_extract(text, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', ''), ''), 'Anonymous') AS reviewer,
     md5(text) AS body FROM documents WHERE length(text) > 80""")
 def b17(spark, sf):

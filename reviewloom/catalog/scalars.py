@@ -167,6 +167,12 @@ def c17(spark, sf):
     return placed.select("id", F.col("market_position").alias("position"), F.round("pct_of_range", 4).alias("pct_of_range"))
 
 
+@query("c17_null_category", with_ctes("SELECT id, CASE WHEN id % 3 = 0 THEN 'OTHER' ELSE category END AS category FROM vendors", vendors=V))
+def c17b(spark, sf):
+    v = b.vendors(spark, sf).withColumn("price_tier", F.lit("unknown")).withColumn("category", F.when(F.col("id") % 3 != 0, F.col("category")))
+    return pricing.with_market_position(v, pricing.market_stats(v)).select("id", "category")
+
+
 @query("c18_display_labels", with_ctes("""SELECT id, replace(category, 'wedding-', '') AS label,
     concat(CAST(CAST(round_even(coalesce(star_rating, 0) * 5, 0) AS INT) AS VARCHAR), '%') AS pct,
     CASE WHEN review_count * 50 >= 1000 THEN concat(CAST(CAST(round(review_count * 50 / 1000, 1) AS DECIMAL(10,1)) AS VARCHAR), 'K')

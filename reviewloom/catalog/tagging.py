@@ -65,6 +65,15 @@ def d04(spark, sf):
     return tagged.select("id", "sentiment", "sentiment_confidence")
 
 
+@query("d01_default_topics_first_tagger", b.with_ctes(
+    f"SELECT id, array_to_string(list_sort({b.topic_list('lower(review_text)', lx.REVIEW_TOPICS_V1)}), ',') AS topics FROM (SELECT id, concat(review_text, CASE id % 3 WHEN 0 THEN ' never showed and a surprise fee' WHEN 1 THEN ' no-show, additional charge' ELSE '' END) AS review_text FROM texts)",
+    texts=b.TEXTS))
+def d01b(spark, sf):
+    words = F.expr("CASE id % 3 WHEN 0 THEN ' never showed and a surprise fee' WHEN 1 THEN ' no-show, additional charge' ELSE '' END")
+    rows = b.texts(spark, sf).withColumn("review_text", F.concat("review_text", words))
+    return plan.tag_reviews(rows, version="v1", keep_topics=True).select("id", b.joined_text("topics").alias("topics"))
+
+
 @query("d05_routing_first_tagger", _tag_sql(b.CORPUS_TOPICS, b.CORPUS_POSITIVE, b.CORPUS_NEGATIVE, "v1",
        _TAG_COLUMNS.replace("sentiment_confidence", "round(sentiment_confidence, 4) AS sentiment_confidence")))
 def d05(spark, sf):

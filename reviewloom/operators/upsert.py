@@ -137,8 +137,14 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Rows to append when stored keys and repeats inside the batch are ignored."""
-    return first_by_key(incoming, list(key), order).join(existing.select(*key), list(key), "left_anti")
+    """Rows to append when stored keys and repeats inside the batch are ignored.
+
+    The stored keys are first reduced to those of the batch, which Spark can do without
+    moving the stored side where the batch is small enough to be broadcast.
+    """
+    first = first_by_key(incoming, list(key), order)
+    seen = existing.select(*key).join(incoming.select(*key), list(key), "left_semi").distinct()
+    return first.join(seen, list(key), "left_anti")
 
 
 def validate_reviews(

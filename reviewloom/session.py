@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Splits of a few MB where an input is small, so that costly projections use all cores.
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 
@@ -28,7 +34,28 @@ def build_session(app_name: str = "reviewloom", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: functions that run there are found by import."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    _SHIPPED.add(application)
+    here = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp()  # the driver serves the archive from here for as long as it runs
+    atexit.register(shutil.rmtree, folder, True)
+    archive = Path(folder) / f"{here.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in sorted(here.rglob("*.py")):
+            out.write(f, f.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -1,18 +1,22 @@
 """Incremental work as Structured Streaming.
 
-New reviews are tagged as they land, repeated keys are dropped inside the
-watermark, and each micro-batch is checked against the stored keys before it is
-appended, so a late repeat is still ignored.
+Repeated keys are dropped inside the watermark, each micro-batch is kept once and
+checked against the stored keys, so a late repeat is still ignored, and what is new is
+tagged and appended.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewloom.operators.crawl_health import hourly
+from reviewloom.operators.dedup import first_by_key
 from reviewloom.operators.upsert import REVIEW_KEY, new_rows
 from reviewloom.plans.tagging import tag_and_repair
+from reviewloom.session import Workspace
 from reviewloom.sources.readers import path_exists
 
 
@@ -22,8 +26,8 @@ def tag_stream(reviews: DataFrame, event_time: str = "scraped_at", late: str = "
     return tag_and_repair(fresh, **lexicon)
 
 
-def append_new(spark: SparkSession, table: str, order: str = "scraped_at"):
-    """``foreachBatch`` function that appends the unknown reviews of a batch.
+def append_new(spark: SparkSession, table: str, order: str = "scraped_at", tag: Callable[[DataFrame], DataFrame] | None = None):
+    """``foreachBatch`` function that appends the unknown reviews of a batch, tagged by ``tag``.
 
     A batch directory is named after its id and overwritten on a retry, so a
     batch that runs twice after a failure is stored once.
@@ -31,16 +35,15 @@ def append_new(spark: SparkSession, table: str, order: str = "scraped_at"):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{table}/batch={batch_id}"
-        rows = batch
+        space = Workspace(batch.sparkSession, "stream")
+        batch = space.write(batch)  # read several times, evaluated once
         if path_exists(batch.sparkSession, f"{table}/batch=*"):
             stored = batch.sparkSession.read.parquet(table).filter(f"batch <> {batch_id}")
-            # Only the stored keys of this batch matter. A micro-batch is small, so the
-            # semi join can broadcast it and the stored keys are scanned without a shuffle.
-            seen = stored.select(*REVIEW_KEY).join(batch.select(*REVIEW_KEY), list(REVIEW_KEY), "left_semi")
-            rows = new_rows(seen, batch, REVIEW_KEY, [order])
+            rows = new_rows(stored, batch, REVIEW_KEY, [order, "review_text"])
         else:
-            rows = new_rows(batch.limit(0), batch, REVIEW_KEY, [order])
-        rows.write.mode("overwrite").parquet(target)
+            rows = first_by_key(batch, list(REVIEW_KEY), [order, "review_text"])
+        (tag(rows) if tag else rows).write.mode("overwrite").parquet(target)
+        space.close()
 
     return write
 
@@ -51,8 +54,8 @@ def start_tagging(
 ) -> StreamingQuery:
     """Run the tagging stream over everything available, then stop."""
     return (
-        tag_stream(stream, event_time, late, **lexicon)
-        .writeStream.foreachBatch(append_new(spark, table, event_time))
+        stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark(list(REVIEW_KEY))
+        .writeStream.foreachBatch(append_new(spark, table, event_time, lambda rows: tag_and_repair(rows, **lexicon)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
