@@ -59,7 +59,7 @@ def test_detail_prefers_the_named_raw_record(spark):
     df = frame(spark, "payload", *[json.dumps(s) for s in states])
     got = {r["id"]: r for r in pl.detail_vendors(df, "payload", "id").collect()}
     assert (got[0]["name"], got[0]["starting_price_min"], got[0]["facebook_url"], got[0]["deal_count"]) == ("Raw", 10.0, "f", 2)
-    assert [len(d) for d in got[0]["deal_descriptions"]] == [200] and got[0]["star_rating"] == 4.5
+    assert [len(d) for d in got[0]["deal_descriptions"]] == [300] and got[0]["star_rating"] == 4.5
     assert (got[1]["name"], got[1]["starting_price_min"], got[1]["starting_price_avg"]) == ("Plain", 100.0, 200.0)
     assert got[1]["awards"][0]["name"] == "best"
     assert got[2]["scrape_success"] is False
