@@ -102,8 +102,10 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
+        """Delete tables, and let Spark remove the shuffle files of finished jobs, which it does when their objects are collected."""
         for name in names:
             self._delete(self.path(name))
+        self.spark.sparkContext._jvm.System.gc()
 
     def close(self) -> None:
         self._delete(self.root)
