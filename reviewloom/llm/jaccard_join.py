@@ -25,8 +25,8 @@ per task crosses the network. The connected stars are families that hold every l
 membership matrices. A family over ``chunk`` members is cut into chunks by hash, and
 pairs of chunks are compared in different tasks; no row per pair is made.
 
-Components of the links come from label propagation with pointer jumping; each round
-is written to the shared folder. Nothing is collected on the driver.
+Components come from hooking every vertex on to its smallest neighbour and drawing the
+edges anew; each round is written to the shared folder. Nothing is collected on the driver.
 
 Identity of sets and shingles is that of 64-bit hashes. Defined cases: words are runs
 of bytes other than ASCII white space, A-Z lower-cased; fewer words than a shingle
@@ -186,12 +186,13 @@ def _ties(sets: DataFrame, words: int, percent: int) -> DataFrame:
             yield _rows(*_stars(np.concatenate(keys), np.concatenate(nodes)))
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, node, ties = (np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in zip(*[[b.column(k).to_numpy(zero_copy_only=False) for k in range(3)] for b in batches])) if (batches := list(batches)) else ([], [], [])
-        if not len(key):
+        parts = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(3)] for b in batches if b.num_rows]
+        if not parts:
             return
-        ties = ties.astype(bool)
+        key, node, ties = (np.concatenate(c) for c in zip(*parts))
         _, _, a, b = _stars(key[~ties], node[~ties])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[ties], a])), pa.array(np.concatenate([node[ties], b]))], names=["a", "b"])
+        a, b = _forest(np.concatenate([key[ties], a]), np.concatenate([node[ties], b]))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     kind = "key bigint, node bigint, tie boolean"
     return sets.mapInArrow(sketch, kind).repartition("key").mapInArrow(tie, "a bigint, b bigint").distinct()
@@ -206,22 +207,56 @@ def node_of(shingles: np.ndarray) -> int:
 
 # --- components ------------------------------------------------------------------
 
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few ties (smallest, other) as connect what the ties (a, b) connect."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    root = _roots(i, j, len(names))
+    tied = np.flatnonzero(root != np.arange(len(names)))
+    return names[root[tied]], names[tied]
+
+
+def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest position reachable from each of n positions by the ties (i, j)."""
+    root = np.arange(n)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, i, root[j])
+        np.minimum.at(low, j, root[i])
+        low = np.minimum(low, low[low])
+        if (low == root).all():
+            return root
+        root = low
+
+
 def components(edges: DataFrame, space: Workspace, name: str) -> DataFrame:
-    """(v, label): the smallest vertex reachable from every vertex of the edges (a, b)."""
-    both = space.write(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionAll(edges.select("b", "a")).where("v != u").distinct(), f"{name}-edges")
-    labels = space.write(both.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("label")), f"{name}-0")
-    k = 0
+    """(v, label): the smallest vertex reachable from every vertex of the edges (a, b).
+
+    In every round each vertex hooks on to its smallest neighbour, if that is smaller,
+    and the edges are drawn anew between what their ends hooked on to; a star is
+    gone after one round. The rounds' hooks, resolved from the last one back, are the labels.
+    """
+    def ordered(a: str, b: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
+
+    rest, hooks = space.write(ordered("a", "b", edges), f"{name}-edges-0"), []
     while True:
-        near = both.join(labels.select(F.col("v").alias("u"), "label"), "u").groupBy("v").agg(F.min("label").alias("near"))
-        seen = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
-        jump = seen.join(labels.select(F.col("v").alias("next"), F.col("label").alias("far")), "next")
-        new = space.write(jump.select("v", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("changed")), f"{name}-{k + 1}")
-        done = not new.where("changed").limit(1).count()
-        if k:
-            space.drop(f"{name}-{k}")
-        labels, k = new.select("v", "label"), k + 1
-        if done:
-            return labels
+        k = len(hooks)
+        hooks.append(space.write(rest.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")), f"{name}-hooks-{k}"))
+        up = hooks[-1]
+        drawn = rest.join(up.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a", "left").join(up.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
+        rest = space.write(ordered("na", "pb", drawn.select(F.coalesce("pa", "a").alias("na"), "pb")), f"{name}-edges-{k + 1}")
+        space.drop(f"{name}-edges-{k}")
+        if rest.isEmpty():
+            break
+    labels = hooks[-1].select("v", F.col("p").alias("label"))
+    for up in reversed(hooks[:-1]):
+        above = labels.select(F.col("v").alias("p"), "label")
+        labels = up.join(above, "p", "left").select("v", F.coalesce("label", "p").alias("label")).unionAll(labels)
+        # a vertex that others hook on to while it hooks itself is met again in the next round
+        labels = labels.groupBy("v").agg(F.min("label").alias("label"))
+    labels = space.write(labels, f"{name}-hooked")
+    return labels.unionAll(labels.select(F.col("label").alias("v"), "label").distinct())
 
 
 # --- verification ----------------------------------------------------------------
@@ -267,15 +302,7 @@ def _links(members: DataFrame, words: int, percent: int) -> DataFrame:
         names = np.array([v for v, _ in left] + ([] if one else [v for v, _ in right]), dtype=np.int64)
         j = j if one else j + len(left)
         count = np.bincount(i, minlength=len(names)) + np.bincount(j, minlength=len(names))
-        root = np.arange(len(names))
-        while True:  # smallest reachable position
-            low = root.copy()
-            np.minimum.at(low, i, root[j])
-            np.minimum.at(low, j, root[i])
-            low = np.minimum(low, low[low])
-            if (low == root).all():
-                break
-            root = low
+        root = _roots(i, j, len(names))
         has = np.flatnonzero(count)
         return pa.RecordBatch.from_arrays([pa.array(names[root[has]]), pa.array(names[has]), pa.array(count[has].astype(np.int64))], names=["a", "b", "links"])
 

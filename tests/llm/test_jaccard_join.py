@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 
+from reviewloom import Workspace
 from reviewloom.llm import jaccard_join as J
 from tests.llm.conftest import prose
 
@@ -50,8 +51,9 @@ def test_components_and_links_match_brute_force(frame):
     for k, percent in ((3, 90), (5, 80)):
         want = brute(rows, k, percent)
         for chunk in (400, 7):  # whole families, and families cut into chunks
-            got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in J.link_documents(frame(rows), words=k, percent=percent, chunk=chunk).collect()}
-            assert got == want
+            out = J.link_documents(frame(rows), words=k, percent=percent, chunk=chunk).collect()
+            assert len(out) == len(rows)
+            assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in out} == want
 
 
 def test_linked_sets_share_a_key():
@@ -80,3 +82,21 @@ def test_empty_table(frame):
 def test_words_over_the_power_table():
     long = b"x" * 70_000
     assert J.word_hashes(long + b" y")[0] == J.word_hashes(long)[0] != J.word_hashes(long + b"x")[0]
+
+
+def test_components_of_chains_trees_and_stars(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(200 + i, 200 + (i * 7 + 3) % 60) for i in range(60)] + [(300, 300 + i) for i in range(1, 30)] + [(rng.randrange(400, 600), rng.randrange(400, 600)) for _ in range(150)]
+    parent = {v: v for e in edges for v in e}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    met = {v for a, b in edges if a != b for v in (a, b)}
+    out = J.components(spark.createDataFrame(edges, "a bigint, b bigint"), Workspace(spark, "components"), "t").collect()
+    assert len(out) == len(met) and {r["v"]: r["label"] for r in out} == {v: find(v) for v in met}
