@@ -130,26 +130,31 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.where(F.octet_length("data") >= length).select("h", "data").mapInArrow(run, "h binary, pos bigint, anchor bigint")
 
 
-def _cuts(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """Rows (h, at, shift, anchor, cut, bytes): the text around each repeated anchor; ``shift`` is its column in the collection."""
+def _cuts(found: DataFrame, length: int, gram: int, whole: bool) -> DataFrame:
+    """The text around each repeated anchor: rows (h, at, anchor, cut), or with ``whole`` (anchor, cut, shift, bytes).
+
+    ``shift`` is the column of the collection in which the cut begins. The two forms are
+    made separately: the places stay small, and the bytes are combined before they are moved.
+    """
     side = length - gram
+    kinds = [("anchor", pa.int64()), ("cut", pa.binary())] + ([("shift", pa.int32()), ("bytes", pa.binary())] if whole else [("h", pa.binary()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 64):
-                batch = whole.slice(start, 64)
-                out: list[list] = [[] for _ in range(6)]
+        for all_rows in batches:
+            for start in range(0, all_rows.num_rows, 64):
+                batch = all_rows.slice(start, 64)
+                out: list[list] = [[] for _ in kinds]
                 for h, data, places in zip(*(batch.column(k).to_pylist() for k in range(3))):
                     for p in places:
                         low = max(0, p["pos"] - side)
                         cut = data[low : p["pos"] + gram + side]
-                        for column, value in zip(out, (h, low, side - (p["pos"] - low), p["anchor"], xxhash.xxh3_128_digest(cut), cut)):
+                        row = (p["anchor"], xxhash.xxh3_128_digest(cut), *((side - (p["pos"] - low), cut) if whole else (h, low)))
+                        for column, value in zip(out, row):
                             column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["h", "at", "shift", "anchor", "cut", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(out, kinds)], names=[k for k, _ in kinds])
 
-    return found.select("h", "data", "places").mapInArrow(run, "h binary, at bigint, shift int, anchor bigint, cut binary, bytes binary")
+    schema = "anchor bigint, cut binary, " + ("shift int, bytes binary" if whole else "h binary, at bigint")
+    return found.select("h", "data", "places").mapInArrow(run, schema)
 
 
 # --- the collection --------------------------------------------------------------
@@ -268,26 +273,35 @@ def _hashed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, space: Workspace, *, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """(spans, texts): rows (h, spans) with the removed runs of each text that has any, and rows (h, data) that hold these texts.
+    """(spans, texts): rows (h, spans) with the removed runs of each text that has any, and rows (h, data) that hold the texts that repeat in part.
 
-    ``h`` is the first half of the text's SHA-256.
+    ``h`` is the first half of the text's SHA-256. A text that several rows have loses
+    everything; it takes part once, for what it shares with other texts.
     """
-    texts = _hashed(docs, text_col)
+    texts = _hashed(docs, text_col).where(F.octet_length("data") >= length)
     anchors = space.write(_anchor_rows(texts, length, gram), "anchors")
-    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    # met in two places, where the same place of equal texts is one
+    place = F.xxhash64("h", "pos")
+    repeated = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("anchor")
     places = anchors.join(repeated.hint("shuffle_merge"), "anchor").groupBy("h").agg(F.collect_set(F.struct("pos", "anchor")).alias("places"))
-    found = space.write(places.hint("shuffle_merge").join(texts.where(F.octet_length("data") >= length), "h").select("h", "data", "places"), "found")
-    cuts = space.write(_cuts(found, length, gram), "cuts")
+    met = places.hint("shuffle_merge").join(texts, "h").select("h", "data", "places").dropDuplicates(["h"])
+    found = space.write(met, "found")
     space.drop("anchors")
-    distinct = space.write(cuts.groupBy("anchor", "cut", "shift", "bytes").agg(F.count("*").alias("n")), "distinct")
-    sizes = distinct.groupBy("anchor").agg(F.count("*").alias("k"))
-    crowded = sizes.where(F.col("k") > most).select("anchor")
-    few = distinct.join(crowded, "anchor", "left_anti")
-    spans = _spans(few, length, gram).unionByName(_spans_by_hash(distinct.join(crowded, "anchor", "left_semi"), length, gram))
+    cuts = space.write(_cuts(found, length, gram, whole=False), "cuts")
+    distinct = _cuts(found, length, gram, whole=True).groupBy("anchor", "cut", "shift", "bytes").agg(F.count("*").alias("n"))
+    crowded = space.write(cuts.groupBy("anchor", "cut").agg(F.count("*").alias("k")).groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > most).select("anchor"), "crowded")
+    if crowded.isEmpty():
+        spans = _spans(distinct, length, gram)
+    else:
+        distinct = space.write(distinct, "distinct")
+        few, many = distinct.join(crowded, "anchor", "left_anti"), distinct.join(crowded, "anchor", "left_semi")
+        spans = _spans(few, length, gram).unionByName(_spans_by_hash(many, length, gram))
     spans = space.write(spans, "spans")
     runs = cuts.select("h", "at", "cut").join(spans, "cut").groupBy("h").agg(F.collect_set(F.struct((F.col("at") + F.col("first")).alias("a"), (F.col("at") + F.col("last")).alias("b"))).alias("spans"))
-    runs = space.write(runs, "runs")
-    space.drop("distinct", "spans", "cuts")
+    copies = _hashed(docs, text_col).select("h", F.octet_length("data").cast("bigint").alias("size")).where(F.col("size") >= length).groupBy("h", "size").agg(F.count("*").alias("k")).where("k > 1")
+    everything = copies.select("h", F.array(F.struct(F.lit(0).cast("bigint").alias("a"), F.col("size").alias("b"))).alias("whole"))
+    runs = space.write(runs.join(everything, "h", "full").select("h", F.coalesce("whole", "spans").alias("spans"), F.col("whole").isNotNull().alias("all")), "runs")
+    space.drop("distinct", "spans", "cuts", "crowded")
     return runs, found.select("h", "data")
 
 
@@ -314,10 +328,11 @@ def removal(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     [batch.column(0), pa.array(removed, pa.int64()), pa.array(n, pa.int64()), pa.array(digests), pa.array(merged, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
                     names=["h", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    joined = runs.hint("shuffle_merge").join(texts, "h").select("h", "data", "spans")
-    # texts that several rows have come out several times, with the same result
+    joined = runs.where("not all").hint("shuffle_merge").join(texts, "h").select("h", "data", "spans")
     cleaned = joined.mapInArrow(run, "h binary, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<a:bigint,b:bigint>>")
-    cleaned = space.write(cleaned.groupBy("h").agg(*[F.any_value(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256", "spans")]), "cleaned")
+    nothing = hashlib.sha256(b"").hexdigest()
+    gone = runs.where("all").select("h", F.get("spans", F.lit(0))["b"].alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"), F.lit(nothing).alias("kept_sha256"), "spans")
+    cleaned = space.write(cleaned.unionByName(gone), "cleaned")
     space.drop("found", "runs")
     data = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
     rows = docs.select(docs[id_col].alias("id"), F.sha2(data, 256).alias("whole"), F.octet_length(data).cast("bigint").alias("n_bytes"))
