@@ -34,7 +34,7 @@ from reviewloom.session import Workspace
 
 SALTS = 256
 #: Words seen by a worker are kept with their ids up to this number, then dropped all at once.
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 320_000
 #: The signs that every Unicode version and regular-expression engine splits alike; other texts are encoded whole.
 _PLAIN = r"[^\x00-\x1b\x20-\x84\x86-ȳ‐-‧]|<\|endoftext\|>"
 
