@@ -242,8 +242,13 @@ def components(edges: DataFrame, space: Workspace, name: str) -> DataFrame:
     rest, hooks = space.write(ordered("a", "b", edges), f"{name}-edges-0"), []
     while True:
         k = len(hooks)
-        hooks.append(space.write(rest.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")), f"{name}-hooks-{k}"))
-        up = hooks[-1]
+        up = space.write(rest.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")), f"{name}-hooks-{k}-0")
+        for jump in range(1, 64):  # chains of hooks are cut to their ends in a logarithmic number of jumps
+            further = up.select(F.col("v").alias("p"), F.col("p").alias("q"))
+            if up.join(further, "p", "left_semi").isEmpty():
+                break
+            up = space.write(up.join(further, "p", "left").select("v", F.coalesce("q", "p").alias("p")), f"{name}-hooks-{k}-{jump}")
+        hooks.append(up)
         drawn = rest.join(up.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a", "left").join(up.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
         rest = space.write(ordered("na", "pb", drawn.select(F.coalesce("pa", "a").alias("na"), "pb")), f"{name}-edges-{k + 1}")
         space.drop(f"{name}-edges-{k}")
