@@ -5,15 +5,17 @@ bytes before it. A context node holds the counts of zeros and ones of a decision
 their Krichevsky-Trofimov estimate; a node's weighted probability is half its own
 estimate and half the product of its children's, so the prediction mixes the
 estimates of all depths with weights that the training counts fix. The model is
-trained once and then frozen: it is one row of 256 log probabilities per context.
-
-Counts come from all training texts: byte strings of ``DEPTH + 1`` bytes are counted
-per chunk and combined by Spark. The tree keeps the contexts met at least ``2**k``
-times, with the smallest ``k`` that leaves no more than ``CONTEXTS`` of them (a
-context's suffixes are met as often, so they are kept too); the texts after the
-other extensions of a kept context form one last child of it. So the model has a
-proven bound, ``CONTEXTS`` rows of 1 KiB, whatever the size of the corpus, which makes
-it safe to hand to every worker; it goes through a file in the shared folder.
+trained once and then frozen.
+
+No context is left out, at any size of the corpus. Texts are taken in batches of about
+``_CHUNK`` bytes; the different byte strings of ``DEPTH + 1`` bytes of a batch, and how
+often training texts have them, are dealt out by the last ``SPLIT`` bytes of their
+context. All nodes of ``SPLIT`` bytes and more are so worked out inside tasks, each
+task with whole subtrees. The nodes above are those of contexts of fewer than ``SPLIT``
+bytes, at most 1 + 256 + 65,536 whatever the corpus; they meet on the driver. A second
+pass over the same strings finds the probability of each string of each batch, and the
+batches get them back by a join. Only decisions that were met have an entry; any other
+one takes the estimate of the longest suffix that has met it.
 
 The unigram word model beside it (``base_score``) needs the count of every word. Its
 vocabulary grows with the corpus and is never broadcast: words counted at least
@@ -28,13 +30,12 @@ training text all bytes are equally likely and the base score is that of no coun
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,9 @@ from pyspark.sql import types as T
 from reviewloom.session import Workspace
 
 DEPTH = 5
-CONTEXTS = 65_536
+#: Contexts that share so many last bytes are worked out in one task.
+SPLIT = 3
+BUCKETS = 1024
 FREQUENT = 65_536
 LONGEST_FREQUENT = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -109,7 +112,7 @@ def _byte_log10(one: np.ndarray) -> np.ndarray:
 
 
 class ContextTree:
-    """Kept contexts and, per context, the log10 probability of each byte where no longer context is kept.
+    """The model in memory, the dense form that the tests hold the tasks against: contexts and, per context, the log10 probability of each byte where no longer context is kept.
 
     ``keys[d]`` are the sorted contexts of ``d`` bytes, ``rows[d]`` their rows in ``table``.
     """
@@ -208,27 +211,6 @@ def build_tree(counts: list[tuple[np.ndarray, np.ndarray]]) -> ContextTree:
     return ContextTree(keys, table)
 
 
-def _count_grams(docs: DataFrame, depth: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush() -> pa.RecordBatch:
-            grams, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts.astype(np.int64))], names=["gram", "n"])
-
-        for batch in batches:
-            for x in batch.column(0):
-                held.append(grams_of(x.as_py() or b"", depth))
-                size += len(held[-1])
-                if size >= _CHUNK:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
-
-    return docs.select(F.col("text").cast("binary")).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
 def _smallest_power(sizes: dict[int, int], most: int) -> int:
     """Smallest k so that the entries with log2 of at least k are no more than ``most``."""
     k, total = 64, 0
@@ -237,55 +219,215 @@ def _smallest_power(sizes: dict[int, int], most: int) -> int:
     return k
 
 
-def train_tree(docs: DataFrame, space: Workspace, depth: int = DEPTH, contexts: int = CONTEXTS) -> ContextTree:
-    """The model of a frame with a ``text`` column."""
-    strings = space.write(_count_grams(docs, depth), "strings")
-    by_depth = []
-    for d in range(depth + 1):
-        mine = strings.select(F.col("gram").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("gram"), "n")
-        by_depth.append(space.write(mine.groupBy(F.lit(d).alias("d"), "gram").agg(F.sum("n").alias("n")), f"depth{d}"))
-    levels = reduce(DataFrame.unionAll, by_depth)
-    totals = space.write(levels.groupBy("d", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total")), "totals")
-    sizes = {r["k"]: r["m"] for r in totals.where("d > 0").groupBy(F.floor(F.log2("total")).alias("k")).agg(F.count("*").alias("m")).collect()}  # at most 64 rows
-    kept = totals.where((F.col("d") == 0) | (F.floor(F.log2("total")) >= _smallest_power(sizes, contexts - 1)))
-    rows = levels.withColumn("context", F.shiftright("gram", 8)).join(kept, ["d", "context"]).select("d", "gram", "n").toArrow()  # at most 256 a context
-    d, gram, n = (rows.column(c).to_numpy() for c in ("d", "gram", "n"))
-    space.drop("strings", "totals", *[f"depth{k}" for k in range(depth + 1)])
-    return build_tree([(gram[d == k].astype(np.int64), n[d == k].astype(np.int64)) for k in range(depth + 1)])
+# --- the byte model in parts -----------------------------------------------------
+
+Levels = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+Above = tuple[np.ndarray, np.ndarray]
+Found = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _mask(depth: int, level: int) -> int:
+    """Of a key: a context of ``depth`` bytes and ``level`` bits of the next byte."""
+    return (1 << (8 * depth + level)) - 1
+
+
+def climb(keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log_children: np.ndarray | None, depth: int, low: int, level: int) -> tuple[Levels, tuple]:
+    """Nodes from contexts of ``depth`` bytes up to those of ``low``: per depth keys, estimates, own shares and places of the parents; and keys, zeros, ones and children of the parents of the last."""
+    levels: Levels = {}
+    for d in range(depth, low - 1, -1):
+        own = _log_kt(zeros, ones)
+        share = np.ones(len(keys)) if log_children is None else _own_share(own, log_children)
+        weighted = own if log_children is None else _log_weighted(own, log_children)
+        up, parent = np.unique(keys & _mask(d - 1, level), return_inverse=True) if d else (np.zeros(1, dtype=np.int64), np.zeros(len(keys), dtype=np.int64))
+        levels[d] = (keys, (ones + 0.5) / (zeros + ones + 1.0), share, parent)
+        zeros, ones, log_children = (np.bincount(parent, x, len(up)) for x in (zeros, ones, weighted))
+        keys = up
+    return levels, (keys, zeros, ones, log_children)
+
+
+def descend(levels: Levels, above: Above) -> tuple[Found, Above]:
+    """Per depth keys and probabilities of a one where no longer context met the decision; what the last nodes hand down."""
+    found: Found = {}
+    for d in sorted(levels):
+        keys, one, share, parent = levels[d]
+        given, weight = above[0][parent], above[1][parent]
+        above = (given + weight * share * one, weight * (1 - share))
+        found[d] = (keys, above[0] + above[1] * one)
+    return found, above
+
+
+def _decisions_of(grams: np.ndarray, n: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, zeros and ones of sorted strings."""
+    key, ones = grams >> (8 - level), n * ((grams >> (7 - level)) & 1)
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    ones, total = np.add.reduceat(ones, starts), np.add.reduceat(n, starts)
+    return key[starts], (total - ones).astype(np.float64), ones.astype(np.float64)
+
+
+def _probability(found: Found, keys: np.ndarray, level: int) -> np.ndarray:
+    """Of a one, from the longest suffix that met the decision."""
+    out, open_ = np.full(len(keys), 0.5), np.arange(len(keys))
+    for d in sorted(found, reverse=True):
+        known, p = found[d]
+        if not len(known) or not len(open_):
+            continue
+        wanted = keys[open_] & _mask(d, level)
+        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+        ok = known[at] == wanted
+        out[open_[ok]] = p[at[ok]]
+        open_ = open_[~ok]
+    return out
+
+
+def _bucket(grams: np.ndarray, split: int) -> np.ndarray:
+    """Of the last ``split`` bytes of the context."""
+    mixed = (((grams >> 8) & _mask(split, 0)) * 0x9E3779B1) & 0xFFFFFFFF
+    return (mixed >> 12) % BUCKETS
+
+
+def _strings_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different strings of a batch by bucket and number, the place of each position's string among them, and the first position of each text."""
+    parts = [grams_of(x, depth) for x in texts]
+    starts = np.cumsum([0, *map(len, parts)])[:-1]
+    whole = np.concatenate(parts)
+    del parts
+    grams, place = np.unique(whole, return_inverse=True)
+    del whole
+    order = np.argsort(_bucket(grams, min(SPLIT, depth)), kind="stable")
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return grams[order], rank[place], starts
 
 
-# --- model files -----------------------------------------------------------------
+def _packed(numbers: np.ndarray) -> bytes:
+    """Byte planes of 64-bit numbers, compressed: few differ between the strings of a bucket."""
+    return pa.Codec("zstd", 1).compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes(), asbytes=True)
 
-def _filesystem(url: str):
-    from pyarrow import fs
 
-    return fs.FileSystem.from_uri(url if "://" in url or url.startswith("file:") else f"file://{url}")
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 8 * size, asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
 
 
-def save_tree(tree: ContextTree, url: str) -> None:
-    system, path = _filesystem(url)
-    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(path) as out:
-        out.write(np.array([len(tree.keys), *map(len, tree.keys)], dtype=np.int64).tobytes())
-        for k in tree.keys:
-            out.write(k.astype(np.int64).tobytes())
-        out.write(np.ascontiguousarray(tree.table).data)
+def _batches(texts: DataFrame, depth: int) -> DataFrame:
+    """Rows of two kinds: texts (key, id, text) and the strings of a batch by bucket (bucket, size, grams, n: how often training texts have each)."""
+    schema = T.StructType([
+        T.StructField("batch", T.LongType()), T.StructField("key", T.LongType()), T.StructField("id", texts.schema["id"].dataType), T.StructField("text", T.BinaryType()),
+        T.StructField("bucket", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("n", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = key = TaskContext.get().partitionId() << 40
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def rows(*columns: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(list(columns), names=[f.name for f in schema.fields])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            data = [x.as_py() or b"" for part in held for x in part.column(1)]
+            learnt = np.array([x.as_py() for part in held for x in part.column(2)], dtype=bool)
+            ids, at = pa.concat_arrays([part.column(0) for part in held]), key - len(data)
+            for k in range(0, len(data), 256):
+                some = data[k : k + 256]
+                none = pa.nulls(len(some), pa.binary())
+                yield rows(pa.array([batch] * len(some), pa.int64()), pa.array(range(at + k, at + k + len(some)), pa.int64()), ids.slice(k, len(some)), pa.array(some, pa.binary()), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.int32()), none, none)
+            grams, place, starts = _strings_of(data, depth)
+            n = np.bincount(place, np.repeat(learnt, np.diff(np.append(starts, len(place)))), len(grams)).astype(np.int64)
+            bucket = _bucket(grams, min(SPLIT, depth))
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            edges = np.append(first, len(grams))
+            m = len(first)
+            yield rows(
+                pa.array([batch] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, ids.type), pa.nulls(m, pa.binary()), pa.array(bucket[first].astype(np.int32)), pa.array(np.diff(edges).astype(np.int32)),
+                *(pa.array([_packed(x[i:j]) for i, j in zip(edges, edges[1:])], pa.binary()) for x in (grams, n)))
+
+        for whole in batches:
+            start = 0
+            for i, length in enumerate(pc.binary_length(whole.column(1)).to_pylist()):
+                size += (length or 0) + 1
+                key += 1
+                if size >= _CHUNK:
+                    held.append(whole.slice(start, i + 1 - start))
+                    yield from flush()
+                    held, size, start, batch = [], 0, i + 1, batch + 1
+            if start < whole.num_rows:
+                held.append(whole.slice(start))
+        if held:
+            yield from flush()
+
+    return texts.select("id", F.col("text").cast("binary"), "learnt").mapInArrow(run, schema)
+
+
+def _read_strings(batches: Iterator[pa.RecordBatch]) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """Batch, bucket and length of each row of a task; all different strings, their counts, and the place of each row's strings."""
+    rows, grams, n = [], [], []
+    for b in batches:
+        for batch, bucket, size, g, m in zip(*(b.column(k).to_pylist() for k in range(5))):
+            grams.append(_unpacked(g, size))
+            n.append(_unpacked(m, size))
+            rows.append((batch, bucket, size))
+    if not rows:
+        return [], *[np.zeros(0, dtype=np.int64)] * 3
+    different, place = np.unique(np.concatenate(grams), return_inverse=True)
+    return rows, different, np.bincount(place, np.concatenate(n), len(different)).astype(np.int64), place
 
 
-_TREES: dict[str, ContextTree] = {}
+#: Log probabilities that meet in a sum over tasks are whole multiples of this part of a nat, so the sum has no order.
+_PART = 2.0**20
 
 
-def load_tree(url: str) -> ContextTree:
-    """Read once per worker."""
-    if url not in _TREES:
-        _TREES.clear()
-        system, path = _filesystem(url)
-        with system.open_input_stream(path) as source:
-            levels = int(np.frombuffer(source.read(8), dtype=np.int64)[0])
-            sizes = np.frombuffer(source.read(8 * levels), dtype=np.int64).tolist()
-            keys = [np.frombuffer(source.read(8 * n), dtype=np.int64) for n in sizes]
-            _TREES[url] = ContextTree(keys, np.frombuffer(source.read(), dtype=np.float32).reshape(-1, 256))
-    return _TREES[url]
+def train_upper(strings: DataFrame, depth: int) -> list[tuple[Found, np.ndarray, Above]]:
+    """Per bit level the nodes of fewer than ``SPLIT`` bytes: their probabilities, and keys and what they hand down for those of the most bytes."""
+    split = min(SPLIT, depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, grams, n, _ = _read_strings(batches)
+        grams, n = grams[n > 0], n[n > 0]
+        for level in range(8 if len(grams) else 0):
+            _, (keys, zeros, ones, kids) = climb(*_decisions_of(grams, n, level), None, depth, split, level)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), level, dtype=np.int32)), pa.array(keys), *[pa.array(np.rint(x).astype(np.int64)) for x in (zeros, ones, kids * _PART)]],
+                names=["level", "key", "zeros", "ones", "kids"])
+
+    parts = strings.repartition("bucket").mapInArrow(run, "level int, key bigint, zeros bigint, ones bigint, kids bigint")
+    rows = parts.groupBy("level", "key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "kids")]).toArrow()  # at most 255 a context of two bytes
+    level, keys, *sums = (rows.column(c).to_numpy() for c in ("level", "key", "zeros", "ones", "kids"))
+    out = []
+    for k in range(8):
+        mine = np.flatnonzero(level == k)
+        mine = mine[np.argsort(keys[mine])]
+        zeros, ones, kids = (x[mine].astype(np.float64) for x in sums)
+        levels, _ = climb(keys[mine].astype(np.int64), zeros, ones, kids / _PART, split - 1, 0, k)
+        found, above = descend(levels, (np.zeros(1), np.ones(1)))
+        out.append((found, found[split - 1][0], above))
+    return out
+
+
+def string_logs(strings: DataFrame, upper: list[tuple[Found, np.ndarray, Above]], depth: int) -> DataFrame:
+    """Log10 probabilities (float32) of the strings of each batch and bucket, in their order."""
+    split = min(SPLIT, depth)
+    shared = strings.sparkSession.sparkContext.broadcast(upper)  # contexts of fewer than ``SPLIT`` bytes only
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, grams, n, place = _read_strings(batches)
+        logs = np.zeros(len(grams))
+        for level in range(8 if len(grams) else 0):
+            found, keys, above = shared.value[level]
+            if (n > 0).any():
+                levels, (up, *_) = climb(*_decisions_of(grams[n > 0], n[n > 0], level), None, depth, split, level)
+                at = np.searchsorted(keys, up)
+                found = found | descend(levels, (above[0][at], above[1][at]))[0]
+            one = np.clip(_probability(found, grams >> (8 - level), level), 1e-9, 1 - 1e-9)
+            logs += np.log10(np.where((grams >> (7 - level)) & 1, one, 1.0 - one))
+        logs, at = logs.astype(np.float32), 0
+        for k in range(0, len(rows), 1024):
+            some, values = rows[k : k + 1024], []
+            for *_, m in some:
+                values.append(logs[place[at : at + m]].tobytes())
+                at += m
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.int32()), pa.array(values, pa.binary())], names=["batch", "bucket", "logs"])
+
+    return strings.repartition("bucket").mapInArrow(run, "batch bigint, bucket int, logs binary")
 
 
 # --- words -----------------------------------------------------------------------
@@ -325,16 +467,20 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", parts: int = 5, part: int = 1, depth: int = DEPTH, contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", parts: int = 5, part: int = 1, depth: int = DEPTH, frequent: int = FREQUENT) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     spark = docs.sparkSession
     space = Workspace(spark, "lm")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     learnt = texts.where(~held_out(F.col("id"), parts, part))
-    model = f"{space.path('model')}/{uuid.uuid4().hex}.tree"
-    save_tree(train_tree(learnt, space, depth, contexts), model)
+    dealt = space.write(_batches(texts.withColumn("learnt", ~held_out(F.col("id"), parts, part)), depth), "batches")
+    strings = dealt.where("bucket is not null").select("batch", "bucket", "size", "grams", "n")
+    upper = train_upper(strings, depth)
+    logs = string_logs(strings, upper, depth)
+    space.drop()
 
     vocabulary = space.write(_count_words(learnt), "vocabulary")
+    space.drop()
     sums = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     ends = learnt.count()  # each text has one end, itself a token
     train_tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
@@ -346,27 +492,29 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         T.StructField("n_bytes", T.LongType()), T.StructField("known", T.LongType()), T.StructField("logs", T.DoubleType()), T.StructField("score", T.DoubleType()),
         T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("rare_n", T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, key = load_tree(model), TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                out: list[list] = [[] for _ in range(8)]
-                for x in batch.column(1):
-                    data = x.as_py() or b""
-                    words = Counter(words_of(data))
-                    rare = [(w, n) for w, n in words.items() if w not in known]
-                    total = sum(words.values())
-                    logs = math.fsum(n * known[w] for w, n in words.items() if w in known) + end_log
-                    row = (key, total + 1, len(data), total - sum(n for _, n in rare) + (ends > 0), logs, tree.log10(data), [w for w, _ in rare], [n for _, n in rare])
-                    for column, value in zip(out, row):
-                        column.append(value)
-                    key += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), batch.column(0), *[pa.array(c, pa.int64()) for c in out[1:4]], *[pa.array(c, pa.float64()) for c in out[4:6]],
-                     pa.array(out[6], pa.list_(pa.binary())), pa.array(out[7], pa.list_(pa.int32()))], names=[f.name for f in schema.fields])
-
-    scored = space.write(texts.select("id", F.col("text").cast("binary")).mapInArrow(run, schema), "scored")
+    def run(texts: pa.Table, logs: pa.Table) -> pa.Table:
+        data = [x.as_py() for x in texts.column("text")]
+        _, place, starts = _strings_of(data, depth)
+        order = np.argsort(logs.column("bucket").to_numpy())
+        values = [x.as_py() for x in logs.column("logs")]
+        byte_logs = np.frombuffer(b"".join(values[i] for i in order), dtype=np.float32).astype(np.float64)
+        scores = np.add.reduceat(byte_logs[place], starts)
+        out: list[list] = [[] for _ in range(7)]
+        for x, score in zip(data, scores.tolist()):
+            words = Counter(words_of(x))
+            rare = [(w, n) for w, n in words.items() if w not in known]
+            total = sum(words.values())
+            sums = math.fsum(n * known[w] for w, n in words.items() if w in known) + end_log
+            row = (total + 1, len(x), total - sum(n for _, n in rare) + (ends > 0), sums, score, [w for w, _ in rare], [n for _, n in rare])
+            for column, value in zip(out, row):
+                column.append(value)
+        return pa.Table.from_arrays(
+            [texts.column("key"), texts.column("id"), *[pa.array(c, pa.int64()) for c in out[:3]], *[pa.array(c, pa.float64()) for c in out[3:5]],
+             pa.array(out[5], pa.list_(pa.binary())), pa.array(out[6], pa.list_(pa.int32()))], names=[f.name for f in schema.fields])
+
+    whole = dealt.where("bucket is null").select("batch", "key", "id", "text")
+    scored = space.write(whole.groupBy("batch").cogroup(logs.groupBy("batch")).applyInArrow(run, schema), "scored")
+    space.drop("batches")
     rare = scored.select("key", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("key", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("m"))
     met = rare.join(vocabulary, "word", "left").groupBy("key").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0)).alias("more"), F.sum(F.col("m") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("rest"))

@@ -82,6 +82,31 @@ def test_probabilities_of_a_tree_sum_to_one():
     assert np.allclose((10.0 ** tree.table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_scores_are_those_of_the_whole_tree(frame, monkeypatch):
+    rows = [(i, prose(i, 5 + i)) for i in range(12)] + [(40, None), (41, ""), (43, "ÉÀ x"), (None, "an er"), (0, prose(0, 5))]
+    monkeypatch.setattr(L, "_CHUNK", 60)
+    out = [r["score"] for r in L.score_documents(frame(rows), depth=4).orderBy("doc_id", "score").collect()]
+    grams = np.concatenate([L.grams_of((x or "").encode(), 4) for d, x in rows if d is None or remainder(d, 5) != 1])
+    counts = []
+    for d in range(5):
+        counts.append(np.unique(grams & ((1 << (8 * (d + 1))) - 1), return_counts=True))
+    tree = L.build_tree(counts)
+    want = sorted((-1 if d is None else d, tree.log10((x or "").encode())) for d, x in rows)
+    assert np.allclose(out, [w for _, w in want], rtol=1e-4)
+
+
+def test_rare_contexts_stay_when_the_corpus_is_large(frame):
+    import random
+
+    rng = random.Random(1)
+    large = ["".join(chr(rng.randrange(58, 122)) for _ in range(600)) for _ in range(50)] * 20  # 90,000 contexts, each met 20 times
+    rare = "".join(rng.choice("0123456789") for _ in range(400))
+    ids = [i for i in range(2000) if remainder(i, 5) != 1]
+    held = next(i for i in range(2000, 3000) if remainder(i, 5) == 1)
+    out = {r["doc_id"]: r for r in L.score_documents(frame([*zip(ids, large + [rare] * 8), (held, rare)])).collect()}
+    assert out[held]["held_out"] and out[held]["bits_per_byte"] < 1.3
+
+
 def test_language_model_of_an_empty_table(frame):
     assert L.score_documents(frame([])).count() == 0
 
