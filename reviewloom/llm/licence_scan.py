@@ -7,8 +7,8 @@ rule that matches names the licence, is taken out of the sequence, and the rules
 on with what is left. Identifiers that no rule takes are reported as unmatched.
 
 Sentences are read twice: line by line, and with the lines of a paragraph joined, so
-that wrapped notices and one-line notices inside other text are both found. Texts
-without a telling word are passed over by one pattern.
+that wrapped notices and one-line notices inside other text are both found. A stop
+inside a known sentence ("v. 2.0") ends no sentence.
 
 Main path: DataFrame functions only, one projection per row without a shuffle. The
 sentence table is a fixed list, so its size is proven.
@@ -86,7 +86,6 @@ RULES = (
     ("Public-Domain", "PUBLIC_DOMAIN"),
     ("All-Rights-Reserved", "RIGHTS_RESERVED"),
 )
-TELLING = r"(?i)licen[sc]e|permission|redistribut|warranty|copyright|rights reserved|public domain"
 
 
 def normal(sentence: str) -> str:
@@ -98,8 +97,15 @@ def _normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9]+", " "))
 
 
-def _sentences(text: Column) -> Column:
-    """Pieces between line ends and sentence ends (a stop before white space)."""
+def _inner_stops(sentences) -> list[str]:
+    """Pieces of the known sentences that end in a stop before white space, as patterns: whatever was known up to there."""
+    return sorted({r"[^a-z0-9]+".join(normal(s[: m.start()]).split()) for _, s in sentences for m in re.finditer(r"[.](?=\s+\S)", s)})
+
+
+def _sentences(text: Column, inner: list[str]) -> Column:
+    """Pieces between line ends and sentence ends (a stop before white space), where no known sentence has its stop."""
+    for start in inner:
+        text = F.regexp_replace(text, rf"(?i)(?<![a-z0-9])({start})[.](?=[^\S\n]+\S)", "$1 ")
     return F.split(text, r"[.](?=\s|$)|\n")
 
 
@@ -116,9 +122,10 @@ def _rule_pattern(rule: str) -> str:
 def scan_licences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences=SENTENCES, rules=RULES) -> DataFrame:
     """One row per document: id, sentence_ids, licences, licence (the first rule that matched) and unmatched identifiers."""
     ids = F.from_json(F.lit(json.dumps({normal(s): i for i, s in sentences})), "map<string,string>")
-    rows = docs.select(docs[id_col].alias("id"), F.when(docs[text_col].rlike(TELLING), docs[text_col]).otherwise("").alias("text"))
+    inner = _inner_stops(sentences)
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     joined = F.regexp_replace(F.regexp_replace("text", r"\n[ \t]*\n", ".\n\n"), r"(?<!\n)\n[ \t]*(?:[*#]|//)?[ \t]*(?!\n)", " ")
-    rows = rows.select("id", _known(_sentences(F.col("text")), ids).alias("by_line"), _known(_sentences(joined), ids).alias("by_paragraph"))
+    rows = rows.select("id", _known(_sentences(F.col("text"), inner), ids).alias("by_line"), _known(_sentences(joined, inner), ids).alias("by_paragraph"))
     # what only one reading sees goes behind what the other one sees
     longer = F.when(F.size("by_paragraph") > F.size("by_line"), F.col("by_paragraph")).otherwise(F.col("by_line"))
     shorter = F.when(F.size("by_paragraph") > F.size("by_line"), F.col("by_line")).otherwise(F.col("by_paragraph"))

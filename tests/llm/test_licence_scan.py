@@ -41,6 +41,16 @@ def test_every_known_sentence_is_recognised(frame):
             assert name in out[i]["sentence_ids"], s
 
 
+def test_sentences_with_stops_wrapped_ones_and_those_of_the_caller_are_recognised(frame):
+    rows = [(i, f"{prose(i, 5)}.\n{s}.") for i, (_, s) in enumerate(SENTENCES)] + [(100 + i, s.replace(" ", "\n")) for i, (_, s) in enumerate(SENTENCES)]
+    out = scan(frame, rows)
+    for i, (name, s) in enumerate(SENTENCES):
+        assert name in out[i]["sentence_ids"] and name in out[100 + i]["sentence_ids"], s
+    assert out[[n for n, _ in SENTENCES].index("MPL2_NOTE")]["licence"] == "MPL-2.0"
+    own = [("OWN", "Use it e.g. at home")]
+    assert {r["licence"] for r in scan_licences(frame([(1, "use it e.g. at\nhome."), (2, "Well. Use it e.g. at home. Yes")]), sentences=own, rules=[("Own", "OWN")]).collect()} == {"Own"}
+
+
 def test_plan_is_native_and_without_shuffle(frame):
     plan = scan_licences(frame([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
