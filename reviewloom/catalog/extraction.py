@@ -310,7 +310,7 @@ def b20(spark, sf):
 
 @query("b21_dollar_amounts", r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\$\s*[\d,]+(?:\.\d{2})?')[1:30], '|') AS prices FROM documents""")
 def b21(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", F.array_join(mk.dollar_amounts("text"), "|").alias("prices"))
+    return b.table(spark, sf, "documents").select("doc_id", F.array_join(mk.dollar_amounts("text", first=30), "|").alias("prices"))
 
 
 _SHOP = """concat('<html><a class="nav" href="/', {id}, '">Our Packages</a><a href="/about">About</a><a href="https://m.test/marketplace/', {id}, '--7">See plan</a>',
@@ -379,7 +379,7 @@ def b29(spark, sf):
 @query("b30_class_frequency", r"""SELECT cls AS class, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(c, '\s+')) AS cls FROM (
     SELECT unnest(regexp_extract_all(html, '<(?:div|section|article)[^>]*class="([^"]*)"', 1)) AS c FROM pages)) WHERE length(cls) >= 2 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def b30(spark, sf):
-    return mk.class_frequency(b.table(spark, sf, "pages"), min_len=2)
+    return mk.class_frequency(b.table(spark, sf, "pages"), k=10, min_len=2)
 
 
 @query("b30_page_structure", """SELECT p_partkey AS page_id, concat('vendor-name:', p_name) AS headings, 'package-price' AS priced, 
@@ -396,7 +396,7 @@ def b30b(spark, sf):
     ORDER BY 1 LIMIT 20""")
 def b31(spark, sf):
     pages = b.table(spark, sf, "pages").select(F.concat(F.lit('<a href="'), "url", F.lit('">'), "html").alias("html"))
-    return mk.endpoint_urls(pages, hints=["api", "listing", "page", "ref"])
+    return mk.endpoint_urls(pages, hints=["api", "listing", "page", "ref"], k=20, width=180)
 
 
 @query("b32_substring_counts", """SELECT page_id, CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS BIGINT) AS n_0,

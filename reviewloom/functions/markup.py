@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
-from reviewloom.functions.scalars import col_of, collapse_spaces, contains_any, count_occurrences
+from reviewloom.functions.scalars import col_of, collapse_spaces, contains_any, count_occurrences, cut_to
 from reviewloom.operators.dedup import top_by_key
 
 JSON_LD = r"""(?is)<script\b[^>]*\btype\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script\s*>"""
@@ -46,8 +46,8 @@ def page_title(html: Column | str) -> Column:
     return F.trim(F.regexp_extract(F.coalesce(col_of(html), F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-def dollar_amounts(text: Column | str, first: int | None = 30) -> Column:
-    """Dollar amounts in reading order; the report keeps the first thirty, ``None`` keeps all."""
+def dollar_amounts(text: Column | str, first: int | None = None) -> Column:
+    """Dollar amounts in reading order; a report can keep the first few."""
     found = all_matches(text, PRICE, 0)
     return found if first is None else F.slice(found, 1, first)
 
@@ -98,12 +98,13 @@ def package_rows(
 
 
 def card_texts(
-    html: Column | str, words: Sequence[str] = tuple(lx.CARD_CLASS_WORDS), first: int = 20, max_len: int = 500
+    html: Column | str, words: Sequence[str] = tuple(lx.CARD_CLASS_WORDS), first: int | None = None, max_len: int | None = None
 ) -> Column:
-    """Short texts of elements whose class mentions packages or pricing, the first twenty."""
+    """Texts of elements whose class mentions packages or pricing; a report can keep the first few, and those under a length."""
     pattern = r'(?s)<(?:\w+)[^>]*class="[^"]*(?:' + "|".join(words) + r')[^"]*"[^>]*>([^<]*)(?=<)'
     texts = F.transform(all_matches(html, pattern), lambda t: F.trim(t))
-    return F.slice(F.filter(texts, lambda t: (F.length(t) > 0) & (F.length(t) < max_len)), 1, first)
+    found = F.filter(texts, lambda t: (F.length(t) > 0) if max_len is None else (F.length(t) > 0) & (F.length(t) < max_len))
+    return found if first is None else F.slice(found, 1, first)
 
 
 def anchors(html: Column | str) -> Column:
@@ -115,9 +116,9 @@ def anchors(html: Column | str) -> Column:
 
 
 def package_links(
-    html: Column | str, words: Sequence[str] = tuple(lx.PACKAGE_LINK_WORDS), first: int | None = 10
+    html: Column | str, words: Sequence[str] = tuple(lx.PACKAGE_LINK_WORDS), first: int | None = None
 ) -> Column:
-    """Links whose text mentions packages or prices; the report keeps the first ten."""
+    """Links whose text mentions packages or prices; a report can keep the first few."""
     hits = F.filter(anchors(html), lambda a: (a["href"] != "") & contains_any(F.lower(a["text"]), words))
     return hits if first is None else F.slice(hits, 1, first)
 
@@ -194,8 +195,8 @@ def structured_counts(html: Column | str, prefix: str = "") -> list[Column]:
     ]
 
 
-def listing_json_previews(html: Column | str, width: int = 1000) -> Column:
-    """Openings of the application/json blocks that hold a vendor listing."""
+def listing_json_previews(html: Column | str, width: int | None = None) -> Column:
+    """The application/json blocks that hold a vendor listing, or their openings of a width."""
     blocks = all_matches(html, PLAIN_JSON)
     listed = F.filter(
         blocks,
@@ -204,11 +205,11 @@ def listing_json_previews(html: Column | str, width: int = 1000) -> Column:
             F.lit(False),
         ),
     )
-    return F.transform(listed, lambda b: F.left(b, F.lit(width)))
+    return F.transform(listed, lambda b: cut_to(b, width))
 
 
-def class_frequency(pages: DataFrame, html: str = "html", k: int | None = 10, min_len: int = 4) -> DataFrame:
-    """Most frequent classes of container elements."""
+def class_frequency(pages: DataFrame, html: str = "html", k: int | None = None, min_len: int = 4) -> DataFrame:
+    """Classes of container elements and their counts; with ``k`` the most frequent ones."""
     lists = pages.select(F.explode(all_matches(html, r'<(?:div|section|article)[^>]*class="([^"]*)"')).alias("classes"))
     names = lists.select(F.explode(F.split("classes", r"\s+")).alias("class")).filter(F.length("class") >= min_len)
     counts = names.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
@@ -241,13 +242,14 @@ def vendor_test_ids(html: Column | str) -> Column:
 
 def endpoint_urls(
     pages: DataFrame, html: str = "html", hints: Sequence[str] = ("api", "graphql", "vendor", "search", "listing", "recommend"),
-    k: int | None = 20, width: int = 180,
+    k: int | None = None, width: int | None = None,
 ) -> DataFrame:
-    """Distinct endpoint urls mentioned in pages, in alphabetical order."""
+    """Distinct endpoint urls mentioned in pages; with ``k`` the first in alphabetical order. A report can shorten them, after whole urls were told apart."""
     pattern = "https?://[^\"']*(?:" + "|".join(hints) + ")[^\"']*"
     found = pages.select(F.explode(all_matches(html, pattern, 0)).alias("u"))
-    urls = found.select(F.left("u", F.lit(width)).alias("endpoint")).distinct()
-    return urls if k is None else urls.orderBy("endpoint").limit(k)
+    urls = found.select(F.col("u").alias("endpoint")).distinct()
+    urls = urls if k is None else urls.orderBy("endpoint").limit(k)
+    return urls.select(cut_to(F.col("endpoint"), width).alias("endpoint"))
 
 
 def substring_counts(html: Column | str, needles: Sequence[str], width: int | None = None) -> list[Column]:

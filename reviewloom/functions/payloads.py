@@ -391,7 +391,7 @@ def unified_vendor(
         text("starting_price_range").alias("starting_price_range"), text("price_tier").alias("price_tier"),
         number("star_rating", "rating", default=0.0).cast("double").alias("star_rating"),
         number("review_count", "reviewsCount").cast("bigint").alias("review_count"),
-        F.left(text("description"), F.lit(5000)).alias("description"), text("headline").alias("headline"),
+        text("description").alias("description"), text("headline").alias("headline"),
         text("ad_tier").alias("ad_tier"), text("vendor_tier").alias("vendor_tier"),
         text("service_area").alias("service_area"),
         F.lit(run_id).cast("bigint").alias("scrape_run_id"), *keep,

@@ -128,3 +128,15 @@ def test_visible_text_and_links(spark):
         mk.visible_text("html").alias("t"), mk.package_links("html").alias("l"), mk.dollar_amounts(mk.visible_text("html")).alias("d")).first()
     assert row["t"] == "See Packages plan Cost: $1,200.50 and $ 900"
     assert [(x["href"], x["text"]) for x in row["l"]] == [("/p", "See Packages")] and row["d"] == ["$1,200.50", "$ 900"]
+
+
+def test_nothing_is_cut_unless_asked(spark):
+    long = "x" * 6000
+    html = "".join(f'<p class="package-name">${i} {long}</p><a href="/p{i}">plan</a>' for i in range(40)) + f'<script type="application/json">{{"nItems":1,"v":"{long}"}}</script>'
+    row = frame(spark, "html", html).select(
+        mk.dollar_amounts("html").alias("d"), mk.card_texts("html").alias("c"), mk.package_links("html").alias("l"), mk.listing_json_previews("html").alias("j")).first()
+    assert [len(row[k]) for k in "dcl"] == [40, 40, 40] and row["c"][0] == f"$0 {long}" and len(row["j"][0]) > 6000
+    pages = frame(spark, "html", "".join(f'<a href="https://m.test/api/{long}{i}"><div class="class{i}">' for i in range(30)))
+    assert mk.endpoint_urls(pages).count() == 30 and mk.class_frequency(pages).count() == 30
+    df = spark.createDataFrame([("m2", "1", "N", long)], "source STRING, vendor_id STRING, name STRING, description STRING")
+    assert pl.unified_vendor(df, {"m2": ["vendor_id"]}, "c", 7).first()["description"] == long
