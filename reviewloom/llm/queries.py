@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from reviewloom.llm import hard_negatives, source_divergence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +101,31 @@ def op10_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return removal(_table(spark, sf, "documents")).drop("spans")
 
 
+@_register
+def op11_language_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    from reviewloom.llm.language_id import identify_languages
+
+    docs = _table(spark, sf, "documents")
+    return identify_languages(docs, F.crc32(docs["doc_id"].cast("string").cast("binary")) % 5 == 0)
+
+
+@_register
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", shifted)
+    return hard_negatives.mine_hard_negatives(rows, rows["vec_id"] % 100 == 0)
+
+
+@_register
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence.audit_sources(_table(spark, sf, "documents"))
+
+
+ORACLES["op12_hard_negatives"] = hard_negatives.CHECK_SQL
+ORACLES["op13_source_divergence"] = source_divergence.CHECK_SQL
+
+
 @_register
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
