@@ -195,7 +195,8 @@ def _negatives(anchors: Anchors, positive: np.ndarray, low: int, high: int, k: i
     ``positive`` (anchors, positives) holds their scores, -1 where there is none.
     """
     width = positive.shape[1]
-    floor_, ceiling = -(-low * positive // 100), high * positive // 100
+    hundreds, rest = positive // 100, positive % 100  # percentages without overflow
+    floor_, ceiling = hundreds * low - (-low * rest // 100), hundreds * high + high * rest // 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = BestLists(positive.size, k)
