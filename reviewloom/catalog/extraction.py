@@ -308,9 +308,9 @@ def b20(spark, sf):
 # ---- prices, cards and links ----------------------------------------------
 
 
-@query("b21_dollar_amounts", r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\$\s*[\d,]+(?:\.\d{2})?')[1:30], '|') AS prices FROM documents""")
+@query("b21_dollar_amounts", r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\$\s*[\d,]+(?:\.\d{2})?'), '|') AS prices FROM documents""")
 def b21(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", F.array_join(mk.dollar_amounts("text", first=30), "|").alias("prices"))
+    return b.table(spark, sf, "documents").select("doc_id", F.array_join(mk.dollar_amounts("text"), "|").alias("prices"))
 
 
 _SHOP = """concat('<html><a class="nav" href="/', {id}, '">Our Packages</a><a href="/about">About</a><a href="https://m.test/marketplace/', {id}, '--7">See plan</a>',
@@ -327,7 +327,11 @@ def _shop(spark, sf):
     return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
-@query("b22_card_texts", """SELECT p_partkey AS page_id, concat('Basic ', p_brand, '|$1,', CAST(p_size + 100 AS VARCHAR), '|', p_type, '|Premium|$3,500|', p_brand) AS cards FROM part""")
+_CARDS = "concat('Basic ', p_brand, ' $1,', CAST(p_size + 100 AS VARCHAR), ' ', p_type)"
+
+
+@query("b22_card_texts", f"""SELECT p_partkey AS page_id, concat({_CARDS}, ' Premium $3,500|', {_CARDS}, '|Basic ', p_brand, '|$1,', CAST(p_size + 100 AS VARCHAR), '|', p_type,
+    '|Premium $3,500|Premium|$3,500|', p_brand) AS cards FROM part""")
 def b22(spark, sf):
     return _shop(spark, sf).select("page_id", F.array_join(mk.card_texts("html"), "|").alias("cards"))
 
@@ -349,6 +353,45 @@ def b25(spark, sf):
     return _shop(spark, sf).select("page_id", mk.vendor_name("html").alias("name"), mk.starting_price_text("html").alias("price"))
 
 
+# Nested and encoded markup: elements of one name inside each other, references, implied ends, single quotes, text that only looks like markup.
+_NESTED = """concat('<html><head><title>', {name}, ' &amp; more</title><script>document.write("<div class=''package-item''>no</div>")</script></head><body>',
+  '<div class="vendor-name"><div>', {name}, '</div><div>Caf&eacute; &#38; Sons</div></div><!-- <div class="package-item">no</div> -->',
+  '<div class=''starting-price''>From <span>$', {size}, '</span>,000</div><div><div class="package-item first"><div><div class="package-name">In <b>and</b> out</div></div>',
+  '<div class="package-price"><div>$', {size}, '</div></div><div class="package-description"><ul><li>', {type}, '<li>&lt;', {brand}, '&gt;</ul></div></div>',
+  '<div class="package-item"><p class="package-name">Second<p class="package-price">$7 &ndash; $9</div></div><div class="tail">x</body></html>')"""
+
+
+def _nested(spark, sf):
+    html = F.expr(_NESTED.format(name="p_name", brand="p_brand", size="CAST(p_size AS STRING)", type="p_type"))
+    return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+
+
+_FIRST_ITEM = "concat('In and out $', CAST(p_size AS VARCHAR), ' ', p_type, ' <', p_brand, '>')"
+
+
+@query("b22_nested_cards", f"""SELECT p_partkey AS page_id, concat({_FIRST_ITEM}, '|In and out|$', CAST(p_size AS VARCHAR), '|', p_type, ' <', p_brand, '>|Second $7 – $9|Second|$7 – $9') AS cards FROM part""")
+def b22b(spark, sf):
+    return _nested(spark, sf).select("page_id", F.array_join(mk.card_texts("html"), "|").alias("cards"))
+
+
+@query("b24_nested_packages", """SELECT p_partkey AS page_id, 1 AS package_number, 'In and out' AS name, concat('$', CAST(p_size AS VARCHAR)) AS price,
+    concat(p_type, ' <', p_brand, '>') AS description FROM part UNION ALL SELECT p_partkey, 2, 'Second', '$7 – $9', '' FROM part""")
+def b24b(spark, sf):
+    return mk.package_rows(_nested(spark, sf), ["page_id"])
+
+
+@query("b25_nested_vendor_pages", f"""SELECT p_partkey AS page_id, concat(p_name, ' & more') AS title, concat(p_name, ' Café & Sons') AS name,
+    concat('From $', CAST(p_size AS VARCHAR), ',000') AS price, CAST(2 AS BIGINT) AS packages, CAST(7 AS BIGINT) AS cards FROM part""")
+def b25b(spark, sf):
+    found = mk.vendor_pages(_nested(spark, sf), ["page_id"])
+    return found.withColumns({c: F.size(c).cast("bigint") for c in ("packages", "cards")})
+
+
+@query("b29_nested_text", f"""SELECT p_partkey AS page_id, concat(p_name, ' & more ', p_name, ' Café & Sons From $', CAST(p_size AS VARCHAR), ',000 ', {_FIRST_ITEM}, ' Second $7 – $9 x') AS text FROM part""")
+def b29b(spark, sf):
+    return _nested(spark, sf).select("page_id", mk.visible_text("html").alias("text"))
+
+
 @query("b26_vendor_links", "SELECT p_partkey AS page_id, concat('https://m.test/marketplace/', CAST(p_partkey AS VARCHAR), '--7') AS links FROM part")
 def b26(spark, sf):
     return _shop(spark, sf).select("page_id", F.array_join(mk.vendor_links("html"), "|").alias("links"))
@@ -371,7 +414,14 @@ def b28(spark, sf):
     return mk.without_structured(mk.business_links(pages, "page_id"), structured, "page_id").select("page_id", "name", "url")
 
 
-@query("b29_visible_text", r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS digest FROM pages""")
+_DECODED = "html"
+for _pattern, _by in ((r"(?is)<(script|style)\b.*?</(script|style)>", " "), ("(?s)<!--.*?-->", " "), ("(?i)</?b>", ""), ("(?s)<[^>]*>", " ")):
+    _DECODED = f"regexp_replace({_DECODED}, '{_pattern}', '{_by}', 'g')"
+for _name, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&"), ("&amp", "&")):
+    _DECODED = f"replace({_DECODED}, '{_name}', '{_char}')"
+
+
+@query("b29_visible_text", rf"""SELECT page_id, md5(trim(regexp_replace({_DECODED}, '\s+', ' ', 'g'))) AS digest FROM pages""")
 def b29(spark, sf):
     return b.table(spark, sf, "pages").select("page_id", F.md5(mk.visible_text("html")).alias("digest"))
 
@@ -392,11 +442,20 @@ def b30b(spark, sf):
     )
 
 
-@query("b31_endpoint_urls", r"""SELECT DISTINCT left(u, 180) AS endpoint FROM (SELECT unnest(regexp_extract_all(concat('<a href="', url, '">', html), 'https?://[^"'']*(?:api|listing|page|ref)[^"'']*')) AS u FROM pages)
-    ORDER BY 1 LIMIT 20""")
+@query("b30_vendor_test_ids", """SELECT p_partkey AS page_id, concat('Vendor-', p_brand, '|list-vendor|VENDOR') AS ids, p_name AS shown FROM part""")
+def b30c(spark, sf):
+    """Test ids that name vendors, and the first of several renderings that is not blank."""
+    html = F.expr("""concat('<div data-testid="Vendor-', p_brand, '"><i data-testid="other">', p_type, '</i><p class="vendor" data-testid="list-vendor"></p></div><b DATA-TESTID="VENDOR">')""")
+    return b.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("page_id"), F.array_join(mk.vendor_test_ids(html), "|").alias("ids"),
+        mk.first_text(F.lit(None).cast("string"), F.lit("  "), F.concat(F.lit(" "), "p_name", F.lit(" ")), "p_type").alias("shown"),
+    )
+
+
+@query("b31_endpoint_urls", r"""SELECT DISTINCT u AS endpoint FROM (SELECT unnest(regexp_extract_all(concat('<a href="', url, '">', html), 'https?://[^"'']*(?:api|listing|page|ref)[^"'']*')) AS u FROM pages)""")
 def b31(spark, sf):
     pages = b.table(spark, sf, "pages").select(F.concat(F.lit('<a href="'), "url", F.lit('">'), "html").alias("html"))
-    return mk.endpoint_urls(pages, hints=["api", "listing", "page", "ref"], k=20, width=180)
+    return mk.endpoint_urls(pages, hints=["api", "listing", "page", "ref"])
 
 
 @query("b32_substring_counts", """SELECT page_id, CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS BIGINT) AS n_0,

@@ -1,18 +1,22 @@
-"""HTML page text to values, as regular expressions over the whole page.
+"""HTML pages to values.
 
-Scope: flat fragments. A pattern cannot balance nested tags of one name, so an
-item ends at the start of the next item or at the end of its section.
+What depends on nesting or on character references (visible text, named elements,
+cards, packages) is read element by element, see ``elements``. What is a matter of
+the raw markup (embedded JSON, links, markers, class attributes) is a regular
+expression over the whole page and stays in generated code.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
-from reviewloom.functions.scalars import col_of, collapse_spaces, contains_any, count_occurrences, cut_to
+from reviewloom.functions.elements import Markers, page_record
+from reviewloom.functions.scalars import col_of, contains_any, count_occurrences, cut_to
 from reviewloom.operators.dedup import top_by_key
 
 JSON_LD = r"""(?is)<script\b[^>]*\btype\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script\s*>"""
@@ -32,9 +36,8 @@ def json_ld_blocks(html: Column | str) -> Column:
 
 
 def visible_text(html: Column | str) -> Column:
-    """Text of a page without scripts, styles and tags, spaces collapsed."""
-    body = F.regexp_replace(F.coalesce(col_of(html), F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    return F.trim(collapse_spaces(F.regexp_replace(body, r"(?s)<[^>]*>", " ")))
+    """Text of a page without scripts, styles and tags, references decoded, spaces collapsed."""
+    return page_record(html, ["text"])["text"]
 
 
 def first_text(*candidates: Column | str) -> Column:
@@ -52,15 +55,9 @@ def dollar_amounts(text: Column | str, first: int | None = None) -> Column:
     return found if first is None else F.slice(found, 1, first)
 
 
-def class_text(html: Column | str, marker: str) -> Column:
-    """Text of the first element whose class (or test id) holds a marker."""
-    pattern = r'(?s)<(\w+)[^>]*(?:class|data-testid)="[^"]*' + _quoted(marker) + r'[^"]*"[^>]*>(.*?)</\1>'
-    return visible_text(F.regexp_extract(F.coalesce(col_of(html), F.lit("")), pattern, 2))
-
-
 def first_class_text(html: Column | str, markers: Sequence[str]) -> Column:
-    """Ordered list of class markers, the first that yields text wins."""
-    return F.coalesce(*[F.nullif(class_text(html, m), F.lit("")) for m in markers], F.lit(""))
+    """Ordered list of class (or test id) markers: text of the first element of the first marker that yields any."""
+    return page_record(html, ["name"], Markers(name=tuple(markers)))["name"]
 
 
 def _quoted(literal: str) -> str:
@@ -75,35 +72,30 @@ def starting_price_text(html: Column | str, markers: Sequence[str] = tuple(lx.ST
     return first_class_text(html, markers)
 
 
-def package_rows(
-    pages: DataFrame, key: Sequence[str], html: str = "html", items: Sequence[str] = tuple(lx.PACKAGE_ITEM_CLASSES)
-) -> DataFrame:
-    """(key, package_number, name, price, description) of every package item of a page."""
-    opening = r'<\w+[^>]*class="[^"]*(?:' + "|".join(_quoted(i) for i in items) + r')[^"]*"[^>]*>'
-    # Mark every item start, cut there, and end the last piece with its section.
-    marked = F.regexp_replace(F.col(html), opening, "\u0001")
-    parts = F.split(marked, "\u0001")
-    pieces = F.transform(
-        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-        lambda p: F.regexp_replace(p, r"(?s)</section>.*$", ""),
-    )
-    rows = pages.select(*key, F.posexplode(pieces).alias("_pos", "_item"))
-    return rows.select(
-        *key,
-        (F.col("_pos") + 1).alias("package_number"),
-        first_class_text("_item", lx.PACKAGE_NAME_CLASSES).alias("name"),
-        first_class_text("_item", lx.PACKAGE_PRICE_CLASSES).alias("price"),
-        first_class_text("_item", lx.PACKAGE_DESCRIPTION_CLASSES).alias("description"),
-    )
+VENDOR_MARKERS = Markers(
+    name=tuple(lx.VENDOR_NAME_CLASSES), price=tuple(lx.STARTING_PRICE_CLASSES), items=tuple(lx.PACKAGE_ITEM_CLASSES), item_name=tuple(lx.PACKAGE_NAME_CLASSES),
+    item_price=tuple(lx.PACKAGE_PRICE_CLASSES), item_description=tuple(lx.PACKAGE_DESCRIPTION_CLASSES), cards=tuple(lx.CARD_CLASS_WORDS),
+)
+
+
+def vendor_pages(pages: DataFrame, key: Sequence[str], html: str = "html", markers: Markers = VENDOR_MARKERS) -> DataFrame:
+    """(key, title, name, price, packages, cards) of vendor pages, each page read once."""
+    return pages.select(*key, page_record(html, ["title", "name", "price", "packages", "cards"], markers).alias("_page")).select(*key, "_page.*")
+
+
+def package_rows(pages: DataFrame, key: Sequence[str], html: str = "html", items: Sequence[str] = tuple(lx.PACKAGE_ITEM_CLASSES)) -> DataFrame:
+    """(key, package_number, name, price, description) of every package item of a page; the first item marker that finds any counts."""
+    wanted = replace(VENDOR_MARKERS, items=tuple(items))
+    return pages.select(*key, F.inline(page_record(html, ["packages"], wanted)["packages"]))
 
 
 def card_texts(
     html: Column | str, words: Sequence[str] = tuple(lx.CARD_CLASS_WORDS), first: int | None = None, max_len: int | None = None
 ) -> Column:
-    """Texts of elements whose class mentions packages or pricing; a report can keep the first few, and those under a length."""
-    pattern = r'(?s)<(?:\w+)[^>]*class="[^"]*(?:' + "|".join(words) + r')[^"]*"[^>]*>([^<]*)(?=<)'
-    texts = F.transform(all_matches(html, pattern), lambda t: F.trim(t))
-    found = F.filter(texts, lambda t: (F.length(t) > 0) if max_len is None else (F.length(t) > 0) & (F.length(t) < max_len))
+    """Texts of elements whose class mentions packages or pricing, outer ones too; a report can keep the first few, and those under a length."""
+    found = page_record(html, ["cards"], Markers(cards=tuple(words)))["cards"]
+    if max_len is not None:
+        found = F.filter(found, lambda t: F.length(t) < max_len)
     return found if first is None else F.slice(found, 1, first)
 
 
