@@ -358,11 +358,13 @@ def f13b(spark, sf):
     return pricing.upper_median(b.vendors(spark, sf), "source", "starting_price_min")
 
 
-@query("f14_tier_counts", with_ctes("""SELECT category, count(*) FILTER (price_tier = 'budget') AS budget, count(*) FILTER (price_tier = 'mid') AS mid,
-    count(*) FILTER (price_tier = 'premium') AS premium, count(*) FILTER (price_tier = 'unknown') AS unknown FROM tiered GROUP BY 1""",
+@query("f14_tier_counts", with_ctes("""SELECT category, count(*) FILTER (t = 'budget') AS budget, count(*) FILTER (t = 'mid') AS mid,
+    count(*) FILTER (t = 'premium') AS premium, count(*) FILTER (t = 'unknown' OR t IS NULL) AS unknown, count(*) FILTER (t = 'vip') AS tier_other
+    FROM (SELECT category, CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN 'vip' ELSE price_tier END AS t FROM tiered) GROUP BY 1""",
     listings=LI, tiered=_TIERED))
 def f14(spark, sf):
-    return pricing.tier_counts(tiered(spark, sf))
+    odd = F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 13 == 0, "vip").otherwise(F.col("price_tier"))
+    return pricing.tier_counts(tiered(spark, sf).withColumn("price_tier", odd))
 
 
 @query("f15_price_histogram", with_ctes("""SELECT source, CAST(floor((p - lo) / step) AS BIGINT) AS bin,
@@ -454,11 +456,10 @@ def g02(spark, sf):
 
 
 @query("g03_catalogue_order", with_ctes("""SELECT id, category, CAST(row_number() OVER (PARTITION BY category
-    ORDER BY coalesce(nullif(star_rating, 0), 99999), id) AS INT) AS place FROM listings
-    QUALIFY place <= 3""", listings=LI))
+    ORDER BY CASE WHEN star_rating > 0 THEN star_rating ELSE 99999 END, name, id) AS INT) AS place FROM listings""", listings=LI))
 def g03(spark, sf):
-    order = [F.coalesce(F.nullif(F.col("star_rating"), F.lit(0.0)), F.lit(99999.0)), "id"]
-    return top_by_key(b.listings(spark, sf), ["category"], order, 3, rank="place").select("id", "category", "place")
+    catalogue = b.listings(spark, sf).withColumn("market_avg", F.nullif("star_rating", F.lit(0.0)))
+    return pricing.catalogue_order(catalogue, "place", ["id"]).select("id", "category", "place")
 
 
 @query("g04_work_list", with_ctes("""SELECT id, CAST(review_count AS BIGINT) AS review_count FROM vendors WHERE vendors.review_count > 0
@@ -477,10 +478,11 @@ def g05(spark, sf):
     return top_by_key(b.vendors(spark, sf), ["state", "category"], ["id"], 5).select("id", "state", "category")
 
 
-@query("g06_random_sample")
+@query("g06_random_sample", with_ctes("""SELECT id, CAST(rating AS DOUBLE) AS rating, review_text AS text FROM reviews WHERE sentiment = 'negative' AND length(review_text) > 40
+    ORDER BY md5(concat('7:', CAST(id AS VARCHAR))), id LIMIT 8""", reviews=R))
 def g06(spark, sf):
-    negative = b.reviews(spark, sf).filter((F.col("sentiment") == "negative") & se.text_longer("review_text", 80))
-    return negative.orderBy(F.rand(7)).limit(8).select("id", "rating", F.left("review_text", F.lit(220)).alias("text"))
+    negative = b.reviews(spark, sf).filter((F.col("sentiment") == "negative") & se.text_longer("review_text", 40))
+    return se.seeded_sample(negative, ["id"], 8, 7).select("id", F.col("rating").cast("double").alias("rating"), F.col("review_text").alias("text"))
 
 
 @query("g07_recent_runs", """SELECT o_orderkey AS id, o_orderdate AS started_at FROM orders ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC LIMIT 10""")
@@ -697,6 +699,21 @@ def m04(spark, sf):
     return page.select("id", "name", F.col("star_rating").cast("double").alias("star_rating"), total.scalar().alias("total"))
 
 
+@query("m04_keyset_paging", with_ctes("""SELECT id, name, CAST(star_rating AS DOUBLE) AS star_rating, review_count, CAST(1 + (n - 1) // 20 AS INT) AS page, total FROM (
+    SELECT *, row_number() OVER (ORDER BY vendors.star_rating DESC NULLS LAST, vendors.review_count NULLS LAST, id) AS n, count(*) OVER () AS total
+    FROM vendors WHERE contains(lower(name), '1')) WHERE n <= 60""", vendors=V))
+def m04b(spark, sf):
+    """Three pages of a search, each started after the last row of the one before, with ties in the sort columns."""
+    vendors, pages, after = b.vendors(spark, sf).withColumn("review_count", F.col("review_count").cast("int")), [], None
+    for number in (1, 2, 3):
+        page = se.search_page(vendors, "1", order=[("star_rating", True), ("review_count", False), ("id", False)], after=after)
+        pages += [(r["id"], r["name"], float(r["star_rating"]), r["review_count"], number, page.total) for r in page.rows]
+        after = page.after
+        if after is None:
+            break
+    return spark.createDataFrame(pages, "id BIGINT, name STRING, star_rating DOUBLE, review_count INT, page INT, total BIGINT")
+
+
 @query("dashboard_document")
 def dashboard_document(spark, sf):
     t = plan.flag_vendor_replies(tagged(spark, sf))

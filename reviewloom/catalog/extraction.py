@@ -466,7 +466,8 @@ def b32(spark, sf):
 
 @query("b33_json_path_profile", """SELECT '$.k' AS path, 'BIGINT' AS type, count(*) AS n FROM events
     UNION ALL SELECT '$.review', 'OBJECT', count(*) FROM events UNION ALL SELECT '$.review.rating', 'DOUBLE', count(*) FROM events
-    UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events""")
+    UNION ALL SELECT '$.list', 'ARRAY', count(*) FROM events UNION ALL SELECT '$.list[0].comment', 'STRING', count(*) FROM events
+    UNION ALL SELECT '$.list[1].ignored', 'BIGINT', count(*) FROM events""")
 def b33(spark, sf):
     payload = F.expr("""concat('{"k":', get_json_object(props, '$.k'), ',"review":{"rating":', value, 'e0},"list":[{"comment":"', event_type, '"},{"ignored":1}]}')""")
     return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")), words=())
@@ -480,6 +481,17 @@ def b33b(spark, sf):
     return pl.variant_paths(b.table(spark, sf, "events").select(payload.alias("payload")))
 
 
+_DEEP = """concat('{"a":{"b":{"c":{"d":{"e":{"f":{"g":{"h":{"rating":', CAST(event_id AS STRING), '}}}}}}}},"list":[{"x":1},[3,{"review":"', event_type, '"}],{"feedback":{"comment":[1,{"rating":null}]}}]}')"""
+
+
+@query("b33_deep_json_paths", """SELECT '$.a.b.c.d.e.f.g.h.rating' AS path, 'BIGINT' AS type, count(*) AS n FROM events UNION ALL SELECT '$.list[1][1].review', 'STRING', count(*) FROM events
+    UNION ALL SELECT '$.list[2].feedback', 'OBJECT', count(*) FROM events UNION ALL SELECT '$.list[2].feedback.comment', 'ARRAY', count(*) FROM events
+    UNION ALL SELECT '$.list[2].feedback.comment[1].rating', 'VOID', count(*) FROM events""")
+def b33c(spark, sf):
+    """Nine levels down, and in the second and third element of a list."""
+    return pl.variant_paths(b.table(spark, sf, "events").select(F.expr(_DEEP).alias("payload")))
+
+
 @query("b34_populated_keys", """SELECT section, key, count(*) AS n, count(*) FILTER (v NOT IN ('', '0')) AS populated FROM (
     SELECT 'vendors' AS section, 'name' AS key, c_name AS v FROM customer UNION ALL SELECT 'vendors', 'phone', CASE WHEN c_acctbal < 0 THEN '' ELSE '1' END FROM customer
     UNION ALL SELECT 'search', 'total', CAST(c_nationkey AS VARCHAR) FROM customer) GROUP BY 1, 2""")

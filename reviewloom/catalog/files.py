@@ -180,14 +180,14 @@ def a12(spark, sf):
 
 @query("a13_run_audit", """SELECT o_orderkey AS id, o_orderdate AS started_at, CASE WHEN n IS NULL THEN 'running' ELSE 'completed' END AS status,
     CAST(n AS INT) AS vendors_found, CAST(ok AS INT) AS vendors_successful FROM orders LEFT JOIN
-    (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_returnflag <> 'R') AS ok FROM lineitem WHERE l_quantity > 10 GROUP BY 1) ON l_orderkey = o_orderkey""")
+    (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_returnflag <> 'R') AS ok FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def a13(spark, sf):
     runs = b.table(spark, sf, "orders").selectExpr(
         "o_orderkey AS id", "o_orderstatus AS source", "o_orderpriority AS category", "'' AS city", "'' AS state", "o_orderdate AS started_at",
         "CAST(NULL AS TIMESTAMP) AS completed_at", "CAST(NULL AS INT) AS vendors_found", "CAST(NULL AS INT) AS vendors_successful",
         "'running' AS status", "CAST(NULL AS STRING) AS notes",
     )
-    results = b.table(spark, sf, "lineitem").filter("l_quantity > 10").groupBy(F.col("l_orderkey").alias("id")).agg(
+    results = b.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
         F.max("l_shipdate").alias("completed_at"), F.count(F.lit(1)).alias("vendors_found"),
         F.count_if(F.col("l_returnflag") != "R").alias("vendors_successful"), F.lit("").alias("notes"),
     )
@@ -211,13 +211,13 @@ def versioned(spark, sf):
       array_to_string(complaints, ',') AS complaints, array_to_string(praises, ',') AS praises FROM tagged""", texts=b.TEXTS,
     tagged=b.tagged("texts", b.CORPUS_TOPICS, b.CORPUS_POSITIVE, b.CORPUS_NEGATIVE)))
 def m03(spark, sf):
-    """Two drops of the same reviews: the second finds every key already stored."""
-    root = _folder(spark, "stream")
-    landed = b.texts(spark, sf).withColumn("scraped_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    for drop in ("a", "b"):
-        landed.write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(landed.schema).parquet(f"{root}/in")
-        inc.start_tagging(spark, stream, f"{root}/out", f"{root}/chk", **b.CORPUS).awaitTermination()
+    """Drops of 10:00, 01:00 and 11:00: the second, far behind the first, is stored as well, and repeats in the third are known."""
+    root, landed = _folder(spark, "stream"), b.texts(spark, sf)
+    for hour, parts in ((10, [0]), (1, [1]), (11, [0, 1, 2])):
+        drop = landed.where(F.pmod("id", F.lit(3)).isin(parts)).withColumn("scraped_at", F.lit(f"2024-01-01 {hour}:00:00").cast("timestamp"))
+        drop.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(drop.schema).parquet(f"{root}/in")
+        inc.start_tagging(spark, stream, f"{root}/out", f"{root}/chk", buckets=16, **b.CORPUS).awaitTermination()
     return spark.read.parquet(f"{root}/out").select(
         "id", "sentiment", b.joined_text("complaint_categories").alias("complaints"), b.joined_text("praise_categories").alias("praises")
     )

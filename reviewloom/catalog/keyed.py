@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reviewloom.catalog import bindings as b
 from reviewloom.catalog.bindings import query, with_ctes
 from reviewloom.operators import dedup, packages
 from reviewloom.operators import upsert as up
+from reviewloom.session import shared_dir
+from reviewloom.sources.keyed_table import KeyedTable
 
 V, R = b.VENDORS, b.REVIEWS
 
@@ -61,7 +65,8 @@ def _upsert_sql(blank: bool) -> str:
     return with_ctes(
         f"""SELECT coalesce(s.source, n.source) AS source, coalesce(s.source_vendor_id, n.source_vendor_id) AS source_vendor_id,
         CASE WHEN n.source IS NOT NULL THEN n.name ELSE s.name END AS name,
-        coalesce(n.phone, s.phone, n.phone0) AS phone, coalesce(n.city, s.city, n.city0) AS city, coalesce(n.price, s.price) AS price,
+        coalesce(n.phone, CASE WHEN s.source IS NULL THEN n.phone0 ELSE s.phone END) AS phone,
+        coalesce(n.city, CASE WHEN s.source IS NULL THEN n.city0 ELSE s.city END) AS city, coalesce(n.price, s.price) AS price,
         CASE WHEN n.source IS NOT NULL THEN n.review_count ELSE s.review_count END AS review_count,
         CASE WHEN s.source IS NOT NULL THEN s.first_seen ELSE n.first_seen END AS first_seen,
         CASE WHEN n.source IS NULL THEN 'kept' WHEN s.source IS NULL THEN 'inserted' ELSE 'updated' END AS action
@@ -84,6 +89,60 @@ def h02(spark, sf):
     return up.upsert(stored(spark, sf), batch(spark, sf), KEY, _POLICY, "seq", blank_as_null=True, action="action")
 
 
+def _keyed(spark, name, key, rows, buckets=16):
+    table = KeyedTable(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", key, buckets)
+    table.create(rows)
+    return table
+
+
+@query("h01_vendor_table_merge", f"SELECT * EXCLUDE (action) FROM ({_upsert_sql(False)})")
+def h01b(spark, sf):
+    """The batch in three parts, one after the other, into a table by key hash."""
+    table, rows = _keyed(spark, "vendors", KEY, stored(spark, sf)), batch(spark, sf)
+    for low, high in ((0, 40), (40, 200), (200, None)):
+        table.merge(rows.where(F.col("seq") >= low if high is None else F.col("seq").between(low, high - 1)), _POLICY, "seq")
+    return table.read()
+
+
+_BULK_STORED = """SELECT source, source_vendor_id, name, city, state, 'old' AS starting_price_range, CAST(star_rating AS DOUBLE) AS star_rating, review_count,
+    CAST(NULL AS VARCHAR) AS service_area, CASE WHEN id % 3 = 0 THEN 'gold' END AS ad_tier, '' AS vendor_tier, 'open' AS claimed_status, CAST(NULL AS VARCHAR) AS awards, 1 AS last_seen, phone FROM vendors"""
+_BULK_SEEN = """SELECT v.source, v.source_vendor_id, concat(v.name, ' ', o_orderpriority) AS name, CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderpriority END AS city,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS state, CASE WHEN o_totalprice > 300000 THEN 'high' END AS starting_price_range, o_totalprice AS star_rating, CAST(o_custkey AS INT) AS review_count,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'far' END AS service_area, CASE WHEN o_orderkey % 7 = 0 THEN 'silver' END AS ad_tier, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS vendor_tier,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'claimed' ELSE '' END AS claimed_status, o_orderpriority AS awards, 2 AS last_seen, 'batch' AS phone, o_orderkey AS seq
+  FROM orders JOIN vendors v ON v.id = o_custkey + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END
+  UNION ALL SELECT 'NEW', p_type, p_name, p_brand, '', NULL, 0e0, p_size, NULL, NULL, '', 'open', '', 2, 'batch', p_partkey FROM part"""
+_BULK_OVER, _BULK_KEEP = ([c for c, rule in up.BULK_VENDOR_POLICY.items() if rule == r] for r in (up.OVERWRITE, up.COALESCE))
+
+
+@query("h02_bulk_vendor_merge", with_ctes(
+    "SELECT coalesce(s.source, n.source) AS source, coalesce(s.source_vendor_id, n.source_vendor_id) AS source_vendor_id, "
+    + ", ".join(f"CASE WHEN n.source IS NOT NULL THEN n.{c} ELSE s.{c} END AS {c}" for c in _BULK_OVER)
+    + ", " + ", ".join(f"coalesce(n.{c}, CASE WHEN s.source IS NULL THEN n.{c}0 ELSE s.{c} END) AS {c}" for c in _BULK_KEEP)
+    + ", CASE WHEN s.source IS NOT NULL THEN s.phone ELSE n.phone END AS phone FROM held s FULL JOIN folded n ON s.source = n.source AND s.source_vendor_id = n.source_vendor_id",
+    vendors=V, held=_BULK_STORED, seen=_BULK_SEEN,
+    folded="SELECT source, source_vendor_id, first(phone ORDER BY seq) AS phone, " + ", ".join(f"last({c} ORDER BY seq) AS {c}" for c in _BULK_OVER) + ", "
+    + ", ".join(f"last(nullif({c}, '') ORDER BY seq) FILTER (nullif({c}, '') IS NOT NULL) AS {c}, first({c} ORDER BY seq) AS {c}0" for c in _BULK_KEEP) + " FROM seen GROUP BY 1, 2"))
+def h02b(spark, sf):
+    """The bulk policy over a whole snapshot; blanks keep what is stored."""
+    vendors = b.vendors(spark, sf)
+    held = vendors.selectExpr(
+        *KEY, "name", "city", "state", "'old' AS starting_price_range", "CAST(star_rating AS DOUBLE) AS star_rating", "review_count", "CAST(NULL AS STRING) AS service_area",
+        "CASE WHEN id % 3 = 0 THEN 'gold' END AS ad_tier", "'' AS vendor_tier", "'open' AS claimed_status", "CAST(NULL AS STRING) AS awards", "1 AS last_seen", "phone")
+    owner = F.expr("o_custkey + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END")
+    seen = b.table(spark, sf, "orders").join(vendors.select("id", *KEY, "name"), owner == F.col("id")).selectExpr(
+        *KEY, "concat(name, ' ', o_orderpriority) AS name", "CASE WHEN o_orderstatus = 'F' THEN '' ELSE o_orderpriority END AS city", "CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS state",
+        "CASE WHEN o_totalprice > 300000 THEN 'high' END AS starting_price_range", "o_totalprice AS star_rating", "CAST(o_custkey AS INT) AS review_count", "CASE WHEN o_orderkey % 5 = 0 THEN 'far' END AS service_area",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 'silver' END AS ad_tier", "CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS vendor_tier", "CASE WHEN o_orderkey % 11 = 0 THEN 'claimed' ELSE '' END AS claimed_status",
+        "o_orderpriority AS awards", "2 AS last_seen", "'batch' AS phone", "o_orderkey AS seq")
+    fresh = b.table(spark, sf, "part").selectExpr(
+        "'NEW' AS source", "p_type AS source_vendor_id", "p_name AS name", "p_brand AS city", "'' AS state", "CAST(NULL AS STRING) AS starting_price_range", "0D AS star_rating", "p_size AS review_count",
+        "CAST(NULL AS STRING) AS service_area", "CAST(NULL AS STRING) AS ad_tier", "'' AS vendor_tier", "'open' AS claimed_status", "'' AS awards", "2 AS last_seen", "'batch' AS phone", "p_partkey AS seq")
+    table = _keyed(spark, "vendors", KEY, held)
+    table.merge(seen.unionByName(fresh), up.BULK_VENDOR_POLICY, "seq", blank_as_null=True)
+    return table.read()
+
+
 @query("h03_upsert_counts", with_ctes("""SELECT count(*) FILTER (s.source IS NULL) AS inserted,
     CAST(sum(n.rows - CASE WHEN s.source IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS updated
     FROM (SELECT source, source_vendor_id, count(*) AS rows FROM batch GROUP BY 1, 2) n
@@ -113,18 +172,34 @@ def h04(spark, sf):
     return up.new_rows(held, _landed(spark, sf), up.REVIEW_KEY, ["seq", "l_partkey", "l_suppkey", "price"]).select("source", "source_review_id", "seq", "price")
 
 
+@query("h04_known_key_table", with_ctes("""SELECT source, source_review_id, min(seq) AS seq, first(price ORDER BY seq, price) AS price FROM landed
+    WHERE (source, source_review_id) NOT IN (SELECT (source, source_review_id) FROM held) GROUP BY 1, 2 UNION ALL SELECT source, source_review_id, NULL, NULL FROM held""", landed=_LANDED, held=_HELD))
+def h04b(spark, sf):
+    """Drops by ship year into a table by key hash, the last one twice: each reads the keys of its buckets and appends what is unknown."""
+    held = b.table(spark, sf, "orders").filter("o_orderstatus = 'F'").selectExpr(
+        "'A' AS source", "CAST(o_orderkey AS STRING) AS source_review_id", "CAST(NULL AS BIGINT) AS seq", "CAST(NULL AS DOUBLE) AS price")
+    table, rows = _keyed(spark, "known", up.REVIEW_KEY, held), _landed(spark, sf).select("source", "source_review_id", "seq", "price")
+    step = b.table(spark, sf, "lineitem").agg(F.max(F.col("l_orderkey") * 10) / 3).first()[0]
+    for k in (0, 1, 2, 2):
+        part = F.least(F.lit(2), F.floor(F.col("seq") / step)) == k
+        table.insert_new(rows.where(part), ["seq", "price"], files=2)
+    return table.read()
+
+
 @query("h05_review_upsert_newest", with_ctes("""SELECT coalesce(s.id, n.id) AS id, CASE WHEN n.id IS NULL THEN s.review_text ELSE n.review_text END AS review_text,
     CASE WHEN n.id IS NULL THEN s.rating ELSE n.rating END AS rating FROM (SELECT id, review_text, CAST(rating AS DOUBLE) AS rating FROM reviews) s
-    FULL JOIN (SELECT l_orderkey AS id, last(l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS review_text,
-    last(l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rating
-    FROM lineitem WHERE l_quantity > 25 GROUP BY 1) n ON n.id = s.id""", reviews=R))
+    FULL JOIN (SELECT l_orderkey // 2 AS id, last(l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS review_text,
+    last(l_quantity ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rating
+    FROM lineitem GROUP BY 1) n ON n.id = s.id""", reviews=R))
 def h05(spark, sf):
-    held = b.reviews(spark, sf).select("id", "review_text", F.col("rating").cast("double").alias("rating"))
-    fresh = b.table(spark, sf, "lineitem").filter("l_quantity > 25").selectExpr(
-        "l_orderkey AS id", "l_returnflag AS review_text", "l_quantity AS rating",
-        "struct(l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq",
+    """Stored as a table by key hash: only the buckets the batch touches are written."""
+    fresh = b.table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey DIV 2 AS id", "l_returnflag AS review_text", "l_quantity AS rating",
+        "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq",
     )
-    return up.upsert(held, fresh, ["id"], up.REVIEW_POLICY, "seq")
+    table = _keyed(spark, "reviews", ["id"], b.reviews(spark, sf).select("id", "review_text", F.col("rating").cast("double").alias("rating")))
+    table.merge(fresh, up.REVIEW_POLICY, "seq")
+    return table.read()
 
 
 @query("h06_validation_gate", with_ctes("""SELECT id, CASE WHEN length(review_text) < 30 THEN 'text too short'
@@ -212,7 +287,7 @@ def i08(spark, sf):
 
 _FIRST = "SELECT p_name AS name, p_partkey AS seq, p_brand AS pkg, p_type AS price FROM part"
 _DIRECT = """SELECT p_name AS name, row(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq, l_returnflag AS pkg, l_linestatus AS price, CAST(l_suppkey AS VARCHAR) AS phone
-  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 30"""
+  FROM lineitem JOIN part ON p_partkey = l_partkey"""
 _SITES = "SELECT c_mktsegment AS name, c_custkey AS seq, CAST(c_custkey AS VARCHAR) AS phone FROM customer UNION ALL SELECT p_name, p_partkey, 'site' FROM part"
 
 
@@ -221,7 +296,7 @@ def _package_inputs(spark, sf):
     pkg = "array(named_struct('name', {n}, 'price', {p})) AS packages"
     first = part.selectExpr("p_name AS name", "p_partkey AS seq", pkg.format(n="p_brand", p="p_type"), "array(p_type) AS prices_found")
     direct = (
-        b.table(spark, sf, "lineitem").filter("l_quantity > 30").join(part, F.col("l_partkey") == F.col("p_partkey"))
+        b.table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr("p_name AS name", "struct(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq", pkg.format(n="l_returnflag", p="l_linestatus"),
                     "array(l_linestatus) AS prices_clean", "array(l_returnflag) AS prices", "CAST(l_suppkey AS STRING) AS phone",
                     "'' AS description", "1 AS pages_ok", "'' AS website_url")
@@ -268,10 +343,10 @@ def e12c(spark, sf):
     (SELECT source, source_vendor_id AS svid, name, phone, category, CAST(starting_price_min AS DOUBLE) AS price, CAST(star_rating AS DOUBLE) AS rating FROM vendors) s
     FULL JOIN (SELECT 'ASIA' AS source, s_name AS svid, concat(s_name, ' listed') AS name, '' AS phone, 'wedding-photographers' AS category,
         CASE WHEN s_acctbal > 0 THEN floor(s_acctbal) END AS price, 0e0 AS rating FROM supplier
-      UNION ALL SELECT v.source, v.source_vendor_id, concat(v.name, ' new'), concat('9', v.phone), v.category, NULL, 3e0 FROM vendors v WHERE v.phone <> '') n
+      UNION ALL SELECT v.source, v.source_vendor_id, concat(v.name, ' new'), concat('9', v.phone), v.category, NULL, 3e0 FROM vendors v) n
     ON s.source = n.source AND s.svid = n.svid""", vendors=V))
 def dataset_build(spark, sf):
-    """Two source shapes into the stored vendor table: suppliers are new, vendors with a phone are seen again."""
+    """Two source shapes into the stored vendor table: suppliers are new, vendors are seen again."""
     from datetime import datetime
 
     from reviewloom.plans.dataset import build_vendors
@@ -286,7 +361,7 @@ def dataset_build(spark, sf):
         F.when(F.col("s_acctbal") > 0, F.concat(F.lit("$"), F.format_number(F.floor("s_acctbal"), 0), F.lit(".00"))).otherwise("call").alias("starting_price"),
         F.col("s_suppkey").alias("seq"),
     )
-    detailed = vendors.filter("phone <> ''").select(
+    detailed = vendors.select(
         "source", F.col("source_vendor_id").alias("vendor_id"), F.concat("name", F.lit(" new")).alias("name"), F.concat(F.lit("9"), "phone").alias("phone"),
         "category", F.lit(3.0).alias("rating"), F.col("id").alias("seq"),
     )

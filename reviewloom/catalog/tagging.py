@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
@@ -169,12 +171,20 @@ def d11(spark, sf):
     return plan.newest_untagged(b.reviews(spark, sf), b.vendors(spark, sf), limit=500).select("id", "vendor_name")
 
 
+@query("d11_untagged_in_id_order", b.with_ctes("SELECT id, review_text FROM reviews WHERE sentiment = '' ORDER BY id", reviews=b.REVIEWS))
+def d11b(spark, sf):
+    """Every untagged review, whatever its date."""
+    return plan.untagged_by_id(b.reviews(spark, sf)).select("id", "review_text")
+
+
 @query("d12_tags_written_back", b.with_ctes("""SELECT r.id, coalesce(t.sentiment, r.sentiment) AS sentiment,
     t.sentiment_confidence AS sentiment_confidence, array_to_string(t.praises, ',') AS praises
     FROM reviews r LEFT JOIN tagged t ON r.id = t.id""", reviews=b.REVIEWS, texts=b.TEXTS,
     tagged=b.tagged("texts", b.CORPUS_TOPICS, b.CORPUS_POSITIVE, b.CORPUS_NEGATIVE)))
 def d12(spark, sf):
-    from reviewloom.operators.upsert import TAG_POLICY, upsert
+    from reviewloom.operators.upsert import TAG_POLICY
+    from reviewloom.session import shared_dir
+    from reviewloom.sources.keyed_table import KeyedTable
 
     stored = b.reviews(spark, sf).select(
         "id", "sentiment", F.lit(None).cast("double").alias("sentiment_confidence"),
@@ -184,7 +194,10 @@ def d12(spark, sf):
         "id", "sentiment", "sentiment_confidence", "praise_categories", F.lit(1).alias("seq")
     )
     known = tags.join(stored.select("id"), "id", "left_semi")
-    return upsert(stored, known, ["id"], TAG_POLICY, "seq").select(
+    table = KeyedTable(spark, f"{shared_dir(spark)}/tags-{uuid.uuid4().hex}", ["id"], 16)
+    table.create(stored)
+    table.merge(known, TAG_POLICY, "seq")
+    return table.read().select(
         "id", "sentiment", "sentiment_confidence", b.joined_text("praise_categories").alias("praises")
     )
 

@@ -28,6 +28,7 @@ from reviewloom.functions.scalars import (
     starting_price,
 )
 from reviewloom.operators.dedup import first_by_key
+from reviewloom.session import Workspace
 
 JSON_LD_LIST = """`@type` STRING, itemListElement ARRAY<STRUCT<item: STRUCT<
   name: STRING, aggregateRating: STRUCT<ratingValue: STRING, reviewCount: STRING>,
@@ -306,38 +307,38 @@ def review_nodes(payloads: DataFrame, keep: Sequence[str], payload: str = "paylo
 # ---- payload profiling ----------------------------------------------------
 
 def variant_paths(
-    payloads: DataFrame, payload: str = "payload", words: Sequence[str] = tuple(lx.JSON_REVIEW_KEYS), depth: int = 6
+    payloads: DataFrame, payload: str = "payload", words: Sequence[str] = tuple(lx.JSON_REVIEW_KEYS), indexed: bool = True
 ) -> DataFrame:
-    """(path, type, n) of the keys that mention one of the words, down to a depth; no words means every key.
+    """(path, type, n) of the keys that mention one of the words, at any depth and in every list element; no words means every key.
 
-    Only the first element of a list is opened. The levels of one document are
-    opened inside its row, so the payloads are read and parsed once.
+    Level by level: the objects and lists of one level are opened, their members
+    counted, and those that are objects or lists again are the next level, until one
+    is empty. A level is written before it is read twice, and dropped when the next one
+    is there. ``indexed=False`` writes ``[*]`` for the place in a list, for long lists.
     """
-    root = F.struct(F.lit("$").alias("path"), F.lit("").alias("key"), F.try_parse_json(F.col(payload)).alias("v"))
-    rows = payloads.select(F.array(root).alias("_l0"))
-    for level in range(1, depth + 1):
-        rows = rows.withColumn(f"_l{level}", F.flatten(F.transform(F.col(f"_l{level - 1}"), _children)))
-    found = rows.select(F.explode(F.concat(*[F.col(f"_l{i}") for i in range(1, depth + 1)])).alias("e"))
-    keys = found.select(
-        F.col("e.path").alias("path"), F.regexp_extract(F.schema_of_variant("e.v"), r"^(\w+)", 1).alias("type"),
-        F.col("e.key").alias("key"),
-    )
-    if words:
-        keys = keys.filter(contains_any(F.lower("key"), words))
-    return keys.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _children(node: Column) -> Column:
-    """Children of an object value, or of the first element of a list, as (path, key, v)."""
-    value = node["v"]
-    is_list = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
-    opened = F.when(is_list, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
-    prefix = F.concat(node["path"], F.when(is_list, F.lit("[0].")).otherwise(F.lit(".")))
-    pairs = F.map_entries(F.try_variant_get(opened, "$", "map<string,variant>"))
-    children = F.transform(
-        pairs, lambda p: F.struct(F.concat(prefix, p["key"]).alias("path"), p["key"].alias("key"), p["value"].alias("v"))
-    )
-    return F.coalesce(children, F.array().cast("array<struct<path:string,key:string,v:variant>>"))
+    space = Workspace(payloads.sparkSession, "json-paths")
+    level = payloads.select(F.lit("$").alias("path"), F.try_parse_json(F.col(payload)).alias("v")).where("v is not null")
+    place = F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")) if indexed else F.lit("[*]")
+    # an object's member has a key, a list's element has none and is not reported itself
+    path = F.concat("path", F.when(F.col("key").isNull(), place).otherwise(F.concat(F.lit("."), "key")))
+    counts, depth = [], 0
+    while True:
+        opened = level.lateralJoin(payloads.sparkSession.tvf.variant_explode(F.col("v").outer()))
+        members = opened.select(path.alias("path"), "key", F.col("value").alias("v"), F.regexp_extract(F.schema_of_variant("value"), r"^(\w+)", 1).alias("type"))
+        members = space.write(members, f"level-{depth}")
+        if depth:
+            space.drop(f"level-{depth - 1}")
+        if members.isEmpty():
+            break
+        keys = members.where("key is not null")
+        if words:
+            keys = keys.where(contains_any(F.lower("key"), words))
+        counts.append(space.write(keys.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n")), f"counts-{depth}"))
+        level, depth = members.where(F.col("type").isin("OBJECT", "ARRAY")).select("path", "v"), depth + 1
+    if not counts:
+        return payloads.sparkSession.createDataFrame([], "path STRING, type STRING, n BIGINT")
+    # paths of different levels differ, so the levels are put one after the other
+    return payloads.sparkSession.read.schema(counts[0].schema).parquet(*[space.path(f"counts-{k}") for k in range(depth)])
 
 
 def populated_keys(payloads: DataFrame, payload: str = "payload") -> DataFrame:

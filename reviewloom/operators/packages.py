@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.operators.dedup import first_by_key
+
 SCALARS = ("phone", "description", "pages_ok", "website_url")
 
 
@@ -25,8 +27,8 @@ def merge_scalars(
     source is used for a name without a direct record.
     """
     names = first.select("name").unionByName(direct.select("name")).unionByName(websites.select("name")).distinct()
-    last = direct.groupBy("name").agg(F.max_by(F.struct(*SCALARS), F.col(seq)).alias("d"))
-    fill = websites.groupBy("name").agg(F.min_by(F.struct("phone", "website_url"), F.col(seq)).alias("w"))
+    last = first_by_key(direct, ["name"], [F.desc(seq)]).select("name", F.struct(*SCALARS).alias("d"))
+    fill = first_by_key(websites, ["name"], [seq]).select("name", F.struct("phone", "website_url").alias("w"))
     joined = names.join(last, "name", "left").join(fill, "name", "left")
     direct_known = F.col("d").isNotNull()
     return joined.select(
@@ -40,7 +42,7 @@ def merge_scalars(
 
 def merge_packages(first: DataFrame, direct: DataFrame, seq: str = "seq") -> DataFrame:
     """Packages of both sources, one per row: the last first-source record's list, then every direct list."""
-    newest = first.groupBy("name").agg(F.max_by("packages", F.col(seq)).alias("packages"))
+    newest = first_by_key(first, ["name"], [F.desc(seq)])
     parts = [
         newest.select("name", F.lit(0).alias("source_rank"), F.lit("").alias("record"),
                       F.posexplode("packages").alias("position", "package")),
@@ -52,7 +54,7 @@ def merge_packages(first: DataFrame, direct: DataFrame, seq: str = "seq") -> Dat
 
 def merge_prices(first: DataFrame, direct: DataFrame, seq: str = "seq") -> DataFrame:
     """Distinct (name, price) over both sources."""
-    newest = first.groupBy("name").agg(F.max_by("prices_found", F.col(seq)).alias("prices_found"))
+    newest = first_by_key(first, ["name"], [F.desc(seq)])
     union = newest.select("name", F.explode("prices_found").alias("price")).unionByName(
         direct.select("name", F.explode(F.concat("prices_clean", "prices")).alias("price"))
     )

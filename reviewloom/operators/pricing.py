@@ -89,8 +89,9 @@ def market_stats(
 
 
 def tier_counts(listings: DataFrame, by: str = "category", tier: str = "price_tier") -> DataFrame:
-    """One column per price tier."""
-    return grouped(listings, by).groupBy(by).pivot(tier, TIERS).agg(F.count(F.lit(1))).fillna(0, TIERS)
+    """One column per price tier: a missing tier is ``unknown``, one that is not listed counts as ``tier_other``."""
+    t = F.coalesce(F.col(tier), F.lit("unknown"))
+    return grouped(listings, by).groupBy(by).agg(*[F.count_if(t == name).alias(name) for name in TIERS], F.count_if(~t.isin(TIERS)).alias("tier_other"))
 
 
 def price_histogram(listings: DataFrame, by: str = "category", price: str = "starting_price_min") -> DataFrame:
@@ -139,7 +140,10 @@ def top_per_category(
     return top_by_key(listings, [by], order, k, rank="rank")
 
 
-def catalogue_order(catalogue: DataFrame) -> DataFrame:
-    """Package catalogue by category, then market average with unknown last."""
+def catalogue_order(catalogue: DataFrame, place: str | None = None, tiebreak: Sequence[Column | str] = ()) -> DataFrame:
+    """Package catalogue by category, then market average with unknown last, then name; ``place`` names a column for the place in the category."""
     avg = F.coalesce(F.nullif(F.col("market_avg").cast("double"), F.lit(0.0)), F.lit(99999.0))
-    return catalogue.orderBy("category", avg, "name")
+    order = [avg, F.col("name"), *[col_of(t) for t in tiebreak]]
+    if place:
+        catalogue = catalogue.withColumn(place, F.row_number().over(Window.partitionBy("category").orderBy(*order)))
+    return catalogue.orderBy("category", *order)

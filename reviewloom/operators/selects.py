@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from reviewloom import lexicons as lx
@@ -131,6 +132,17 @@ def vendor_card(name_width: int = 40) -> list[Column]:
     ]
 
 
+def _matches(vendors: DataFrame, text: str | None, equals: dict[str, str] | None, min_rating: float | None) -> DataFrame:
+    found = vendors
+    if text:
+        found = found.filter(F.contains(F.lower("name"), F.lit(text.lower())))
+    for column, value in (equals or {}).items():
+        found = found.filter(F.col(column) == value)
+    if min_rating is not None:
+        found = found.filter(F.col("star_rating") >= min_rating)
+    return found
+
+
 def search_vendors(
     vendors: DataFrame,
     text: str | None = None,
@@ -141,17 +153,58 @@ def search_vendors(
     page_size: int = 20,
 ) -> tuple[DataFrame, DataFrame]:
     """(one page of matching vendors, frame with the total number of matches)."""
-    found = vendors
-    if text:
-        found = found.filter(F.contains(F.lower("name"), F.lit(text.lower())))
-    for column, value in (equals or {}).items():
-        found = found.filter(F.col(column) == value)
-    if min_rating is not None:
-        found = found.filter(F.col("star_rating") >= min_rating)
+    found = _matches(vendors, text, equals, min_rating)
     total = found.agg(F.count(F.lit(1)).alias("total"))
     return found.orderBy(*[col_of(o) for o in order]).offset((page - 1) * page_size).limit(page_size), total
 
 
+class Page(NamedTuple):
+    """Rows of one page, the number of matches on all pages, and where the next page starts (nothing after the last one)."""
+
+    rows: list[Row]
+    total: int
+    after: tuple | None
+
+
+def _after(order: Sequence[tuple[str, bool]], last: Sequence) -> Column:
+    """Rows behind a given one in an order of (column, descending), nulls last."""
+    behind, same = F.lit(False), F.lit(True)
+    for (name, down), value in zip(order, last):
+        c = F.col(name)
+        if value is None:  # nothing is behind a null but a later column
+            same = same & c.isNull()
+            continue
+        further = (c < F.lit(value)) if down else (c > F.lit(value))
+        behind = behind | (same & F.coalesce(further, F.lit(True)))
+        same = same & F.coalesce(c == F.lit(value), F.lit(False))
+    return behind
+
+
+def search_page(
+    vendors: DataFrame, text: str | None = None, equals: dict[str, str] | None = None, min_rating: float | None = None,
+    order: Sequence[tuple[str, bool]] = (("name", False), ("id", False)), after: Sequence | None = None, page_size: int = 20,
+) -> Page:
+    """One page of matching vendors, in an order of (column, descending) whose last column is unique.
+
+    A page starts after the last row of the one before, so a late page is a filter and a
+    top-k like the first; the total is observed while the same rows go by.
+    """
+    found = _matches(vendors, text, equals, min_rating)
+    seen = Observation()
+    rest = found.observe(seen, F.count(F.lit(1)).alias("total"))
+    if after is not None:
+        rest = rest.filter(_after(order, after))
+    rows = rest.orderBy(*[F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in order]).limit(page_size).collect()
+    more = len(rows) == page_size
+    return Page(rows, seen.get["total"], tuple(rows[-1][c] for c, _ in order) if more else None)
+
+
+def seeded_sample(df: DataFrame, key: Sequence[str], k: int, seed: int = 0) -> DataFrame:
+    """``k`` rows by the smallest seeded hash of their key: the same rows at any partitioning, each task keeps at most ``k``."""
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    return df.orderBy(mark, *key).limit(k)
+
+
 def suspicious_positives(reviews: DataFrame, words: Sequence[str] = tuple(lx.SUSPICIOUS_POSITIVE_WORDS)) -> DataFrame:
     """Positive-tagged reviews that contain complaint words."""
     return reviews.filter((F.col("sentiment") == "positive") & ilike_any("review_text", words))

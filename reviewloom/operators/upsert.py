@@ -3,8 +3,9 @@
 ``overwrite`` takes the incoming value, ``coalesce`` keeps the stored value when
 the incoming one is null, ``insert_only`` never changes a stored value. A batch
 may hold a key several times: the result is that of applying its rows one after
-the other, computed as one aggregate per key before the join. Both join sides
-then have unique keys, so no key can make a partition large.
+the other, folded to one row per key before the join. Both join sides then have
+unique keys, so no key can make a partition large. ``sources.keyed_table`` applies
+a batch to a stored table by writing the touched parts only.
 """
 
 from __future__ import annotations
@@ -55,26 +56,34 @@ def fold_batch(
 
     ``f_<col>`` and ``l_<col>`` are the values of the first and of the last row,
     ``c_<col>`` the last non-null value. ``seq`` must be unique within a key.
-    Buffers hold one row per key and the aggregate combines before the shuffle.
+
+    Where the last row is all that counts it is taken by ``row_number``, which Spark
+    limits in every map task. Otherwise the places of the rows needed, at most one per
+    kept column and two, are found as plain minima and maxima of ``seq``, combined
+    before the shuffle; rows are then looked up by key and place, so that a key with a
+    third of the batch is spread over tasks, and only those few meet in one row.
     """
     values = [c for c in incoming.columns if c not in key and c != seq]
     overwrite = [c for c in values if policy.get(c, INSERT_ONLY) == OVERWRITE]
     keep = [c for c in values if policy.get(c, INSERT_ONLY) == COALESCE]
     first = [c for c in values if c not in overwrite]
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    if first:
-        aggs.append(F.min_by(F.struct(*first), F.col(seq)).alias("_first"))
-    if overwrite:
-        aggs.append(F.max_by(F.struct(*overwrite), F.col(seq)).alias("_last"))
-    for c in keep:
-        v = _value(incoming, c, blank_as_null)
-        aggs.append(F.max_by(v, F.when(v.isNotNull(), F.col(seq))).alias(f"c_{c}"))
-    folded = incoming.groupBy(*key).agg(*aggs)
-    return folded.select(
-        *key, "_rows",
-        *[F.col(f"_first.{c}").alias(f"f_{c}") for c in first],
-        *[F.col(f"_last.{c}").alias(f"l_{c}") for c in overwrite],
-        *[F.col(f"c_{c}") for c in keep],
+    if not first:
+        last = first_by_key(incoming, key, [F.desc(seq)])
+        return last.select(*key, F.lit(1).alias("_rows"), *[F.col(c).alias(f"l_{c}") for c in overwrite])
+    filled = [F.max(F.when(_value(incoming, c, blank_as_null).isNotNull(), F.col(seq))) for c in keep]
+    places = F.array_distinct(F.array_compact(F.array(F.min(seq), F.max(seq), *filled)))
+    wanted = incoming.groupBy(*key).agg(places.alias("_at")).select(*[F.col(k).alias(f"_k_{k}") for k in key], F.explode("_at").alias("_at"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key] + [F.col(seq) == F.col("_at")]
+    met = incoming.join(wanted, same).select(*key, F.struct(F.col(seq).alias("_at"), *values).alias("_row"))
+    order = lambda a, b: F.when(a["_at"] < b["_at"], -1).when(a["_at"] > b["_at"], 1).otherwise(0)
+    rows = met.groupBy(*key).agg(F.array_sort(F.collect_list("_row"), order).alias("_few"))
+    text = {f.name for f in incoming.schema if isinstance(f.dataType, T.StringType)}
+    known = lambda c: lambda r: (F.nullif(r[c], F.lit("")) if blank_as_null and c in text else r[c]).isNotNull()
+    return rows.select(
+        *key, F.lit(1).alias("_rows"),
+        *[F.element_at("_few", 1)[c].alias(f"f_{c}") for c in first],
+        *[F.element_at("_few", -1)[c].alias(f"l_{c}") for c in overwrite],
+        *[F.try_element_at(F.filter("_few", known(c)), F.lit(-1))[c].alias(f"c_{c}") for c in keep],
     )
 
 
@@ -114,7 +123,7 @@ def upsert(
         elif policy.get(c, INSERT_ONLY) == OVERWRITE:
             out.append(F.when(touched, F.col(f"l_{c}")).otherwise(F.col(c)).alias(c))
         elif policy.get(c, INSERT_ONLY) == COALESCE:
-            out.append(F.coalesce(F.col(f"c_{c}"), F.col(c), F.col(f"f_{c}")).alias(c))
+            out.append(F.coalesce(F.col(f"c_{c}"), F.when(stored, F.col(c)).otherwise(F.col(f"f_{c}"))).alias(c))
         else:
             out.append(F.when(stored, F.col(c)).otherwise(F.col(f"f_{c}")).alias(c))
     if action:

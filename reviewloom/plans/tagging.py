@@ -129,6 +129,13 @@ def untagged(reviews: DataFrame) -> DataFrame:
     return reviews.filter(tg.blank("sentiment"))
 
 
+def untagged_by_id(reviews: DataFrame, after: object = None, limit: int | None = None, key: str = "id") -> DataFrame:
+    """Work list of a bulk run: untagged reviews of any date in key order, all of them or the next ``limit`` ones after a key."""
+    rows = untagged(reviews)
+    rows = (rows if after is None else rows.filter(F.col(key) > F.lit(after))).orderBy(key)
+    return rows if limit is None else rows.limit(limit)
+
+
 def newest_untagged(
     reviews: DataFrame, vendors: DataFrame, limit: int | None = None, order: str = "scraped_at", key: str = "id"
 ) -> DataFrame:

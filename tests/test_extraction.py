@@ -109,6 +109,20 @@ def test_variant_profile(spark):
     assert got == {"$.a.reviewCount": "BIGINT", "$.a.list[0].rating": "STRING"}
 
 
+def test_variant_profile_goes_to_the_bottom(spark):
+    deep = {"rating": 1}
+    for level in range(40):
+        deep = {"x": deep} if level % 2 else {"y": [0, 1, deep]}
+    doc = {"a": [{"x": 1}, {"rating": 2}], "deep": deep, "review": None, "odd key.": {"rating": []}}
+    df = frame(spark, "payload", json.dumps(doc), json.dumps(doc), "[{\"rating\":1},{\"rating\":\"s\"}]", "7", "", None, "{bad")
+    got = {(r["path"], r["type"]): r["n"] for r in pl.variant_paths(df, words=["rating", "review"]).collect()}
+    far = "$.deep" + ".x.y[2]" * 20 + ".rating"
+    assert got == {("$.a[1].rating", "BIGINT"): 2, (far, "BIGINT"): 2, ("$.review", "VOID"): 2, ("$.odd key..rating", "ARRAY"): 2, ("$[0].rating", "BIGINT"): 1, ("$[1].rating", "STRING"): 1}
+    starred = {(r["path"], r["type"]): r["n"] for r in pl.variant_paths(df, words=["rating"], indexed=False).collect()}
+    assert starred["$.a[*].rating", "BIGINT"] == 2 and starred["$[*].rating", "STRING"] == 1
+    assert pl.variant_paths(frame(spark, "payload", "{bad", None)).count() == 0
+
+
 def test_page_type(spark):
     df = spark.createDataFrame([
         ("https://m/marketplace/ann-dj-austin--123?x", ""), ("https://m/marketplace/djs-austin", ""), ("https://m/marketplace/a/b", "<p>"),

@@ -179,3 +179,45 @@ def test_search(vendors):
 def test_hourly(spark):
     log = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, m), "ok" if m < 30 else "error") for m in (0, 29, 30, 59)], "ts TIMESTAMP, status STRING")
     assert [(r["successful"], r["total"]) for r in ch.hourly(log).collect()] == [(2, 4)]
+
+
+def test_every_tier_is_counted(spark):
+    rows = spark.createDataFrame([("c", "budget"), ("c", None), ("c", "unknown"), ("c", "vip"), (None, "mid")], "category STRING, price_tier STRING")
+    got = {r["category"]: tuple(r)[1:] for r in pricing.tier_counts(rows).collect()}
+    assert got == {"c": (1, 0, 0, 2, 1), "OTHER": (0, 1, 0, 0, 0)}
+
+
+def test_catalogue_is_sorted(spark):
+    rows = [("b", 0.0, "x"), ("a", None, "z"), ("a", 5.0, "y"), ("a", 5.0, "x"), ("b", 7.0, "q")]
+    got = pricing.catalogue_order(spark.createDataFrame(rows, "category STRING, market_avg DOUBLE, name STRING").repartition(3), "place").collect()
+    assert [(r["category"], r["name"], r["place"]) for r in got] == [("a", "x", 1), ("a", "y", 2), ("a", "z", 3), ("b", "q", 1), ("b", "x", 2)]
+
+
+def test_pages_follow_each_other_over_ties_and_nulls(spark):
+    rows = [(i, f"N {i % 3}", None if i % 5 == 0 else float(i % 4), None if i % 7 == 0 else i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "id INT, name STRING, star_rating DOUBLE, review_count INT").repartition(4)
+    for order in ([("star_rating", True), ("review_count", False), ("id", False)], [("review_count", True), ("name", False), ("id", True)]):
+        got, after = [], None
+        while True:
+            page = se.search_page(df, "n", order=order, after=after, page_size=7)
+            assert page.total == 100
+            got, after = got + [r["id"] for r in page.rows], page.after
+            if after is None:
+                break
+        place = {c: k for k, c in enumerate(("id", "name", "star_rating", "review_count"))}
+        want = list(rows)
+        for name, down in reversed(order):
+            known, null = [r for r in want if r[place[name]] is not None], [r for r in want if r[place[name]] is None]
+            want = sorted(known, key=lambda r: r[place[name]], reverse=down) + null
+        assert got == [r[0] for r in want]
+    plan = df.orderBy("id").limit(3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    assert se.search_page(df, "none").rows == [] and se.search_page(df, "none").total == 0
+
+
+def test_sample_is_the_same_at_any_partitioning(spark):
+    df = spark.range(1000).withColumn("text", F.repeat(F.lit("x"), 500))
+    picks = [sorted(r["id"] for r in se.seeded_sample(df.repartition(n), ["id"], 20, 3).collect()) for n in (1, 3, 8)]
+    assert picks[0] == picks[1] == picks[2] and len(set(picks[0])) == 20
+    assert picks[0] != sorted(r["id"] for r in se.seeded_sample(df, ["id"], 20, 4).collect())
+    assert len(se.seeded_sample(df, ["id"], 1).first()["text"]) == 500
