@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from reviewloom import lexicons as lx
 from reviewloom.catalog import bindings as b
 from reviewloom.catalog.bindings import query, r, with_ctes
+from reviewloom.catalog.tagging import _DEFAULT_REPLY
 from reviewloom.operators import audits, insights, pricing
 from reviewloom.operators import rollups as ru
 from reviewloom.operators import selects as se
 from reviewloom.operators.dedup import top_by_key
 from reviewloom.plans import dashboard as dash
 from reviewloom.plans import tagging as plan
-from reviewloom.session import materialize
+from reviewloom.session import Workspace, materialize
 
 V, R, T, LI = b.VENDORS, b.REVIEWS, b.TEXTS, b.LISTINGS
 
@@ -674,18 +675,14 @@ def l06(spark, sf):
     )
 
 
-@query("l07_all_insights", with_ctes(" UNION ALL ".join(
-    f"SELECT * FROM ({s})" for s in (_TOP, _GAP, _STATES, _SKEW.format(above=90), _PRAISED.format(tag="transparency"),
-                                     _spot("djs", 6, _RATING_TEXT), _spot("planners", 7, "coverage_pct"))),
-    **_L, categories=_roll_cte("category"), states=_roll_cte("state")))
+_INSIGHTS = " UNION ALL ".join(f"SELECT * FROM ({s})" for s in (
+    _TOP, _GAP, _STATES, _SKEW.format(above=90), _PRAISED.format(tag="transparency"), _spot("djs", 6, _RATING_TEXT), _spot("planners", 7, "coverage_pct")))
+
+
+@query("l07_all_insights", with_ctes(_INSIGHTS, **_L, categories=_roll_cte("category"), states=_roll_cte("state")))
 def l07(spark, sf):
-    t = materialize(dash.slim(plan.flag_vendor_replies(tagged(spark, sf))))
-    v = b.vendors(spark, sf)
-    return insights.all_insights(
-        ru.tag_frequency(t, "complaint_categories", ru.complaint_filter()),
-        ru.tag_frequency(t, "praise_categories"), ru.sentiment_split(t),
-        ru.coverage_rollup(v, t, "category"), ru.coverage_rollup(v, t, "state"),
-    )
+    space = Workspace(spark, "insights")
+    return dash.insight_rows(dash.gather(b.vendors(spark, sf), dash.slim(plan.flag_vendor_replies(tagged(spark, sf))), space))
 
 
 @query("m04_vendor_search", with_ctes("""SELECT id, name, CAST(star_rating AS DOUBLE) AS star_rating,
@@ -714,8 +711,53 @@ def m04b(spark, sf):
     return spark.createDataFrame(pages, "id BIGINT, name STRING, star_rating DOUBLE, review_count INT, page INT, total BIGINT")
 
 
-@query("dashboard_document")
+def _section(name, order, columns, source):
+    """Rows of a section as JSON, numbered in their order."""
+    fields = ", ".join(f"{c.rsplit(' AS ', 1)[-1]}: {c.rsplit(' AS ', 1)[0]}" for c in columns)
+    return f"SELECT '{name}' AS section, row_number() OVER (ORDER BY {order}) AS place, to_json({{{fields}}}) AS record FROM ({source})"
+
+
+_ROLLED = ["vendors", "reviews", "avg_rating", "coverage_pct"]
+_DOCUMENT = [
+    _section("vendor_kpis", "1", ["total_vendors", "states_covered", "sources"],
+             "SELECT count(*) AS total_vendors, count(DISTINCT nullif(state, '')) AS states_covered, count(DISTINCT source) AS sources FROM vendors"),
+    _section("review_kpis", "1", ["total_reviews", "with_text", "vendors_with_reviews", "avg_rating", "min_rating", "max_rating"],
+             f"""SELECT count(*) AS total_reviews, count(*) FILTER (length(review_text) > 50) AS with_text, count(DISTINCT vendor_id) AS vendors_with_reviews,
+             {r('avg(rating)')} AS avg_rating, min(rating) AS min_rating, max(rating) AS max_rating FROM flagged"""),
+    _section("sentiment", "list_position(['positive', 'neutral', 'negative'], sentiment)", ["sentiment", "n", "total", "pct"], _SPLIT.format(t="flagged")),
+    _section("rating_dist", "star", ["star", "label", "n"], """SELECT s.star, concat(CAST(s.star AS VARCHAR), '★') AS label, count(f.id) AS n
+             FROM (SELECT unnest([1, 2, 3, 4, 5]) AS star) s LEFT JOIN flagged f ON f.rating BETWEEN 1 AND 5 AND round(f.rating) = s.star GROUP BY 1"""),
+    _section("categories", "category", ["category", *_ROLLED], "SELECT * FROM categories"),
+    _section("top_states", "reviews DESC, state", ["state", *_ROLLED], "SELECT * FROM states ORDER BY reviews DESC, state LIMIT 15"),
+    _section("all_states", "state", ["state", *_ROLLED], "SELECT * FROM states"),
+    _section("complaints", "n DESC, tag", ["tag", "n"], "SELECT * FROM complaints"),
+    _section("negative_by_category", "category", ["category", "vendor_count", "negative_count"], """SELECT category, count(DISTINCT v.id) AS vendor_count, count(*) AS negative_count
+             FROM flagged f JOIN vendors v ON v.id = f.vendor_id WHERE f.sentiment = 'negative' AND NOT f.is_vendor_reply AND category <> '' GROUP BY 1"""),
+    _section("praise", "n DESC, tag", ["tag", "n"], "SELECT * FROM praise"),
+    _section("top_vendors", "review_count DESC NULLS FIRST, id", ["left(name, 40) AS name", "coalesce(city, '') AS city", "coalesce(state, '') AS state", "replace(category, 'wedding-', '') AS category",
+             "CAST(review_count AS BIGINT) AS review_count", "coalesce(CAST(CAST(nullif(star_rating, 0) AS DOUBLE) AS VARCHAR), '-') AS star_rating"],
+             "SELECT * FROM vendors WHERE source = 'ASIA' ORDER BY vendors.review_count DESC NULLS FIRST, id LIMIT 10"),
+    _section("best_vendors", "star_rating DESC, stored DESC, id", ["id", "left(name, 40) AS name", "coalesce(city, '') AS city", "CAST(star_rating AS DOUBLE) AS star_rating", "stored"],
+             """SELECT v.*, stored FROM vendors v JOIN (SELECT vendor_id, count(*) AS stored FROM flagged WHERE length(review_text) > 50 GROUP BY 1 HAVING count(*) >= 50) f
+             ON f.vendor_id = v.id WHERE source = 'ASIA' AND v.star_rating >= 4.8 ORDER BY v.star_rating DESC, stored DESC, v.id LIMIT 10"""),
+    _section("insights", "rule_no", ["rule_no", "type", "text"], "SELECT * FROM insight"),
+]
+_FLAGGED = f"SELECT *, {_DEFAULT_REPLY.replace('lower(text)', 'lower(review_text)')} AS is_vendor_reply FROM tagged"
+
+
+@query("dashboard_document", with_ctes(
+    "SELECT section, place, field, try_cast(value AS DOUBLE) AS number, CASE WHEN try_cast(value AS DOUBLE) IS NULL THEN value END AS text FROM (SELECT section, place, field, "
+    "json_extract_string(record, '$.\"' || field || '\"') AS value FROM (SELECT *, unnest(json_keys(record)) AS field FROM document))",
+    **_TAGGED, vendors=V, flagged=_FLAGGED, **{k: v.replace("FROM tagged", "FROM flagged").replace("JOIN tagged", "JOIN flagged") for k, v in dict(
+        complaints=_L["complaints"].replace("sentiment = 'negative'", "sentiment = 'negative' AND NOT is_vendor_reply"), praise=_L["praise"], split=_L["split"],
+        categories=_roll_cte("category"), states=_roll_cte("state"), insight=_INSIGHTS).items()}, document=" UNION ALL ".join(_DOCUMENT)))
 def dashboard_document(spark, sf):
+    """The whole document, parsed again: a row for every field of every record."""
     t = plan.flag_vendor_replies(tagged(spark, sf))
-    v = b.vendors(spark, sf)
-    return dash.document(v, t, "ASIA")
+    doc = dash.document(b.vendors(spark, sf), t, "ASIA")
+    parts = doc.select(F.explode(F.from_json("value", "map<string,string>")).alias("section", "body"))
+    listed = F.when(F.startswith("body", F.lit("[")), F.col("body")).otherwise(F.concat(F.lit("["), F.col("body"), F.lit("]")))
+    records = parts.select("section", F.posexplode(F.from_json(listed, "array<map<string,string>>")).alias("pos", "record"))
+    fields = records.select("section", (F.col("pos") + 1).cast("bigint").alias("place"), F.explode("record").alias("field", "value"))
+    number = F.col("value").try_cast("double")
+    return fields.select("section", "place", "field", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"))

@@ -54,25 +54,36 @@ def write_package_csv(vendors: DataFrame, path: str, parents: Sequence[str] = ("
     write_csv(child_rows(vendors, parents), path)
 
 
-def dashboard_document(sections: Mapping[str, DataFrame], single: Sequence[str] = ()) -> DataFrame:
-    """One JSON object from small aggregated frames.
+def section_rows(sections: Mapping[str, DataFrame]) -> DataFrame:
+    """(name, place, record) rows of section frames, and one row without a record for each section.
 
-    Sections are roll-up results (groups, top lists, single rows), never detail
-    rows. Names in ``single`` become objects, the others become lists.
+    Rows keep the order of ``_place`` where a frame has that column, else their own.
     """
     from reviewloom.operators.dedup import unify
 
     rows = []
     for name, df in sections.items():
-        record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-        body = F.first(record) if name in single else F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]"))
-        rows.append(df.agg(F.coalesce(body, F.lit("null")).alias("body")).select(F.lit(name).alias("name"), "body"))
-    parts = unify(rows).agg(
-        F.array_join(
-            F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("body")))), ","
-        ).alias("parts")
-    )
-    return parts.select(F.concat(F.lit("{"), F.col("parts"), F.lit("}")).alias("value"))
+        place = F.col("_place") if "_place" in df.columns else F.struct(F.monotonically_increasing_id().alias("n0"))
+        record = F.to_json(F.struct(*[c for c in df.columns if c != "_place"]), {"ignoreNullFields": "false"})
+        rows.append(df.select(F.lit(name).alias("name"), place.alias("place"), record.alias("record")))
+    names = rows[0].sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in sections])).alias("name"))
+    return unify([*rows, names])
+
+
+def document_of(rows: DataFrame, single: Sequence[str] = ()) -> DataFrame:
+    """One JSON object from section rows. Names in ``single`` become objects, the others become lists."""
+    kept = F.array_sort(F.collect_list(F.when(F.col("record").isNotNull(), F.struct("place", "record"))))
+    records = F.transform(kept, lambda r: r["record"])
+    listed = F.concat(F.lit("["), F.array_join(records, ","), F.lit("]"))
+    body = F.when(F.col("name").isin(*single), F.coalesce(F.try_element_at(records, F.lit(1)), F.lit("null"))).otherwise(listed) if single else listed
+    bodies = rows.groupBy("name").agg(body.alias("body"))
+    members = F.array_sort(F.collect_list(F.concat(F.lit('"'), F.col("name"), F.lit('":'), F.col("body"))))
+    return bodies.agg(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("value"))
+
+
+def dashboard_document(sections: Mapping[str, DataFrame], single: Sequence[str] = ()) -> DataFrame:
+    """One JSON object from small aggregated frames: groups, top lists, single rows, never detail rows."""
+    return document_of(section_rows(sections), single)
 
 
 def write_document(document: DataFrame, path: str) -> None:

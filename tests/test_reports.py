@@ -171,6 +171,30 @@ def test_dashboard_document(vendors, reviews):
     assert [v["name"] for v in doc["top_vendors"]] == ["Ann", "Bob"]
 
 
+def test_one_pass_equals_the_single_roll_ups(spark, vendors, reviews):
+    parts = dash.sections(vendors, reviews, "m1")
+    listed = vendors.filter("source = 'm1'")
+    complaints, praise = ru.tag_frequency(reviews, "complaint_categories", ru.complaint_filter()), ru.tag_frequency(reviews, "praise_categories")
+    split, categories, states = ru.sentiment_split(reviews), ru.coverage_rollup(vendors, reviews, "category"), ru.coverage_rollup(vendors, reviews, "state")
+    want = {
+        "vendor_kpis": ru.vendor_kpis(vendors), "review_kpis": ru.review_kpis(reviews), "sentiment": split, "rating_dist": ru.star_distribution(reviews), "categories": categories,
+        "all_states": states, "top_states": ru.top_groups(states, "state"), "complaints": complaints, "praise": praise, "negative_by_category": ru.negative_by_category(vendors, reviews),
+        "best_vendors": ru.best_rated(listed, reviews), "insights": insights.all_insights(complaints, praise, split, categories, states)}
+    for name, df in want.items():
+        assert parts[name].columns == df.columns, name
+        assert sorted(map(str, parts[name].collect())) == sorted(map(str, df.collect())), name
+    empty = dash.sections(vendors.limit(0), reviews.limit(0))
+    assert empty["vendor_kpis"].first()["total_vendors"] == 0 and empty["review_kpis"].first()["total_reviews"] == 0 and empty["categories"].count() == 0
+    doc = json.loads(dash.document(vendors.limit(0), reviews.limit(0)).first()["value"])
+    assert doc["categories"] == [] and doc["vendor_kpis"]["sources"] == 0
+
+
+def test_reviews_are_read_once_for_the_dashboard(spark, tmp_path, reviews):
+    reviews.write.parquet(str(tmp_path / "r"))
+    plan = dash.review_facts(dash.slim(spark.read.parquet(str(tmp_path / "r"))))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "SortAggregate" not in plan
+
+
 def test_search(vendors):
     page, total = se.search_vendors(vendors, text="i", page_size=1)
     assert total.first()["total"] == 1 and page.first()["name"] == "Di"
