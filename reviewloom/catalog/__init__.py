@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_FAMILIES = ["tagging", "dashboard", "keyed", "health", "scalars", "extraction", "files"]
+_FAMILIES = ["tagging", "dashboard", "keyed", "health", "scalars", "extraction", "files", "ingest"]
 
 
 def _load():

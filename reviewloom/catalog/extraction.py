@@ -243,13 +243,16 @@ _BLOB = """concat('Ann B.Rating: 4•Feed•Mar 3, 2024', text, chr(10), 'Mary A
 _CUT = rt.HEADER.replace("\\", "\\")
 
 
-@query("b16_split_review_blobs", with_ctes(rf"""SELECT doc_id, i - 2 AS position, regexp_replace(trim(regexp_extract(h, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', '') AS reviewer,
-    try_cast(regexp_extract(h, 'Rating:\s*(\d+(?:\.\d+)?)', 1) AS DOUBLE) AS rating, md5(body) AS body FROM (
+#: Reviews of the blobs of a CTE: where headers begin, blobs are cut, and what is left of a bullet list is trimmed.
+SPLIT_BLOBS = rf"""SELECT doc_id, i - 2 AS position, regexp_replace(trim(regexp_extract(h, '^([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?\s*[A-Z]?\.?)', 1)), '\.+$', '') AS reviewer,
+    try_cast(regexp_extract(h, 'Rating:\s*(\d+(?:\.\d+)?)', 1) AS DOUBLE) AS rating, body FROM (
     SELECT doc_id, i, h, regexp_replace(regexp_replace(substr(p, length(h) + 1), '^\s+|\s+$', '', 'g'), '•+$', '') AS body FROM (
     SELECT doc_id, i, p, regexp_extract(p, '^{rt.HEADER}', 1) AS h FROM (
     SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS p FROM (
-    SELECT doc_id, string_split(regexp_replace(blob, '{rt.HEADER}', chr(1) || '\1', 'g'), chr(1)) AS parts FROM blobs) WHERE len(parts) > 1)) WHERE i > 1) WHERE length(body) > 30""",
-    blobs=f"SELECT doc_id, {_BLOB} AS blob FROM documents"))
+    SELECT doc_id, string_split(regexp_replace(blob, '{rt.HEADER}', chr(1) || '\1', 'g'), chr(1)) AS parts FROM blobs) WHERE len(parts) > 1)) WHERE i > 1) WHERE length(body) > 30"""
+
+
+@query("b16_split_review_blobs", with_ctes("SELECT doc_id, position, reviewer, rating, md5(body) AS body FROM pieces", blobs=f"SELECT doc_id, {_BLOB} AS blob FROM documents", pieces=SPLIT_BLOBS))
 def b16(spark, sf):
     blobs = b.table(spark, sf, "documents").select("doc_id", F.expr(_BLOB).alias("text"))
     rows = rt.split_reviews(blobs, ["doc_id"])

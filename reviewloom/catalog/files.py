@@ -44,6 +44,17 @@ def a01(spark, sf):
     return readers.read_records(spark, path, lines=True).select(*_RECORD_COLUMNS)
 
 
+@query("a01_read_large_array", with_ctes(_RECORDS, vendors=V))
+def a01b(spark, sf):
+    """One file with one array, its records indented and on several lines, read in splits."""
+    path, rows = _folder(spark, "array"), _records(spark, sf)
+    text = F.concat(F.lit('  {"note": "a } in a \\"text\\" {",\n   '), F.expr("substring(r, 2)"), F.lit(","))
+    body = rows.select(F.to_json(F.struct(*rows.columns)).alias("r")).select(F.lit(1).alias("place"), text.alias("line"))
+    ends = spark.createDataFrame([(0, "["), (2, '"end"]')], "place INT, line STRING")
+    body.unionByName(ends).coalesce(1).sortWithinPartitions("place").select("line").write.text(path)
+    return readers.read_records(spark, f"{path}/*.txt", split=True).select(*_RECORD_COLUMNS)
+
+
 @query("a02_newest_file", with_ctes(f"SELECT * FROM ({_RECORDS}) WHERE source = 'EUROPE'", vendors=V))
 def a02(spark, sf):
     root = _folder(spark, "snapshots")

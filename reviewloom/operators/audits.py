@@ -113,16 +113,27 @@ def missing_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def review_violations(reviews: DataFrame, vendors: DataFrame) -> DataFrame:
-    """(check, violations) of every constraint of the review table."""
-    one = F.count(F.lit(1)).alias("violations")
-    checks = {
-        "unique_review_key": duplicate_keys(reviews, ["source", "source_review_id"]),
-        "vendor_exists": orphans(reviews, vendors, "vendor_id", "id"),
-        "sentiment_label": outside_vocabulary(reviews, "sentiment", ["", *lx.SENTIMENTS]),
-        "text_present": missing_required(reviews, ["review_text"]),
+    """(check, violations) of every constraint of the review table, from one pass over it.
+
+    A review is a row for its key and a row for its vendor; both kinds are counted in
+    one aggregate, combined before the shuffle, together with what can be seen in the
+    review alone. Only vendor rows then meet the vendor table, one per vendor.
+    """
+    wrong = F.col("sentiment").isNotNull() & ~F.col("sentiment").isin("", *lx.SENTIMENTS)
+    missing = F.col("review_text").isNull()
+    text = lambda c: F.col(c).cast("string")
+    own = F.struct(F.lit("key").alias("kind"), text("source").alias("a"), text("source_review_id").alias("b"), wrong.cast("int").alias("wrong"), missing.cast("int").alias("missing"))
+    owner = F.struct(F.lit("vendor").alias("kind"), text("vendor_id").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(0).alias("wrong"), F.lit(0).alias("missing"))
+    rows = reviews.select(F.explode(F.array(own, owner)).alias("r")).select("r.*")
+    seen = rows.groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("wrong").alias("wrong"), F.sum("missing").alias("missing"))
+    known = vendors.select(F.lit("vendor").alias("kind"), text("id").alias("a")).distinct().withColumn("known", F.lit(True))
+    checked = seen.join(known, ["kind", "a"], "left")
+    is_key, total = F.col("kind") == "key", lambda c: F.coalesce(F.sum(c), F.lit(0))
+    counts = {
+        "unique_review_key": F.count_if(is_key & (F.col("n") > 1)),
+        "vendor_exists": total(F.when(~is_key & F.col("known").isNull(), F.col("n"))),
+        "sentiment_label": total("wrong"),
+        "text_present": total("missing"),
     }
-    out = None
-    for name, rows in checks.items():
-        row = rows.agg(one).select(F.lit(name).alias("check"), "violations")
-        out = row if out is None else out.unionByName(row)
-    return out
+    row = checked.agg(*[c.alias(name) for name, c in counts.items()])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check"), F.col(name).alias("violations")) for name in counts])))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import schemas
 from reviewloom.operators.dedup import unify
+from reviewloom.sources.json_array import read_array
 
 
 def path_exists(spark: SparkSession, pattern: str) -> bool:
@@ -16,11 +17,16 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_records(spark: SparkSession, path: str, schema: str = schemas.PRICING_RECORD, lines: bool = False) -> DataFrame:
-    """JSON array files (or JSON Lines) as records; a missing path is an empty frame."""
+def read_records(spark: SparkSession, path: str, schema: str = schemas.PRICING_RECORD, lines: bool = False, split: bool = False) -> DataFrame:
+    """JSON array files (or JSON Lines) as records; a missing path is an empty frame.
+
+    One JSON array is read by one task, or with ``split`` by many, which reads large
+    files twice.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    # One JSON array is one split: write JSON Lines (the sinks here do) for large data.
+    if split and not lines:
+        return read_array(spark, path, schema)
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
