@@ -51,7 +51,7 @@ def test_components_and_links_match_brute_force(frame):
     for k, percent in ((3, 90), (5, 80)):
         want = brute(rows, k, percent)
         for chunk in (400, 7):  # whole families, and families cut into chunks
-            out = J.link_documents(frame(rows), words=k, percent=percent, chunk=chunk).collect()
+            out = J.link_documents(frame(rows), words=k, percent=percent, chunk=chunk, near=chunk + 2).collect()
             assert len(out) == len(rows)
             assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in out} == want
 
@@ -65,7 +65,54 @@ def test_linked_sets_share_a_key():
         b = np.concatenate([a[cut:], rng.integers(0, 2**63, int(rng.integers(0, 3))).astype(np.uint64)])
         a, b = np.unique(a), np.unique(b)
         if 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)) and len(np.setxor1d(a, b)):
-            assert len(np.intersect1d(J.block_keys(a, percent), J.block_keys(b, percent)))
+            known = np.unique(np.concatenate([a[::3], b[::2]]))
+            for levels in (J.NO_LEVELS, J.Levels(known, rng.integers(3, 1000, len(known)))):
+                assert len(np.intersect1d(J.block_keys(a, percent, levels=levels), J.block_keys(b, percent, levels=levels)))
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 2**63, int(rng.integers(1, 300))).astype(np.uint64)
+        sets += [np.unique(base), np.unique(base[rng.integers(0, 3) :]), np.unique(np.concatenate([base[len(base) // 8 :], rng.integers(0, 2**63, 3).astype(np.uint64)]))]
+    sets = [s for s in sets if len(s)]
+    rows = [(len(s), J.parity_sketch(s)) for s in sets]
+    for percent in (70, 80, 90):
+        linked = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        within = set(zip(*(x.tolist() for x in J.close_pairs(rows, None, percent, at_once=50))))
+        assert linked <= within and len(within) < 5 * len(linked)
+        half = len(rows) // 2
+        across = {(int(i), int(j) + half) for i, j in zip(*J.close_pairs(rows[:half], rows[half:], percent))}
+        assert across == {(i, j) for i, j in within if i < half <= j}
+
+
+def test_a_shared_passage_ties_no_strangers(frame):
+    """Documents that share a long passage, each with text of its own, and near copies of some of them."""
+    passage = prose(77, 120)
+    rows = [(i, prose(1000 + i, 200) + " " + passage) for i in range(60)] + [(100 + i, prose(1000 + i, 200) + " " + passage + " tail") for i in range(20)]
+    rows += [(200 + i, prose(2000 + i, 60) + " " + passage) for i in range(20)]  # over half of it shared: strangers still
+    want = brute(rows, 5, 80)
+    out = J.link_documents(frame(rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in out} == want
+    sets = [J.shingle_set(x.encode(), 5) for _, x in rows]
+    shingles, seen = np.unique(np.concatenate(sets), return_counts=True)
+    levels = J.Levels(shingles[seen >= 3], seen[seen >= 3])
+    keys = [set(J.block_keys(s, 80, levels=levels).tolist()) for s in sets[:80]]
+    assert sum(bool(a & b) for a, b in itertools.combinations(keys, 2)) <= 25  # 20 pairs link
+    within = J.close_pairs([(len(s), J.parity_sketch(s)) for s in sets], None, 80)
+    assert len(within[0]) == 20
+
+
+def test_texts_of_one_id_and_weak_chains(frame):
+    """A chain of texts in which only neighbours link, and an id with a second text that is in no family."""
+    words, rows = prose(5, 600).split(), []
+    for i in range(12):
+        rows.append((i, " ".join(words[i * 8 : i * 8 + 200])))
+    rows.append((3, prose(9, 50)))
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["n_links"]) for r in J.link_documents(frame(rows)).collect()}
+    want = brute(rows[:12], 5, 80)
+    assert {k[0]: (k[1], *v) for k, v in got.items() if k[1] > 100} == want
 
 
 def test_repeated_and_missing_ids(frame):
