@@ -14,10 +14,11 @@ manifest their final names, so files of lost or repeated attempts are never part
 an archive. A renamed file that is met again is left alone, so the job can be rerun.
 
 Of records with equal payloads of at least ``revisit_bytes`` bytes the one with the
-smallest key is a response and the others revisit it; which one it is comes from
-counts that are combined before they are shuffled.
+smallest key is a response and the others revisit it. That, and the shards, come from
+narrow rows (key, address, digest, size); a payload crosses the network once, to its
+shard, where the verdicts on repeated payloads are sorted in before it.
 
-Defined cases: a null payload is an empty one; a null key is written without a key
+Defined cases: keys are whole numbers; a null payload is an empty one; a null key is written without a key
 header, sorts first and is read back as null; rows that repeat key and payload are
 each written (one response, the others revisit its key); an empty table makes an
 empty archive.
@@ -110,30 +111,40 @@ def read_records(source) -> Iterator[tuple[dict[str, str], bytes]]:
 
 # --- writing ---------------------------------------------------------------------
 
-def _with_revisits(rows: DataFrame, revisit_bytes: int) -> DataFrame:
-    """Adds ``refers_to``; ``rows`` has key, uri, payload, digest, size."""
+def _revisited(narrow: DataFrame, revisit_bytes: int) -> DataFrame:
+    """(shard, key, digest, first) of the rows whose payload occurs more than once; ``first`` is its smallest key."""
     groups = (
-        rows.where(F.col("size") >= revisit_bytes).groupBy("digest")
+        narrow.where(F.col("size") >= revisit_bytes).groupBy("digest")
         .agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1 and first is not null")
     )
-    out = rows.join(groups.select("digest", "first"), "digest", "left")
-    # repeated rows of the smallest key: one of them stays a response
-    return out.withColumn("refers_to", F.when(F.col("key").isNull() | (F.col("key") > F.col("first")), F.col("first"))).withColumn("maybe", F.coalesce(F.col("key") == F.col("first"), F.lit(False)))
+    return narrow.join(groups.select("digest", "first"), "digest").select("shard", "key", "digest", "first").distinct()
 
 
-def _shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Adds ``shard``; boundaries come from byte sums of at most BINS key ranges."""
-    span = rows.agg(F.min("key").alias("a"), F.max("key").alias("b")).first()
-    low, high = (span["a"], span["b"]) if span["a"] is not None else (0, 0)
+def _bin(low: int, high: int) -> F.Column:
+    """Number of the key range of a row, -1 without a key; at most BINS ranges."""
     width = max(1, -(-(int(high) - int(low) + 1) // BINS))
-    bin_of = F.coalesce(F.floor((F.col("key") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("bigint")
-    rows = rows.withColumn("bin", bin_of)
-    bins = rows.groupBy("bin").agg(F.sum(F.col("size") + 600).alias("bytes"))  # at most BINS + 1 rows
-    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("parts", F.ceil(F.col("bytes") / F.lit(shard_bytes)).cast("bigint"))
-    bins = bins.withColumn("first_shard", F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / F.lit(shard_bytes)) + F.coalesce(F.sum(F.col("parts") - 1).over(before), F.lit(0)))
+    return F.coalesce(F.floor((F.col("key") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("bigint")
+
+
+def _shard_plan(narrow: DataFrame, shard_bytes: int) -> DataFrame:
+    """(bin, parts, first_shard) from the byte sums of key ranges: at most BINS + 1 rows.
+
+    Sums of what comes before a range are taken in two levels, over ranges of 256 bins and inside each.
+    """
+    bins = narrow.groupBy("bin").agg(F.sum(F.col("size") + 600).alias("bytes")).withColumn("parts", F.ceil(F.col("bytes") / F.lit(shard_bytes)).cast("bigint"))
+    bins = bins.withColumn("range", F.floor(F.col("bin") / 256))
+    ranges = bins.groupBy("range").agg(F.sum("bytes").alias("b"), F.sum(F.col("parts") - 1).alias("p"))
+    every = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.select("range", F.coalesce(F.sum("b").over(every), F.lit(0)).alias("b"), F.coalesce(F.sum("p").over(every), F.lit(0)).alias("p"))
+    inside = Window.partitionBy("range").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c, own: F.coalesce(F.sum(own).over(inside), F.lit(0)) + F.col(c)
+    placed = bins.join(before, "range")
+    return placed.select("bin", "parts", (F.floor(earlier("b", "bytes") / F.lit(shard_bytes)) + earlier("p", F.col("parts") - 1)).alias("first_shard"))
+
+
+def _with_shard(rows: DataFrame, plan: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("digest", "uri", "key"), F.col("parts"))
-    return rows.join(F.broadcast(bins.select("bin", "parts", "first_shard")), "bin").withColumn("shard", (F.col("first_shard") + part).cast("bigint")).drop("bin", "parts", "first_shard")
+    return rows.join(F.broadcast(plan), "bin").withColumn("shard", (F.col("first_shard") + part).cast("bigint")).drop("bin", "parts", "first_shard")
 
 
 def write_archive(
@@ -142,17 +153,26 @@ def write_archive(
 ) -> DataFrame:
     """Write all rows under ``folder`` and return the manifest (one row per file)."""
     spark = pages.sparkSession
+    space = Workspace(spark, "warc-plan")
     payload = F.coalesce(pages[payload_col].cast("binary"), F.lit(b""))
     rows = pages.select(pages[key_col].alias("key"), pages[uri_col].cast("string").alias("uri"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("size"))
-    rows = _shards(_with_revisits(rows, revisit_bytes), shard_bytes)
-    dealt = rows.select("shard", "key", "uri", "payload", "digest", "first", "refers_to", "maybe").repartition("shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", "uri")
+    # what is decided from all records is decided on narrow rows; payloads move once, to their shard, and the verdicts meet them there
+    narrow = space.write(rows.drop("payload"), "narrow")
+    span = narrow.agg(F.min("key").alias("a"), F.max("key").alias("b")).first()
+    number = _bin(*((span["a"], span["b"]) if span["a"] is not None else (0, 0)))
+    plan = space.write(_shard_plan(narrow.withColumn("bin", number), shard_bytes), "plan")
+    verdicts = _revisited(_with_shard(narrow.withColumn("bin", number), plan), revisit_bytes)
+    records = _with_shard(rows.withColumn("bin", number), plan).select("shard", "key", "uri", "payload", "digest", F.lit(None).cast(pages.schema[key_col].dataType).alias("first"))
+    both = records.unionByName(verdicts.withColumn("uri", F.lit(None).cast("string")).withColumn("payload", F.lit(None).cast("binary")))
+    # a verdict stands before the records of its key and payload
+    dealt = both.repartition("shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", F.col("payload").isNotNull(), "uri")
     root = f"{folder.rstrip('/')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = open_folder(root)
         system.create_dir(path, recursive=True)
         attempt, out, done = uuid.uuid4().hex, None, []
-        shard, number, last, repeat = None, 0, None, 0
+        shard, number, last, repeat, verdict = None, 0, None, 0, None
 
         def close() -> None:
             nonlocal out
@@ -166,7 +186,10 @@ def write_archive(
             for r in batch.to_pylist():
                 if r["shard"] != shard:
                     close()
-                    shard, number, last, repeat = r["shard"], 0, None, 0
+                    shard, number, last, repeat, verdict = r["shard"], 0, None, 0, None
+                if r["payload"] is None:
+                    verdict = (r["key"], r["digest"], r["first"])
+                    continue
                 if out is None:
                     name = f".part-{shard:08d}-{number:05d}-{attempt}.tmp"
                     out = [system.open_output_stream(f"{path}/{name}", compression=None), name, 0, 0, hashlib.sha256(), shard, number]
@@ -174,7 +197,9 @@ def write_archive(
                 same = (r["key"], r["digest"])
                 repeat = repeat + 1 if same == last else 0
                 last = same
-                refers = r["first"] if r["maybe"] and repeat else r["refers_to"]
+                first = verdict[2] if verdict is not None and verdict[:2] == same else None
+                # rows that repeat the smallest key: one of them stays a response
+                refers = first if first is not None and (r["key"] != first or repeat) else None
                 record = zlib.compressobj(level, zlib.DEFLATED, 31)
                 data = record.compress(build_record(r["key"], r["uri"], r["payload"], r["digest"], refers, repeat)) + record.flush()
                 out[0].write(data)
@@ -204,9 +229,22 @@ def write_archive(
             yield batch
 
     manifest.mapInArrow(commit, _MANIFEST).write.mode("overwrite").parquet(f"{root}/_committed")
+    space.close()
+    _forget_attempts(root)
     return spark.read.schema(_MANIFEST).parquet(f"{root}/_committed")
 
 
+def _forget_attempts(root: str) -> None:
+    """Delete the temporary files that lost or repeated attempts have left behind."""
+    from pyarrow import fs
+
+    system, path = open_folder(root)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        for info in system.get_file_info(fs.FileSelector(path)):
+            if info.base_name.startswith(".part-") and info.base_name.endswith(".tmp"):
+                system.delete_file(info.path)
+
+
 # --- reading ---------------------------------------------------------------------
 
 def read_archive(manifest: DataFrame, folder: str, key_type: T.DataType = T.LongType()) -> DataFrame:
@@ -235,8 +273,11 @@ def read_archive(manifest: DataFrame, folder: str, key_type: T.DataType = T.Long
                 if rows:
                     yield _batch(rows, kind)
 
-    files = manifest.select("final").repartition("final")
-    out = files.mapInArrow(run, kind)
+    total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    # a number of its own, since small partitions would be put together again
+    parts = max(1, min(total["files"], max(2 * manifest.sparkSession.sparkContext.defaultParallelism, total["bytes"] // (32 << 20) + 1)))
+    out = manifest.select("final").repartition(parts, "final")
+    out = out.mapInArrow(run, kind)
     return out.withColumn("key", F.col("key").cast(key_type)).withColumn("refers_to", F.col("refers_to").cast(key_type))
 
 

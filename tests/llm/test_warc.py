@@ -62,3 +62,32 @@ def test_damage_is_noticed():
 
 def test_empty_table(spark, tmp_path):
     assert W.read_archive(W.write_archive(pages(spark, []), str(tmp_path / "e")), str(tmp_path / "e")).count() == 0
+
+
+def test_payloads_move_once_and_files_are_read_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    manifest = W.write_archive(pages(spark, PAGES), str(tmp_path / "a"), shard_bytes=3000, file_bytes=2000)
+    read = W.read_archive(manifest, str(tmp_path / "a"))
+    assert manifest.count() > 8 and read.select(F.spark_partition_id().alias("p")).distinct().count() > 2
+
+
+def test_files_of_lost_attempts_are_deleted(spark, tmp_path):
+    W.write_archive(pages(spark, PAGES[:3]), str(tmp_path / "a"))
+    (tmp_path / "a" / ".part-00000000-00000-lost.tmp").write_bytes(b"half a file")
+    manifest = W.write_archive(pages(spark, PAGES[:3]), str(tmp_path / "a"))
+    assert not [f for f in os.listdir(tmp_path / "a") if f.endswith(".tmp")] and W.read_archive(manifest, str(tmp_path / "a")).count() == 3
+
+
+def test_shard_plan_equals_running_sums(spark):
+    import random
+
+    rng = random.Random(3)
+    sizes = {b: rng.randint(0, 5000) for b in rng.sample(range(-1, 3000), 700)}
+    rows = spark.createDataFrame([(b, n) for b, n in sizes.items()], "bin bigint, size bigint")
+    got = {r["bin"]: (r["parts"], r["first_shard"]) for r in W._shard_plan(rows, 4000).collect()}
+    done = extra = 0
+    for b in sorted(sizes):
+        parts = -(-(sizes[b] + 600) // 4000)
+        assert got[b] == (parts, done // 4000 + extra)
+        done, extra = done + sizes[b] + 600, extra + parts - 1
