@@ -114,7 +114,8 @@ TEXTS = """SELECT d.doc_id AS id, d.doc_id AS vendor_id, d.source AS source, CAS
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels").select("doc_id", "quality")
     rating = F.when(F.col("quality") == 1, F.lit(5.0)).when(F.col("quality") == 0, F.lit(1.0))
-    return docs.join(labels, "doc_id", "left").select(
+    # dealt by the key of the join: the files here are a single split each, and tagging would run in one task
+    return docs.repartition("doc_id").join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"), F.col("doc_id").alias("vendor_id"), "source",
         F.col("doc_id").cast("string").alias("source_review_id"), F.col("text").alias("review_text"),
         rating.alias("rating"),

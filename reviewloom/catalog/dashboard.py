@@ -548,6 +548,11 @@ def j07(spark, sf):
     return audits.tag_audit(tagged(spark, sf))
 
 
+@query("j07_any_tag", with_ctes("""SELECT sentiment, count(*) AS n, count(*) FILTER (len(complaints) > 0 OR len(praises) > 0) AS tagged FROM tagged GROUP BY 1""", **_TAGGED))
+def j07b(spark, sf):
+    return tagged(spark, sf).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"), F.count_if(ru.any_tag()).alias("tagged"))
+
+
 @query("j09_final_distribution", with_ctes("""SELECT coalesce(nullif(sentiment, ''), '(empty)') AS sentiment, count(*) AS n,
     count(*) FILTER (is_vendor_reply) AS vendor_replies FROM reviews GROUP BY 1""", reviews=R))
 def j09(spark, sf):

@@ -405,9 +405,10 @@ def b27(spark, sf):
     return _shop(spark, sf).select("page_id", mk.page_type("url", "html").alias("kind"))
 
 
-@query("b27_page_type_of_crawled_pages", "SELECT page_id, 'unknown' AS kind FROM pages")
+@query("b27_page_type_of_crawled_pages", """SELECT page_id, CASE WHEN listed AND contains(split_part(tail, '/', 1), '#') THEN 'vendor' WHEN listed AND NOT contains(tail, '/') THEN 'marketplace'
+    ELSE 'unknown' END AS kind FROM (SELECT page_id, contains(url, '/en/') AS listed, split_part(string_split(url, '/en/')[-1], '?', 1) AS tail FROM pages)""")
 def b27b(spark, sf):
-    return b.table(spark, sf, "pages").select("page_id", mk.page_type("url", "html").alias("kind"))
+    return b.table(spark, sf, "pages").select("page_id", mk.page_type("url", "html", path="/en/", mark="#").alias("kind"))
 
 
 @query("b28_fallback_business_links", """SELECT p_partkey AS page_id, p_name AS name, concat('/biz/', CAST(p_partkey AS VARCHAR)) AS url FROM part WHERE p_size <= 10""")

@@ -101,6 +101,17 @@ def a05(spark, sf):
     return pages.select(F.md5("html").alias("digest"), F.length("html").cast("bigint").alias("n"))
 
 
+@query("a05_payload_files", "SELECT concat('p=', CAST(s_suppkey AS VARCHAR)) AS folder, s_name AS name FROM supplier")
+def a05b(spark, sf):
+    """One payload per file, with the file it came from."""
+    root = _folder(spark, "payload-files")
+    rows = b.table(spark, sf, "supplier").select(F.to_json(F.struct(F.col("s_name").alias("name"))).alias("value"), F.col("s_suppkey").alias("p"))
+    rows.repartition("p").write.partitionBy("p").text(root)
+    files = readers.with_file_path(spark.read.text(f"{root}/*")).select(F.col("file_path").alias("path"))
+    read = readers.read_payloads(spark, f"{root}/*").join(files, "path")
+    return read.select(F.element_at(F.split("path", "/"), -2).alias("folder"), F.get_json_object("payload", "$.name").alias("name"))
+
+
 @query("a06_landed_review_pages", """SELECT CAST(o_orderkey AS VARCHAR) AS source_review_id, repeat(o_orderpriority, 3) AS review_text FROM orders""")
 def a06(spark, sf):
     from reviewloom.catalog.extraction import _review_pages

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reviewloom import lexicons as lx
 from reviewloom.catalog import bindings as b
 from reviewloom.catalog.bindings import query, r, with_ctes
+from reviewloom.catalog.tagging import _DEFAULT_REPLY
 from reviewloom.functions import scalars as sc
 from reviewloom.operators import pricing
 
@@ -229,13 +230,15 @@ def c24(spark, sf):
 @query("m02_sql_functions", with_ctes(rf"""SELECT id, array_to_string({b.topic_list('lower(review_text)', lx.REVIEW_TOPICS)}, ',') AS topics,
     CASE sign((CASE WHEN rating >= 4.5 THEN 3 WHEN rating >= 1 AND rating < 2 THEN -3 ELSE 0 END) + {b.hits('lower(review_text)', lx.POSITIVE_WORDS)}
       - {b.hits('lower(review_text)', lx.NEGATIVE_WORDS)}) WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END AS sentiment,
-    false AS reply, CASE WHEN rating IS NULL THEN 'unknown' ELSE 'budget' END AS tier,
-    try_cast(replace(regexp_extract(lower(review_text), '\d+[,\d]*\.?\d*'), ',', '') AS DOUBLE) AS price FROM texts""", texts=b.TEXTS))
+    {_DEFAULT_REPLY.replace('lower(text)', 'lower(review_text)')} AS reply, CASE WHEN rating IS NULL THEN 'unknown' ELSE 'budget' END AS tier,
+    try_cast(replace(regexp_extract(lower(review_text), '\d+[,\d]*\.?\d*'), ',', '') AS DOUBLE) AS price
+    FROM (SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN concat('Hi Ann, thank you for your kind words. ', review_text) ELSE review_text END AS review_text) FROM texts)""", texts=b.TEXTS))
 def m02(spark, sf):
     from reviewloom.functions.sql_functions import register
 
     register(spark)
-    return b.texts(spark, sf).selectExpr(
+    answered = F.when(F.col("id") % 3 == 0, F.concat(F.lit("Hi Ann, thank you for your kind words. "), "review_text")).otherwise(F.col("review_text"))
+    return b.texts(spark, sf).withColumn("review_text", answered).selectExpr(
         "id", "array_join(review_topics(review_text), ',') AS topics", "review_sentiment(review_text, rating) AS sentiment",
         "vendor_reply(review_text) AS reply", "price_tier('DJ', rating, NULL) AS tier", "parse_price(review_text) AS price",
     )

@@ -24,6 +24,12 @@ PLAIN_JSON = r"""(?is)<script\b[^>]*\btype\s*=\s*["']application/json["'][^>]*>(
 INITIAL_STATE = r"(?s)window\.__INITIAL_STATE__\s*=\s*(\{.*?\});"
 NEXT_DATA = r"""(?is)<script\b[^>]*\bid\s*=\s*["']__NEXT_DATA__["'][^>]*>(.*?)</script\s*>"""
 PRICE = r"\$\s*[\d,]+(?:\.\d{2})?"
+# Patterns of the page analysis.
+CONTAINER_CLASSES = r'<(?:div|section|article)[^>]*class="([^"]*)"'
+CLASSED_HEADING = r'(?i)<h1[^>]*class="([^"]*)"[^>]*>([^<]+)</h1>'
+PRICED_ELEMENT = r'<[^>]*class="([^"]*)"[^>]*>\$[\d,]+</[^>]*>'
+VENDOR_TEST_ID = r'(?i)data-testid="([^"]*vendor[^"]*)"'
+ENDPOINT_HINTS = ("api", "graphql", "vendor", "search", "listing", "recommend")
 ANCHOR = r'(?s)<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>'
 
 
@@ -202,7 +208,7 @@ def listing_json_previews(html: Column | str, width: int | None = None) -> Colum
 
 def class_frequency(pages: DataFrame, html: str = "html", k: int | None = None, min_len: int = 4) -> DataFrame:
     """Classes of container elements and their counts; with ``k`` the most frequent ones."""
-    lists = pages.select(F.explode(all_matches(html, r'<(?:div|section|article)[^>]*class="([^"]*)"')).alias("classes"))
+    lists = pages.select(F.explode(all_matches(html, CONTAINER_CLASSES)).alias("classes"))
     names = lists.select(F.explode(F.split("classes", r"\s+")).alias("class")).filter(F.length("class") >= min_len)
     counts = names.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
     return counts if k is None else counts.orderBy(F.col("n").desc(), "class").limit(k)
@@ -210,17 +216,16 @@ def class_frequency(pages: DataFrame, html: str = "html", k: int | None = None,
 
 def headings(html: Column | str) -> Column:
     """(class, text) of the first level headings that have a class."""
-    pattern = r'(?i)<h1[^>]*class="([^"]*)"[^>]*>([^<]+)</h1>'
     return F.zip_with(
-        all_matches(html, pattern, 1),
-        all_matches(html, pattern, 2),
+        all_matches(html, CLASSED_HEADING, 1),
+        all_matches(html, CLASSED_HEADING, 2),
         lambda c, t: F.struct(c.alias("class"), F.trim(t).alias("text")),
     )
 
 
 def priced_classes(html: Column | str) -> Column:
     """Classes of elements that hold a price."""
-    return F.array_distinct(all_matches(html, r'<[^>]*class="([^"]*)"[^>]*>\$[\d,]+</[^>]*>'))
+    return F.array_distinct(all_matches(html, PRICED_ELEMENT))
 
 
 def keyword_classes(html: Column | str, words: Sequence[str] = tuple(lx.PACKAGE_CLASS_WORDS)) -> Column:
@@ -229,11 +234,11 @@ def keyword_classes(html: Column | str, words: Sequence[str] = tuple(lx.PACKAGE_
 
 
 def vendor_test_ids(html: Column | str) -> Column:
-    return all_matches(html, r'(?i)data-testid="([^"]*vendor[^"]*)"')
+    return all_matches(html, VENDOR_TEST_ID)
 
 
 def endpoint_urls(
-    pages: DataFrame, html: str = "html", hints: Sequence[str] = ("api", "graphql", "vendor", "search", "listing", "recommend"),
+    pages: DataFrame, html: str = "html", hints: Sequence[str] = ENDPOINT_HINTS,
     k: int | None = None, width: int | None = None,
 ) -> DataFrame:
     """Distinct endpoint urls mentioned in pages; with ``k`` the first in alphabetical order. A report can shorten them, after whole urls were told apart."""

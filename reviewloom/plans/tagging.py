@@ -2,7 +2,7 @@
 
 Every step is a projection over the row itself. The plan has no shuffle, so it
 scales with the number of input splits, and a hot vendor or source costs nothing.
-Small inputs get more splits from ``spark.sql.files.minPartitionNum``.
+An input that is one split is one task: spread it before tagging where cores are idle.
 """
 
 from __future__ import annotations

@@ -83,3 +83,22 @@ def test_stream_ignores_repeats_across_batches(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted((r["source"], r["source_review_id"]) for r in got) == [("m", "a"), ("m", "b"), ("n", "a")]
     assert {r["source_review_id"]: r["sentiment"] for r in got if r["source"] == "m"}["b"] == "negative"
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name in ("left", "right"):
+        sinks.write_bucketed(spark.range(1000).withColumn("v", F.col("id") * 2), f"bucketed_{name}", ["id"], 4, str(tmp_path / name))
+    try:
+        joined = spark.table("bucketed_left").hint("merge").join(spark.table("bucketed_right"), "id")
+        assert joined.count() == 1000 and "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("left", "right"):
+            spark.sql(f"DROP TABLE bucketed_{name}")
+
+
+def test_payload_files_know_their_path(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"x": 1}')
+    (tmp_path / "b.json").write_text('{"x":\n 2}')
+    got = readers.read_payloads(spark, str(tmp_path / "*.json")).collect()
+    assert sorted((r["path"][-6:], json.loads(r["payload"])["x"]) for r in got) == [("a.json", 1), ("b.json", 2)]
+    assert readers.with_file_path(spark.read.text(str(tmp_path / "a.json"))).first()["file_path"].endswith("a.json")
