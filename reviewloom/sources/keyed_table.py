@@ -77,13 +77,15 @@ class KeyedTable:
         keep the key. A bucket with more than ``files`` files is then written anew.
         """
         self.recover()
-        rows = first_by_key(batch, self.key, order)
+        # dealt by bucket and key: the join with the known keys then needs no other exchange of the rows
+        rows = first_by_key(batch.withColumn(BUCKET, self._bucket()), [BUCKET, *self.key], order)
         if not self.exists():
+            rows = rows.drop(BUCKET)
             self.create(change(rows) if change else rows)
             return
         buckets = self.touched(batch)
-        known = self._part(buckets).select(*self.key, BUCKET)
-        rows = rows.withColumn(BUCKET, self._bucket()).join(known, [BUCKET, *self.key], "left_anti").drop(BUCKET)
+        known = self._part(buckets).select(BUCKET, *self.key)
+        rows = rows.join(known, [BUCKET, *self.key], "left_anti").drop(BUCKET)
         self._write(change(rows) if change else rows, self.path, "append")
         self.compact(files, buckets)
 
