@@ -14,16 +14,18 @@ from reviewloom.catalog.extraction import _BLOB, SPLIT_BLOBS
 from reviewloom.catalog.tagging import _DEFAULT_REPLY, _WRONG
 from reviewloom.plans import reviews as plan
 
+#: Every document is a review of one of the first vendors, so that all of them are taken at every size.
+STOREFRONTS = 150
 # The column list is SQL understood by both engines, over documents joined to vendors.
 _LANDED = ["CASE WHEN doc_id % 10 = 3 THEN 'NOWHERE' ELSE v.source END AS source", "source_vendor_id", "CAST(date '2024-01-01' + CAST(doc_id % 300 AS INT) AS {text}) AS day", "doc_id", "text"]
-LANDED = f"SELECT {', '.join(_LANDED)} FROM documents JOIN vendors v ON v.id = doc_id".format(text="VARCHAR")
+LANDED = f"SELECT {', '.join(_LANDED)} FROM documents JOIN vendors v ON v.id = 1 + doc_id % {STOREFRONTS}".format(text="VARCHAR")
 _KNOWN = "SELECT source, concat('r', CAST(id AS VARCHAR)) AS source_review_id FROM vendors WHERE id % 7 = 0"
 
 
 def _landed(spark, sf):
     docs = b.table(spark, sf, "documents").select("doc_id", "text")
     vendors = b.vendors(spark, sf).select("id", "source", "source_vendor_id").alias("v")
-    return docs.join(vendors, F.col("id") == F.col("doc_id")).selectExpr(*[c.format(text="STRING") for c in _LANDED])
+    return docs.join(vendors, F.col("id") == 1 + F.col("doc_id") % STOREFRONTS).selectExpr(*[c.format(text="STRING") for c in _LANDED])
 
 
 def _pages(spark, sf):
@@ -66,7 +68,7 @@ def ingest_rejected(spark, sf):
 
 
 @query("review_ingest_totals", with_ctes("""SELECT v.id, coalesce(CAST(o.total AS BIGINT), v.review_count) AS review_count FROM vendors v LEFT JOIN
-    (SELECT v.id, 1 + doc_id % 50 AS total FROM landed l JOIN vendors v ON v.source = l.source AND v.source_vendor_id = l.source_vendor_id) o ON o.id = v.id""", **_CTES))
+    (SELECT v.id, arg_max(1 + doc_id % 50, row(day, doc_id)) AS total FROM landed l JOIN vendors v ON v.source = l.source AND v.source_vendor_id = l.source_vendor_id GROUP BY 1) o ON o.id = v.id""", **_CTES))
 def ingest_totals(spark, sf):
     """Vendors with the totals their pages showed."""
     found = plan.ingest_pages(_pages(spark, sf), b.vendors(spark, sf), _known(spark, sf), **b.CORPUS).vendors
