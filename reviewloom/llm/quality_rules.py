@@ -6,13 +6,15 @@ document's score is the sum of ``ln p_target - ln p_raw`` over its features,
 divided by their number, and every document is held against one fixed threshold:
 no sampling, so a run always gives the same verdict.
 
-Features are the character n-grams that end words, hashed into ``buckets``
-counters: they tell prose of any language from symbol runs, shouting and table
-debris, and cost one hash per word. Weights are whole millionths, so sums do not depend on their order.
+Features are the n-grams of the whole text: each word, each pair of neighbouring
+words, and the ending of each word (its last ``n`` characters), as a back-off for
+rare words. Each kind is hashed into ``buckets`` counters of its own, so frequent
+endings are not blurred by rare pairs. Weights are whole millionths, so sums do not
+depend on their order.
 
 All work is native: one shuffle of the texts to flag the trusted ones, counters
-combined before their shuffle (at most ``buckets`` rows), and a scoring pass that
-is a projection per row. The weights brought to the driver are ``buckets`` numbers.
+combined before their shuffle (at most ``3 * buckets`` rows), and a scoring pass that
+is a projection per row. The weights brought to the driver are ``3 * buckets`` numbers.
 
 Defined cases: a null text is an empty one; no word fails the base rules; without
 any trusted text all weights are zero and only the base rules decide; repeated
@@ -43,23 +45,25 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def bucket_of(word: Column, buckets: int, n: int) -> Column:
-    """Bucket of the character n-gram that ends a word (the whole word where it is shorter)."""
-    return F.pmod(F.xxhash64(F.right(word, F.lit(n))), F.lit(buckets)).cast("int")
+def buckets_of(words: Column, word: Column, i: Column, buckets: int, n: int) -> list[Column]:
+    """Buckets of the word at ``i``, of its ending (the whole word where it is shorter) and of its pair with the word before (null for the first)."""
+    def kind(k: int, *parts: Column) -> Column:
+        return (F.pmod(F.xxhash64(*parts), F.lit(buckets)) + k * buckets).cast("int")
+
+    return [kind(0, word), kind(1, F.right(word, F.lit(n))), F.when(i > 0, kind(2, F.get(words, i - 1), word))]
 
 
 def ratio_weights(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, n: int = NGRAM, smoothing: float = 1.0) -> list[int]:
     """Weight of every bucket in millionths of a nat, from all rows of ``docs``."""
     flags = trusted.select(F.col(id_col).alias("_id")).where("_id is not null").distinct().withColumn("_trusted", F.lit(1))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    counts = (
-        texts.join(flags.hint("shuffle_merge"), "_id", "left")  # the same plan at every size
-        .select("_trusted", F.explode(F.split("_text", SPACE)).alias("_word")).where("_word != ''")
-        .groupBy(bucket_of(F.col("_word"), buckets, n).alias("bucket")).agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
-        .collect()  # at most ``buckets`` rows
-    )
+    words = texts.join(flags.hint("shuffle_merge"), "_id", "left").select("_trusted", words_of(F.col("_text")).alias("_words"))  # the same plan at every size
+    features = F.flatten(F.transform("_words", lambda w, i: F.array(*buckets_of(F.col("_words"), w, i, buckets, n))))
+    counts = words.select("_trusted", features.alias("_features")).select("_trusted", F.explode_outer("_features").alias("bucket"))
+    counts = counts.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target")).collect()  # at most 3 * buckets + 1 rows
+    counts = [r for r in counts if r["bucket"] is not None]
     raw_all, target_all = sum(r["raw"] for r in counts), sum(r["target"] for r in counts)
-    weights = [0] * buckets
+    weights = [0] * (3 * buckets)
     if not target_all:
         return weights
     # buckets that no document reaches have no share of the smoothing, else it would outweigh a small target
@@ -103,9 +107,13 @@ def _judged(docs: DataFrame, weights: list[int], text_col: str, n: int, threshol
     """``row`` (all columns of the document as one struct) with counts, score and verdict."""
     # a literal of fixed length; folded once by the optimizer
     table = F.from_json(F.lit(json.dumps(weights)), "array<bigint>")
-    buckets = len(weights)
+    buckets = len(weights) // 3
     text = F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
+
+    def weight(word: Column, i: Column) -> Column:
+        return sum((F.coalesce(F.get(table, b), F.lit(0)) for b in buckets_of(F.col("_words"), word, i, buckets, n)), F.lit(0).cast("bigint"))
+
     out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("_text"))
     out = out.select(
         "row", words_of(text).alias("_words"), lines.alias("_lines"),
@@ -118,13 +126,14 @@ def _judged(docs: DataFrame, weights: list[int], text_col: str, n: int, threshol
         F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"), "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         "n_repeat_words",
-        F.aggregate("_words", F.lit(0).cast("bigint"), lambda a, w: a + F.get(table, bucket_of(w, buckets, n))).alias("ratio_millionths"),
+        F.aggregate(F.transform("_words", weight), F.lit(0).cast("bigint"), lambda a, w: a + w).alias("ratio_millionths"),
     )
+    out = out.withColumn("_features", F.greatest(3 * F.col("n_words") - 1, F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
     limit = round(threshold * 1e6)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("ratio_millionths") >= F.lit(limit).cast("bigint") * F.col("n_words"))).withColumn(
-        "ratio_score", F.when(F.col("n_words") > 0, F.col("ratio_millionths") / (1e6 * F.col("n_words"))).otherwise(0.0))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("ratio_millionths") >= F.lit(limit).cast("bigint") * F.col("_features"))).withColumn(
+        "ratio_score", F.when(F.col("_features") > 0, F.col("ratio_millionths") / (1e6 * F.col("_features"))).otherwise(0.0))
 
 
 def judge_documents(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, n: int = NGRAM, smoothing: float = 1.0, threshold: float = THRESHOLD) -> DataFrame:
