@@ -1,3 +1,8 @@
+import itertools
+import math
+import random
+import re
+
 from reviewloom.llm import decontamination as D
 from tests.llm.conftest import prose
 
@@ -53,3 +58,52 @@ def test_native_plan(frame, spark):
     bench, rows = planted()
     plan = D.find_leaks(frame(rows), items(spark, bench))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_masks_meet_every_accepted_pattern():
+    for n in range(D.SEEDS[-1][0], 14):
+        masks = next(m for least, m in D.SEEDS if n >= least)
+        need = n if n < D.WHOLE_BELOW else math.ceil(0.75 * n)
+        for agree in map(set, itertools.combinations(range(n), need)):
+            assert any(all(i + k in agree for k, sign in enumerate(m) if sign == "1") for m in masks for i in range(n - len(m) + 1)), (n, agree)
+
+
+def brute(docs, bench):
+    """(document, item) -> best number of agreeing tokens over accepted diagonals."""
+    out = {}
+    for (d, x), (k, y) in itertools.product(docs, bench.items()):
+        words, item = ([w for w in re.split(r"[^a-z0-9]+", (z or "").lower()) if w] for z in (x, y))
+        n = len(item)
+        if d is None or n < 4:
+            continue
+        width = min(13, n)
+        need = n if n < 8 else math.ceil(0.75 * width)
+        for shift in range(1 - n, len(words)):
+            agree = [i for i in range(n) if 0 <= i + shift < len(words) and words[i + shift] == item[i]]
+            if any(agree[j + need - 1] - agree[j] < width for j in range(len(agree) - need + 1)):
+                out[d, k] = max(out.get((d, k), 0), len(agree))
+    return out
+
+
+def test_equals_brute_force(frame, spark, monkeypatch):
+    monkeypatch.setattr(D, "HITS", 3)
+    rng = random.Random(5)
+    bench = {n: " ".join(f"w{rng.randrange(400)}" for _ in range(n)) for n in (3, 4, 5, 7, 8, 8 + 32, 9, 10, 11, 12, 13, 14, 15, 20)} | {99: "a a a a a a a a a", 98: None}
+    rows = [(900, "a " * 60), (901, None), (902, ""), (None, bench[20])]
+    for d in range(250):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(0, 30))]
+        item = bench[rng.choice([k for k in bench if k < 98])].split()
+        for _ in range(rng.randrange(0, 5)):
+            item[rng.randrange(len(item))] = "other"
+        cut = rng.choice([0, 0, 0, 1, 2])
+        at = rng.choice([0, len(words) // 2, len(words)])
+        rows.append((d, " ".join(words[:at] + item[cut:] + words[at:])))
+    want = brute(rows, bench)
+    out = D.find_leaks(frame(rows), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"]): r["n_matched"] for r in out} == want and len(out) == len(want) > 100
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, prose(1, 30), 5, 6, 7), (2, prose(2, 30), 5, 6, 7)], "doc_id bigint, text string, _leak int, _doc int, _item int")
+    out = D.drop_leaking(docs, items(spark, {1: prose(1, 30)}))
+    assert out.columns == docs.columns and [r["doc_id"] for r in out.collect()] == [2]
