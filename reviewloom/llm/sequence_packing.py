@@ -5,9 +5,11 @@ program asks for the fewest configurations that cover the length histogram. It i
 solved by multiplicative weights: every length has a price that falls as it gets
 covered, a knapsack dynamic program finds the configuration of highest price, and
 the configuration is used until one of its lengths is covered once more. The
-averaged solution is rounded down to ``share`` of its configurations without a gap
+averaged solution is rounded down to a share of its configurations without a gap
 (the others would use up the short pieces that fill gaps at the end), and what is
-left over goes best-fit decreasing.
+left over goes best-fit decreasing. Of the plans for the shares in ``SHARES`` the one
+with the fewest sequences is taken; share 0 is best fit alone, so the result is never
+worse than that.
 
 Only the histogram (at most ``capacity`` rows) is on the driver, and the plan it
 yields is bounded by the capacity and the number of rounds, not by the data. Pieces
@@ -33,6 +35,8 @@ from pyspark.sql.window import Window
 from reviewloom.session import Workspace
 
 SALTS = 256
+#: Shares of the configurations that are rounded to sequences; of equally good plans that of the earlier share is taken.
+SHARES = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0)
 #: Words seen by a worker are kept with their ids up to this number, then dropped all at once.
 _CACHE_WORDS = 320_000
 #: The signs that every Unicode version and regular-expression engine splits alike; other texts are encoded whole.
@@ -192,7 +196,7 @@ def best_fit_decreasing(left: dict[int, int], capacity: int) -> list[tuple[list[
     return [(list(c), n) for r in room for c, n in r.items()]
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int, rounds: float = 2.0, share: float = 0.6) -> list[tuple[list[int], int]]:
+def plan_sequences(histogram: dict[int, int], capacity: int, rounds: float = 2.0, shares: tuple[float, ...] = SHARES) -> list[tuple[list[int], int]]:
     """(lengths of one sequence, number of such sequences), using every piece of the histogram once."""
     left = {int(k): int(v) for k, v in histogram.items() if v > 0 and k < capacity}
     plan = [([capacity], int(histogram[capacity]))] if histogram.get(capacity) else []
@@ -200,17 +204,22 @@ def plan_sequences(histogram: dict[int, int], capacity: int, rounds: float = 2.0
         return plan
     sizes = np.array(sorted(left), dtype=np.int64)
     demand = np.array([left[int(s)] for s in sizes], dtype=np.float64)
-    rest = demand.astype(np.int64)
     uses = [(np.frombuffer(k, dtype=np.int64), v) for k, v in fractional_configurations(sizes, demand, capacity, rounds).items()]
     # only configurations without a gap are rounded to sequences; the rest is left over for best fit
-    for counts, much in sorted((u for u in uses if int(u[0] @ sizes) == capacity), key=lambda x: (-x[1], x[0].tobytes())):
+    uses = sorted((u for u in uses if int(u[0] @ sizes) == capacity), key=lambda x: (-x[1], x[0].tobytes()))
+    return plan + min((_rounded(sizes, demand, uses, share, capacity) for share in shares), key=lambda bins: sum(n for _, n in bins))
+
+
+def _rounded(sizes: np.ndarray, demand: np.ndarray, uses: list[tuple[np.ndarray, float]], share: float, capacity: int) -> list[tuple[list[int], int]]:
+    """Sequences for all pieces: ``share`` of each configuration's use, then best fit for what is left."""
+    rest, plan = demand.astype(np.int64), []
+    for counts, much in uses:
         has = counts > 0
         n = int(min(np.floor(share * much), (rest[has] // counts[has]).min()))
         if n > 0:
             rest[has] -= n * counts[has]
             plan.append((np.repeat(sizes, counts)[::-1].tolist(), n))
-    plan += best_fit_decreasing({int(s): int(r) for s, r in zip(sizes, rest) if r}, capacity)
-    return plan
+    return plan + best_fit_decreasing({int(s): int(r) for s, r in zip(sizes, rest) if r}, capacity)
 
 
 def _places(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int, int, int]]:

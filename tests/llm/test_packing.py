@@ -58,3 +58,19 @@ def test_plan_uses_every_piece_once():
             used[x] += n
     assert used == histogram
     assert sum(n for _, n in plan) <= 1.01 * -(-sum(k * v for k, v in histogram.items()) // 1024)
+
+
+def test_never_more_sequences_than_best_fit():
+    rng = np.random.default_rng(3)
+    for lengths in (rng.integers(1, 65, 3000), np.clip(rng.lognormal(2.5, 0.8, 4000).astype(int), 1, 64), rng.choice([21, 22, 31, 43], 1000)):
+        sizes, counts = np.unique(lengths, return_counts=True)
+        histogram = dict(zip(sizes.tolist(), counts.tolist()))
+        plan = S.plan_sequences(histogram, 64)
+        used = {}
+        for contents, n in plan:
+            assert sum(contents) <= 64
+            for size in contents:
+                used[size] = used.get(size, 0) + n
+        assert used == histogram
+        plain = S.best_fit_decreasing({k: v for k, v in histogram.items() if k < 64}, 64)
+        assert sum(n for _, n in plan) <= sum(n for _, n in plain) + histogram.get(64, 0)
