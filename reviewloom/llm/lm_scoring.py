@@ -51,6 +51,7 @@ FREQUENT = 65_536
 LONGEST_FREQUENT = 64
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CHUNK = 8_000_000
+_POSITIONS_AT_ONCE = 1 << 18
 _WORDS_AT_ONCE = 300_000
 
 
@@ -287,16 +288,23 @@ def _bucket(grams: np.ndarray, split: int) -> np.ndarray:
 
 def _strings_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different strings of a batch by bucket and number, the place of each position's string among them, and the first position of each text."""
-    parts = [grams_of(x, depth) for x in texts]
-    starts = np.cumsum([0, *map(len, parts)])[:-1]
-    whole = np.concatenate(parts)
-    del parts
-    grams, place = np.unique(whole, return_inverse=True)
+    starts = np.cumsum([0, *(len(x) + 1 for x in texts)])
+    whole = np.empty(starts[-1], dtype=np.int64)
+    for x, i, j in zip(texts, starts, starts[1:]):
+        whole[i:j] = grams_of(x, depth)
+    # piece by piece: numbers and places of the whole batch at once would take several times its memory
+    place, found = np.empty(len(whole), dtype=np.int32), []
+    for i in range(0, len(whole), _POSITIONS_AT_ONCE):
+        some, place[i : i + _POSITIONS_AT_ONCE] = np.unique(whole[i : i + _POSITIONS_AT_ONCE], return_inverse=True)
+        found.append(some)
     del whole
+    grams = np.unique(np.concatenate(found))
     order = np.argsort(_bucket(grams, min(SPLIT, depth)), kind="stable")
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
-    return grams[order], rank[place], starts
+    for i, some in zip(range(0, len(place), _POSITIONS_AT_ONCE), found):
+        place[i : i + _POSITIONS_AT_ONCE] = rank[np.searchsorted(grams, some)][place[i : i + _POSITIONS_AT_ONCE]]
+    return grams[order], place, starts[:-1]
 
 
 def _packed(numbers: np.ndarray) -> bytes:

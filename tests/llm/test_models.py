@@ -159,3 +159,13 @@ def test_toxicity_without_labels(frame, spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert {r["toxic"] for r in X.score_toxicity(frame([(1, "idiot"), (2, None)]), none).collect()} == {False}
     assert X.score_toxicity(frame([]), none).count() == 0
+
+
+def test_strings_of_a_batch_are_numbered_piece_by_piece(monkeypatch):
+    texts = [b"", b"abcabcabc", prose(1, 60).encode(), b"\x00\xff" * 40, prose(1, 60).encode()]
+    want = np.concatenate([L.grams_of(x, 5) for x in texts])
+    for step in (7, 1 << 18):
+        monkeypatch.setattr(L, "_POSITIONS_AT_ONCE", step)
+        grams, place, starts = L._strings_of(texts, 5)
+        assert (grams[place] == want).all() and len(set(grams.tolist())) == len(grams)
+        assert starts.tolist() == np.cumsum([0, *(len(x) + 1 for x in texts)])[:-1].tolist()
