@@ -149,10 +149,77 @@ def test_toxic_documents_are_found_and_clean_ones_left_alone(frame, spark):
     assert sum(out[i]["toxic"] for i in later if i % 3) <= 2 and not out[900]["toxic"] and not out[901]["toxic"]
 
 
-def test_chain_feeds_earlier_probabilities():
-    sample = [(i, f"{prose(i, 30)} {'idiot' if i % 2 else ''}", i % 2) for i in range(80)]
-    chain = X.train_chain(sample, features=64)
-    assert [len(w) for w in chain.weights] == [len(chain.columns) + 1 + k for k in range(len(X.CATEGORIES))]
+def test_features_count_words_and_stems():
+    text, want = "Idioten idiot IDIOT x1x idioti\nça idiot", set()
+    counts = collections.Counter(["idioten", "idiot", "idiot", "x", "x", "idioti", "ça", "idiot"])
+    names = collections.Counter()
+    for w, n in counts.items():
+        names[w] += n
+        for k in (4, 5, 6, 7):
+            if len(w) >= k:
+                names["^" + w[:k]] += n
+    for name, n in names.items():
+        want |= {(X.xxhash.xxh3_64_intdigest(name) & ~3) | k for k, least in enumerate((1, 2, 4, 8)) if n >= least}
+    assert X.Features()(text) == want
+    some = set(sorted(want)[::3])
+    assert X.Features(some)(text) == some and X.Features(some)("") == set()
+
+
+def test_telling_features_are_those_of_the_largest_chi_square(spark):
+    rng = np.random.default_rng(3)
+    x, y = rng.random((60, 25)) < np.linspace(0.02, 0.9, 25), rng.integers(0, 2, 60)
+    x[:, 24] |= y == 1
+    rows = [(int(b), [int(h) - 12 for h in np.flatnonzero(r)]) for r, b in zip(x, y)]
+    n, n1, scored = len(rows), int(y.sum()), []
+    for h in range(25):
+        k, bad = int(x[:, h].sum()), int(x[y == 1, h].sum())
+        if k > 1:
+            scored.append((-((bad - k * n1 / n) ** 2) * n / (k * n1 / n * (n - k) + 1e-9), h - 12))
+    got = X.telling_features(spark.createDataFrame(rows, "y int, features array<bigint>"), 8)
+    assert [h - (1 << 64) if h >> 63 else h for h in got] == [h for _, h in sorted(scored)[:8]]
+
+
+def test_chain_feeds_out_of_fold_probabilities():
+    rng = np.random.default_rng(5)
+    x, y = (rng.random((90, 40)) < 0.3).astype(np.float32), np.repeat([0, 1], 45)
+    x[45:60, 0], x[60:75, 1], x[75:, 2], x[:45, :3] = 1, 1, 1, 0
+    fold, columns = np.arange(90) % 4, {h: h for h in range(40)}
+    chain = X.train_chain(columns, x, y, fold)
+    kinds, inputs = np.concatenate([X.learn_kinds(x, y), y[:, None]], axis=1), x
+    assert not kinds[:45].any() and kinds[45:, : X.KINDS].any(axis=1).all()
+    for k, w in enumerate(chain.weights):
+        assert np.allclose(w, X.fit_linear(inputs, kinds[:, k]), atol=1e-5)
+        # the next link sees, for every row, a model of the other folds only
+        p = np.zeros(90, dtype=np.float32)
+        for f in range(4):
+            fitted = X.fit_linear(inputs[fold != f], kinds[fold != f, k])
+            p[fold == f] = 1 / (1 + np.exp(-(inputs[fold == f] @ fitted[:-1] + fitted[-1])))
+        inputs = np.concatenate([inputs, p[:, None]], axis=1)
+    # a document goes through the links one after the other
+    done = []
+    for w in chain.weights:
+        done.append(1 / (1 + math.exp(-float(np.append(x[70], done) @ w[:-1] + w[-1]))))
+    assert np.allclose(chain.probabilities([set(np.flatnonzero(x[70]).tolist())])[0], done, atol=1e-5)
+
+
+def test_kinds_are_clusters_of_features_that_stand_together():
+    x, y = np.zeros((60, 9), dtype=np.float32), np.repeat([1, 0], 30)
+    for i in range(30):
+        x[i, [3 * (i % 3), 3 * (i % 3) + 1 + i % 2]] = 1
+    labels = X.learn_kinds(x, y)
+    assert len({tuple(labels[i::3][:10, : X.KINDS].ravel()) for i in range(3)}) == 3 and (labels[:30, : X.KINDS].sum(axis=1) == 1).all()
+
+
+def test_toxicity_of_other_languages_repeated_ids_and_conflicting_labels(frame, spark):
+    rows = [(i, prose(i, 60) + (f" schmutz{'abcdef'[i % 6]} {prose(i + 1000, 5)} schmutz{'bcdefa'[i % 6]}" if i % 3 == 0 else "")) for i in range(240)] + [(0, "a"), (0, None), (None, "b")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(160)] + [(0, 0), (3, None), (None, 1), (5, 7)], "doc_id bigint, toxic int")
+    docs = frame(rows)
+    for name in ("id", "y", "bits", "features"):
+        docs = docs.withColumn(name, X.F.lit("x"))
+    out = X.score_toxicity(docs, labels).collect()
+    assert len(out) == len(rows) and all(0 <= r[f"p_{c}"] <= 1 for r in out for c in X.CATEGORIES)
+    hit = {r["doc_id"] for r in out if r["toxic"] and (r["doc_id"] or 0) >= 160}
+    assert hit == {i for i in range(160, 240) if i % 3 == 0}
 
 
 def test_toxicity_without_labels(frame, spark):
