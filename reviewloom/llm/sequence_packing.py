@@ -37,16 +37,40 @@ from reviewloom.session import Workspace
 SALTS = 256
 #: Shares of the configurations that are rounded to sequences; of equally good plans that of the earlier share is taken.
 SHARES = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0)
-#: Words seen by a worker are kept with their ids up to this number, then dropped all at once.
-_CACHE_WORDS = 320_000
+#: Pieces between spaces, and pre-tokens, that a worker keeps with their ids: up to these numbers, twice (see ``_Kept``).
+_CACHE_PIECES, _CACHE_WORDS = 320_000, 120_000
 #: The signs that every Unicode version and regular-expression engine splits alike; other texts are encoded whole.
 _PLAIN = r"[^\x00-\x1b\x20-\x84\x86-ȳ‐-‧]|<\|endoftext\|>"
 
 
 # --- token ids -------------------------------------------------------------------
 
-class _WordIds(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit bytes."""
+class _Kept(dict):
+    """Results of ``find`` by text. When ``most`` are held they become the older ones, of which those met again move up and the rest is dropped."""
+
+    def __init__(self, find: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.find, self.most, self.older = find, most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.find(text)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[text] = found
+        return found
+
+
+class _Encoder:
+    """Ids of texts as little-endian unsigned 32-bit bytes.
+
+    No pre-token reaches over a space before another sign, and what stands on one side
+    of such a space does not change the pre-tokens of the other. So a text is taken
+    apart at its spaces, and the ids of each part (with its space) are kept; texts with
+    a space before white space or at the end are split by the pre-tokenizer's pattern.
+    """
 
     def __init__(self, tokenizer_path: str):
         import re
@@ -55,22 +79,26 @@ class _WordIds(dict):
         import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.unusual = re.compile(_PLAIN).search
+        self.tokenize = self.tokenizer.model.tokenize
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.unusual, self.spaced = re.compile(_PLAIN).search, re.compile(r" (?:\s|$)").search
+        self.words = _Kept(self._word, _CACHE_WORDS)
+        self.pieces = _Kept(lambda x: self._part(" " + x), _CACHE_PIECES)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.unusual(x) else self.pieces(x) for x in texts]
-        if len(self) > _CACHE_WORDS:
-            self.clear()
-        tokenize, shown = self.tokenizer.model.tokenize, _BYTE_SIGNS
-        for w in {w for words in split if words for w in words if w not in self}:
-            self[w] = np.array([t.id for t in tokenize("".join([shown[b] for b in w.encode()]))], dtype="<u4").tobytes()
-        return [
-            np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() if words is None else b"".join(map(self.__getitem__, words))
-            for x, words in zip(texts, split)
-        ]
+    def _word(self, word: str) -> bytes:
+        return np.array([t.id for t in self.tokenize("".join([_BYTE_SIGNS[b] for b in word.encode()]))], dtype="<u4").tobytes()
+
+    def _part(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> bytes:
+        if self.unusual(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.spaced(text):
+            return self._part(text)
+        first, *rest = text.split(" ")
+        return self._part(first) + b"".join(map(self.pieces.__getitem__, rest))
 
 
 def _byte_signs() -> list[str]:
@@ -81,15 +109,15 @@ def _byte_signs() -> list[str]:
 
 
 _BYTE_SIGNS = _byte_signs()
-_ENCODERS: dict[str, _WordIds] = {}
+_ENCODERS: dict[str, _Encoder] = {}
 
 
-def _encoder(path: str) -> _WordIds:
+def _encoder(path: str) -> _Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _ENCODERS:
-        _ENCODERS[path] = _WordIds(path)
+        _ENCODERS[path] = _Encoder(path)
     return _ENCODERS[path]
 
 
@@ -114,7 +142,7 @@ def token_pieces(docs: DataFrame, *, id_col: str, text_col: str, tokenizer_path:
             for at in range(0, batch.num_rows, 512):  # bounds what is held at once
                 part = batch.slice(at, 512)
                 rows, numbers, starts, lengths, blobs = [], [], [], [], []
-                for i, blob in enumerate(encoder.encode([x or "" for x in part.column(1).to_pylist()])):
+                for i, blob in enumerate(encoder.encode(x or "") for x in part.column(1).to_pylist()):
                     blob, start = blob + end, 0
                     for k, n in enumerate(cut_lengths(len(blob) // 4, capacity)):
                         rows.append(i)

@@ -74,3 +74,21 @@ def test_never_more_sequences_than_best_fit():
         assert used == histogram
         plain = S.best_fit_decreasing({k: v for k, v in histogram.items() if k < 64}, 64)
         assert sum(n for _, n in plan) <= sum(n for _, n in plain) + histogram.get(64, 0)
+
+
+def test_ids_of_parts_between_spaces_are_those_of_the_tokenizer(monkeypatch):
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    signs = ["a", "é", "'s", "'", "re", "1", " ", " ", "\n", "\t", "\xa0", ".", "!!", "x'll", "ß", " ", "<|endoftext|>"]
+    texts = ["", " ", "  a", "a  ", *("".join(rng.choices(signs, k=rng.randrange(25))) for _ in range(3000))]
+    plain = Tokenizer.from_file(PATH)
+    want = [np.array(plain.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]
+    for most in (5, 1000):  # whatever is kept
+        monkeypatch.setattr(S, "_CACHE_PIECES", most)
+        monkeypatch.setattr(S, "_CACHE_WORDS", most)
+        encoder = S._Encoder(PATH)
+        assert [encoder.encode(x) for x in texts] == want
+        assert max(len(k) + len(k.older) for k in (encoder.words, encoder.pieces)) <= 2 * most
