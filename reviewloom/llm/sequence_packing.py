@@ -38,7 +38,7 @@ SALTS = 256
 #: Shares of the configurations that are rounded to sequences; of equally good plans that of the earlier share is taken.
 SHARES = (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0)
 #: Pieces between spaces, and pre-tokens, that a worker keeps with their ids: up to these numbers, twice (see ``_Kept``).
-_CACHE_PIECES, _CACHE_WORDS = 320_000, 120_000
+_CACHE_PIECES, _CACHE_WORDS = 640_000, 240_000
 #: The signs that every Unicode version and regular-expression engine splits alike; other texts are encoded whole.
 _PLAIN = r"[^\x00-\x1b\x20-\x84\x86-ȳ‐-‧]|<\|endoftext\|>"
 
