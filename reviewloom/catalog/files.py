@@ -105,10 +105,9 @@ def a05(spark, sf):
 def a05b(spark, sf):
     """One payload per file, with the file it came from."""
     root = _folder(spark, "payload-files")
-    rows = b.table(spark, sf, "supplier").select(F.to_json(F.struct(F.col("s_name").alias("name"))).alias("value"), F.col("s_suppkey").alias("p"))
-    rows.repartition("p").write.partitionBy("p").text(root)
-    files = readers.with_file_path(spark.read.text(f"{root}/*")).select(F.col("file_path").alias("path"))
-    read = readers.read_payloads(spark, f"{root}/*").join(files, "path")
+    rows = b.table(spark, sf, "supplier").select(F.to_json(F.struct(F.col("s_name").alias("name"))).alias("payload"), F.col("s_suppkey").alias("p"))
+    sinks.write_files(rows, root, "payload", "p")
+    read = readers.read_payloads(spark, root, below=True)
     return read.select(F.element_at(F.split("path", "/"), -2).alias("folder"), F.get_json_object("payload", "$.name").alias("name"))
 
 

@@ -74,6 +74,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Rows dealt over all cores by a key, for steps that cost much a row and little a byte.
+
+    The number of parts is given, since adaptive execution joins small parts again, and
+    a small file is a single split.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *key)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a frame used by several jobs once and read it back.
 

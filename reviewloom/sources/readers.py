@@ -130,18 +130,19 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, low: int,
     )
 
 
-def read_saved_pages(spark: SparkSession, pattern: str) -> DataFrame:
-    """Saved HTML files, one row per file."""
-    return spark.read.text(pattern, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("html")
-    )
+def read_saved_pages(spark: SparkSession, pattern: str, below: bool = False) -> DataFrame:
+    """Saved HTML files, one row per file; ``below`` reads all folders below the named one as well."""
+    return _whole_files(spark, pattern, below).select(F.col("file_path").alias("path"), F.col("value").alias("html"))
 
 
-def read_payloads(spark: SparkSession, pattern: str) -> DataFrame:
-    """Landed payload files, one JSON document per file, kept as text for the parsers."""
-    return spark.read.text(pattern, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
-    )
+def read_payloads(spark: SparkSession, pattern: str, below: bool = False) -> DataFrame:
+    """Landed payload files, one JSON document per file, kept as text for the parsers; ``below`` as for saved pages."""
+    return _whole_files(spark, pattern, below).select(F.col("file_path").alias("path"), F.col("value").alias("payload"))
+
+
+def _whole_files(spark: SparkSession, pattern: str, below: bool) -> DataFrame:
+    """Many folders are better named by the one above them: it is listed once, by tasks, where a glob makes each an input of its own."""
+    return with_file_path(spark.read.option("recursiveFileLookup", below).text(pattern, wholetext=True))
 
 
 def read_payload_lines(spark: SparkSession, pattern: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom import schemas
 from reviewloom.operators.packages import child_rows, vendor_summary
 from reviewloom.operators.upsert import INSERT_ONLY, OVERWRITE, upsert
+from reviewloom.session import spread
 
 
 def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -37,6 +38,16 @@ def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(folders[-1]) if folders else spark.createDataFrame([], schema)
 
 
+def write_files(df: DataFrame, path: str, text: str, key: str) -> None:
+    """A text file per row below a folder ``key=value`` of its own.
+
+    The cost is that of the files, not of the bytes: the rows are dealt over all tasks, however
+    small they are, and every task moves its own files in place (not the driver at the end).
+    """
+    rows = spread(df.select(F.col(text).alias("value"), key), key)
+    rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(key).text(path)
+
+
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     out = df.select(*columns) if columns else df
     out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

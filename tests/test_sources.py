@@ -102,3 +102,20 @@ def test_payload_files_know_their_path(spark, tmp_path):
     got = readers.read_payloads(spark, str(tmp_path / "*.json")).collect()
     assert sorted((r["path"][-6:], json.loads(r["payload"])["x"]) for r in got) == [("a.json", 1), ("b.json", 2)]
     assert readers.with_file_path(spark.read.text(str(tmp_path / "a.json"))).first()["file_path"].endswith("a.json")
+
+
+def test_a_file_per_row_is_written_by_many_tasks_and_read_from_the_folder_above(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id").alias("p"), F.concat(F.lit("page "), "id").alias("payload")).coalesce(1)
+    sinks.write_files(rows, str(tmp_path / "files"), "payload", "p")
+    got = readers.read_payloads(spark, str(tmp_path / "files"), below=True).collect()
+    assert sorted((r.path.split("/")[-2], r.payload) for r in got) == sorted((f"p={i}", f"page {i}\n") for i in range(40))
+    assert len({r.path.split("/")[-1].split("-")[1] for r in got}) > 1  # the number of the task that wrote it
+
+
+def test_payload_files_are_listed_once_from_one_folder(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["a05_payload_files"](spark, entry.ENTRY_DIR)
+    files = df.inputFiles()
+    assert len(files) == len({f.split("/")[-2] for f in files}) == df.count()  # each file is read once
+    assert len({f.split("/")[-1].split("-")[1] for f in files}) > 1
