@@ -96,8 +96,8 @@ def a04(spark, sf):
 @query("a05_saved_pages", "SELECT md5(html) AS digest, length(html) AS n FROM pages")
 def a05(spark, sf):
     root = _folder(spark, "html")
-    b.table(spark, sf, "pages").select("html", F.col("page_id").alias("p")).repartition("p").write.partitionBy("p").text(root)
-    pages = readers.read_saved_pages(spark, f"{root}/*").withColumn("html", F.regexp_replace("html", "\n$", ""))
+    sinks.write_files(b.table(spark, sf, "pages"), root, "html", "page_id", folders=False)
+    pages = readers.read_saved_pages(spark, root).withColumn("html", F.regexp_replace("html", "\n$", ""))
     return pages.select(F.md5("html").alias("digest"), F.length("html").cast("bigint").alias("n"))
 
 

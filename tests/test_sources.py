@@ -119,3 +119,12 @@ def test_payload_files_are_listed_once_from_one_folder(spark):
     files = df.inputFiles()
     assert len(files) == len({f.split("/")[-2] for f in files}) == df.count()  # each file is read once
     assert len({f.split("/")[-1].split("-")[1] for f in files}) > 1
+
+
+def test_saved_pages_lie_in_one_folder_written_by_many_tasks(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["a05_saved_pages"](spark, entry.ENTRY_DIR)
+    files = df.inputFiles()
+    assert len({f.rsplit("/", 1)[0] for f in files}) == 1 and len(files) == df.count()
+    assert len({f.split("/")[-1].split("-")[1] for f in files}) > 1
