@@ -10,6 +10,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +35,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def pages_of(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are made into pages or payloads, which are long and costly to read: dealt by key while they are short."""
+    return spread(table(spark, sf, name), key)
+
+
 # ---- vendors --------------------------------------------------------------
 # customer in the role of vendors, nation as state, region as marketplace
 

@@ -366,7 +366,7 @@ _NESTED = """concat('<html><head><title>', {name}, ' &amp; more</title><script>d
 
 def _nested(spark, sf):
     html = F.expr(_NESTED.format(name="p_name", brand="p_brand", size="CAST(p_size AS STRING)", type="p_type"))
-    return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return b.pages_of(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 
 
 _FIRST_ITEM = "concat('In and out $', CAST(p_size AS VARCHAR), ' ', p_type, ' <', p_brand, '>')"

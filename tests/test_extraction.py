@@ -154,3 +154,15 @@ def test_nothing_is_cut_unless_asked(spark):
     assert mk.endpoint_urls(pages).count() == 30 and mk.class_frequency(pages).count() == 30
     df = spark.createDataFrame([("m2", "1", "N", long)], "source STRING, vendor_id STRING, name STRING, description STRING")
     assert pl.unified_vendor(df, {"m2": ["vendor_id"]}, "c", 7).first()["description"] == long
+
+
+def _parts(df):
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_pages_of_a_small_table_are_read_by_many_tasks(spark):
+    from reviewloom.catalog import extraction as ex
+
+    sf = "/root/testdata/sf0.001"
+    for pages in (ex._nested,):
+        assert _parts(pages(spark, sf)) > 1
