@@ -327,7 +327,7 @@ def _shop(spark, sf):
     html = F.expr(_SHOP.format(id="CAST(p_partkey AS STRING)", name="p_name", brand="p_brand", size="CAST(p_size + 100 AS STRING)", type="p_type"))
     url = F.expr("""CASE WHEN p_size > 40 THEN concat('https://m.test/marketplace/', p_partkey, '--9?x=1') WHEN p_size > 30 THEN 'https://m.test/marketplace/djs-austin'
       ELSE 'https://m.test/other' END""")
-    return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"))
+    return b.pages_of(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
 _CARDS = "concat('Basic ', p_brand, ' $1,', CAST(p_size + 100 AS VARCHAR), ' ', p_type)"
