@@ -128,7 +128,7 @@ def _next(spark, sf):
       'searchResults', named_struct('vendors', CASE WHEN p_size > 5 THEN array({vendor("'a'", 'p_name')}, {vendor("'b'", 'p_brand')}) END),
       'vendorSearchData', named_struct('vendorSearch', named_struct('vendors', array({vendor("'b'", "'late'")}, {vendor("''", "'by slug'")}))),
       'adjacentVendors', array({vendor("'c'", 'p_type')}, {vendor("'a'", "'later'")})))))""")
-    return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), payload.alias("payload"))
+    return b.pages_of(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("page_id"), payload.alias("payload"))
 
 
 _NEXT_PRICE = "CASE WHEN p_size > 30 THEN p_size * 1e0 WHEN p_size > 20 THEN p_size * 2e0 ELSE p_size / 10e0 END"
