@@ -15,6 +15,7 @@ from reviewloom.catalog.bindings import query, with_ctes
 from reviewloom.functions import markup as mk
 from reviewloom.functions import payloads as pl
 from reviewloom.functions import review_text as rt
+from reviewloom.session import spread
 
 # ---- JSON-LD --------------------------------------------------------------
 
@@ -33,7 +34,7 @@ def _ld_pages(spark, sf):
         F.lit('<script type="application/json">{"other":1}</script>')
     )
     html = F.concat(F.lit("<html>"), block(item), block(F.lit("{broken")), block(offer), state, listing, F.lit("</html>"))
-    return b.table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return b.pages_of(spark, sf, "part", "p_partkey").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 
 
 @query("b01_json_ld_vendors", """SELECT p_partkey AS page_id, 0 AS position, p_name AS name, p_size / 10e0 AS star_rating, CAST(p_size AS BIGINT) AS review_count,
@@ -72,7 +73,7 @@ def b04(spark, sf):
       'name', name, 'location', named_struct('city', city, 'state', state), 'reviewsCount', CASE WHEN id > 700 THEN review_count END,
       'reviewSummary', named_struct('count', review_count, 'overallRating', star_rating), 'stars', CASE WHEN id > 700 THEN star_rating ELSE 0 END,
       'siteUrls', CASE WHEN source_url <> '' THEN array(named_struct('uri', source_url)) END)))))""")
-    pages = b.vendors(spark, sf).select("id", payload.alias("payload"))
+    pages = spread(b.vendors(spark, sf), "id").select("id", payload.alias("payload"))
     return pl.listing_vendors(pages, "payload", "https://m.test/", "id").select(
         "id", "vendor_id", "name", "city", "state", "review_count", "star_rating", "source_url"
     )
@@ -94,7 +95,7 @@ _DETAIL = """named_struct('id', CAST(id AS STRING), 'vendorId', source_vendor_id
 def _detail(spark, sf):
     raw, plain = _DETAIL.format(name="CASE WHEN id > 300 THEN name ELSE '' END"), _DETAIL.format(name="concat('plain ', name)")
     payload = F.expr(f"to_json(named_struct('vendor', named_struct('vendorRaw', {raw}, 'vendor', {plain})))")
-    return pl.detail_vendors(b.vendors(spark, sf).select("id", payload.alias("payload")), "payload", "id")
+    return pl.detail_vendors(spread(b.vendors(spark, sf), "id").select("id", payload.alias("payload")), "payload", "id")
 
 
 @query("b05_detail_vendors", with_ctes("""SELECT id, source_vendor_id AS vendor_id, CASE WHEN id > 300 THEN name ELSE concat('plain ', name) END AS name,
@@ -113,7 +114,7 @@ def b05(spark, sf):
 def b06(spark, sf):
     payload = F.expr("""to_json(named_struct('search', named_struct('vendors', array(named_struct('id', CAST(id AS STRING), 'name', name, 'reviewsCount', review_count,
       'stars', star_rating, 'reviewSummary', named_struct('count', 7, 'overallRating', 1.0))))))""")
-    pages = b.vendors(spark, sf).select("id", payload.alias("payload"))
+    pages = spread(b.vendors(spark, sf), "id").select("id", payload.alias("payload"))
     return pl.listing_vendors(pages, "payload", "", "id").select("id", "review_count", "star_rating")
 
 

@@ -164,5 +164,5 @@ def test_pages_of_a_small_table_are_read_by_many_tasks(spark):
     from reviewloom.catalog import extraction as ex
 
     sf = "/root/testdata/sf0.001"
-    for pages in (ex._nested, ex._shop, ex._next):
+    for pages in (ex._nested, ex._shop, ex._next, ex._detail, ex._ld_pages):
         assert _parts(pages(spark, sf)) > 1
