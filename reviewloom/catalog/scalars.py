@@ -238,7 +238,8 @@ def m02(spark, sf):
 
     register(spark)
     answered = F.when(F.col("id") % 3 == 0, F.concat(F.lit("Hi Ann, thank you for your kind words. "), "review_text")).otherwise(F.col("review_text"))
-    return b.texts(spark, sf).withColumn("review_text", answered).selectExpr(
-        "id", "array_join(review_topics(review_text), ',') AS topics", "review_sentiment(review_text, rating) AS sentiment",
+    found = b.texts(spark, sf).withColumn("review_text", answered).withColumn("found", F.expr("review_evidence(lower(coalesce(review_text, '')))"))
+    return found.selectExpr(
+        "id", "array_join(found.topics, ',') AS topics", "polarity_sentiment(found.pos - found.neg, rating) AS sentiment",
         "vendor_reply(review_text) AS reply", "price_tier('DJ', rating, NULL) AS tier", "parse_price(review_text) AS price",
     )

@@ -1,7 +1,9 @@
 """SQL-callable forms of the scalar operators, as temporary functions.
 
 ``review_evidence`` is the one-scan lexicon matcher; the others are plain SQL
-expressions that Catalyst inlines.
+expressions that Catalyst inlines. Each function of a text that needs the matcher
+has it run anew, in workers of its own: a query that wants several facts takes the
+evidence once, as a column, and ``polarity_sentiment`` of it.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ def definitions() -> dict[str, str]:
     return {
         "review_topics": f"(t STRING) RETURNS ARRAY<STRING> RETURN {evidence}.topics",
         "review_polarity": f"(t STRING) RETURNS INT RETURN {evidence}.pos - {evidence}.neg",
-        "review_sentiment": "(t STRING, r DOUBLE) RETURNS STRING RETURN "
-                            f"CASE sign({signal} + review_polarity(t)) WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
+        "polarity_sentiment": "(p INT, r DOUBLE) RETURNS STRING RETURN "
+                              f"CASE sign({signal} + p) WHEN 1 THEN 'positive' WHEN -1 THEN 'negative' ELSE 'neutral' END",
+        "review_sentiment": "(t STRING, r DOUBLE) RETURNS STRING RETURN polarity_sentiment(review_polarity(t), r)",
         "vendor_reply_low": f"(t STRING) RETURNS BOOLEAN RETURN {_any('t', lx.REPLY_PHRASES)} OR "
                             f"(({' OR '.join(f'startswith(t, {_lit(g)})' for g in lx.REPLY_GREETINGS)}) AND "
                             f"{_any('left(t, 150)', lx.REPLY_COURTESIES)})",

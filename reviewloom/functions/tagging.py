@@ -81,9 +81,9 @@ def lexicon_udf(topics: Mapping[str, Sequence[str]], positive: Sequence[str], ne
         find = _word_finder(list(meaning))
         for batch in batches:
             topic_rows, pos_rows, neg_rows = [], [], []
-            for text in batch.to_pylist():
+            for value in batch:  # one by one: the texts of a batch are not held a second time
                 found, pos, neg = set(), 0, 0
-                for word in find(text or ""):
+                for word in find(value.as_py() or ""):
                     numbers, p, n = meaning[word]
                     found |= numbers
                     pos += p

@@ -113,3 +113,33 @@ def test_lexicon_is_a_parameter(tmp_path):
 def test_plan_has_no_shuffle_by_key(reviews):
     text = plan.tag_and_repair(reviews)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in text
+
+
+def test_sql_functions_run_the_matcher_once(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["m02_sql_functions"](spark, entry.ENTRY_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_sql_functions_of_a_text_and_of_its_evidence_agree(spark):
+    from reviewloom.functions.sql_functions import register
+
+    register(spark)
+    rows = spark.createDataFrame([("great work, so professional", 4.0), ("terrible and late", 1.0), (None, None)], "t STRING, r DOUBLE")
+    both = rows.selectExpr("review_sentiment(t, r) AS a", "review_topics(t) AS x", "review_evidence(lower(coalesce(t, ''))) AS e", "r").selectExpr(
+        "a", "polarity_sentiment(e.pos - e.neg, r) AS b", "x", "e.topics AS y").collect()
+    assert all(r.a == r.b and r.x == r.y for r in both) and [r.a for r in both] == ["positive", "negative", "neutral"]
+
+
+def test_matcher_holds_the_texts_of_a_batch_once(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = pa.array(["fun " + "x" * 100_000] * 100)
+    tracemalloc.start()
+    found = list(tg.lexicon_udf({"experience": ["fun"]}, ["fun"], []).func(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0].to_pylist() == [{"topics": ["experience"], "pos": 1, "neg": 0}] * 100 and peak < 5_000_000
