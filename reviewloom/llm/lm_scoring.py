@@ -317,8 +317,24 @@ def _unpacked(data: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).ravel()
 
 
+def _squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", 1).compress(data, asbytes=True) if data else b""
+
+
+def _texts_of(sizes: list[int], together: list[bytes | None]) -> list[bytes]:
+    """Texts in the order of their keys: the first row of some holds them all, compressed, and every row its length."""
+    starts, out = [i for i, x in enumerate(together) if x is not None], []
+    for i, j in zip(starts, [*starts[1:], len(sizes)]):
+        total, at = sum(sizes[i:j]), 0
+        data = pa.Codec("zstd").decompress(together[i], total, asbytes=True) if total else b""
+        for size in sizes[i:j]:
+            out.append(data[at : at + size])
+            at += size
+    return out
+
+
 def _batches(texts: DataFrame, depth: int) -> DataFrame:
-    """Rows of two kinds: texts (key, id, text) and the strings of a batch by bucket (bucket, size, grams, n: how often training texts have each)."""
+    """Rows of two kinds: texts (key, id, size; text: those of up to 256 rows, compressed, in the first of them) and the strings of a batch by bucket (bucket, size, grams, n: how often training texts have each)."""
     schema = T.StructType([
         T.StructField("batch", T.LongType()), T.StructField("key", T.LongType()), T.StructField("id", texts.schema["id"].dataType), T.StructField("text", T.BinaryType()),
         T.StructField("bucket", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("grams", T.BinaryType()), T.StructField("n", T.BinaryType())])
@@ -337,8 +353,8 @@ def _batches(texts: DataFrame, depth: int) -> DataFrame:
             ids, at = pa.concat_arrays([part.column(0) for part in held]), key - len(data)
             for k in range(0, len(data), 256):
                 some = data[k : k + 256]
-                none = pa.nulls(len(some), pa.binary())
-                yield rows(pa.array([batch] * len(some), pa.int64()), pa.array(range(at + k, at + k + len(some)), pa.int64()), ids.slice(k, len(some)), pa.array(some, pa.binary()), pa.nulls(len(some), pa.int32()), pa.nulls(len(some), pa.int32()), none, none)
+                none, together = pa.nulls(len(some), pa.binary()), pa.array([_squeezed(b"".join(some)), *[None] * (len(some) - 1)], pa.binary())
+                yield rows(pa.array([batch] * len(some), pa.int64()), pa.array(range(at + k, at + k + len(some)), pa.int64()), ids.slice(k, len(some)), together, pa.nulls(len(some), pa.int32()), pa.array([len(x) for x in some], pa.int32()), none, none)
             grams, place, starts = _strings_of(data, depth)
             n = np.bincount(place, np.repeat(learnt, np.diff(np.append(starts, len(place)))), len(grams)).astype(np.int64)
             bucket = _bucket(grams, min(SPLIT, depth))
@@ -501,7 +517,8 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("rare_n", T.ArrayType(T.IntegerType()))])
 
     def run(texts: pa.Table, logs: pa.Table) -> pa.Table:
-        data = [x.as_py() for x in texts.column("text")]
+        texts = texts.sort_by("key")
+        data = _texts_of(texts.column("size").to_pylist(), texts.column("text").to_pylist())
         _, place, starts = _strings_of(data, depth)
         order = np.argsort(logs.column("bucket").to_numpy())
         values = [x.as_py() for x in logs.column("logs")]
@@ -520,7 +537,7 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             [texts.column("key"), texts.column("id"), *[pa.array(c, pa.int64()) for c in out[:3]], *[pa.array(c, pa.float64()) for c in out[3:5]],
              pa.array(out[5], pa.list_(pa.binary())), pa.array(out[6], pa.list_(pa.int32()))], names=[f.name for f in schema.fields])
 
-    whole = dealt.where("bucket is null").select("batch", "key", "id", "text")
+    whole = dealt.where("bucket is null").select("batch", "key", "id", "size", "text")
     scored = space.write(whole.groupBy("batch").cogroup(logs.groupBy("batch")).applyInArrow(run, schema), "scored")
     space.drop("batches")
     rare = scored.select("key", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("key", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("m"))

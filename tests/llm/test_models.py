@@ -236,3 +236,12 @@ def test_strings_of_a_batch_are_numbered_piece_by_piece(monkeypatch):
         grams, place, starts = L._strings_of(texts, 5)
         assert (grams[place] == want).all() and len(set(grams.tolist())) == len(grams)
         assert starts.tolist() == np.cumsum([0, *(len(x) + 1 for x in texts)])[:-1].tolist()
+
+
+def test_texts_of_a_batch_travel_compressed(spark):
+    texts = ["abc" * 1000, None, "", "é tail"] * 100
+    rows = L._batches(spark.createDataFrame([(i, t, True) for i, t in enumerate(texts)], "id long, text string, learnt boolean").coalesce(1), 5).where("bucket is null").collect()
+    rows.sort(key=lambda r: r["key"])
+    assert [r["id"] for r in rows] == list(range(len(texts)))
+    assert sum(len(r["text"] or b"") for r in rows) < sum(len(t or "") for t in texts) / 5
+    assert L._texts_of([r["size"] for r in rows], [r["text"] for r in rows]) == [(t or "").encode() for t in texts]
