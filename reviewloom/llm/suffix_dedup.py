@@ -282,11 +282,13 @@ def repeated_spans(docs: DataFrame, space: Workspace, *, text_col: str = "text",
     anchors = space.write(_anchor_rows(texts, length, gram), "anchors")
     # met in two places, where the same place of equal texts is one
     place = F.xxhash64("h", "pos")
-    repeated = anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("anchor")
-    places = anchors.join(repeated.hint("shuffle_merge"), "anchor").groupBy("h").agg(F.collect_set(F.struct("pos", "anchor")).alias("places"))
+    repeated = space.write(anchors.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("anchor"), "repeated")
+    # a table each, so that the shuffles of the anchors are gone before that of the texts
+    places = space.write(anchors.join(repeated.hint("shuffle_merge"), "anchor").groupBy("h").agg(F.collect_set(F.struct("pos", "anchor")).alias("places")), "places")
+    space.drop("anchors", "repeated")
     met = places.hint("shuffle_merge").join(texts, "h").select("h", "data", "places").dropDuplicates(["h"])
     found = space.write(met, "found")
-    space.drop("anchors")
+    space.drop("places")
     cuts = space.write(_cuts(found, length, gram, whole=False), "cuts")
     distinct = _cuts(found, length, gram, whole=True).groupBy("anchor", "cut", "shift", "bytes").agg(F.count("*").alias("n"))
     crowded = space.write(cuts.groupBy("anchor", "cut").agg(F.count("*").alias("k")).groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > most).select("anchor"), "crowded")

@@ -84,6 +84,10 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *key)
 
 
+# Shuffle files of a job are removed when it ends, by Spark itself (4.1 and later).
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a frame used by several jobs once and read it back.
 
@@ -108,11 +112,17 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str = "table") -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """Write a table and read it back. The shuffle files of the job go with its end: nothing reads them again, and a collection may come late."""
+        before = self.spark.conf.get(_REMOVE_SHUFFLES, "false")
+        self.spark.conf.set(_REMOVE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(_REMOVE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        """Delete tables, and let Spark remove the shuffle files of finished jobs, which it does when their objects are collected."""
+        """Delete tables, and let Spark remove the shuffle files of jobs that were not written here, which it does when their objects are collected."""
         for name in names:
             self._delete(self.path(name))
         self.spark.sparkContext._jvm.System.gc()

@@ -65,3 +65,18 @@ def test_segments_find_the_same_anchors(monkeypatch):
     monkeypatch.setattr(S, "_SEGMENT", 1500)
     parts = S.anchors_of(data, 200, 80)
     assert whole[0].tolist() == parts[0].tolist()
+
+
+def test_anchors_are_gone_before_texts_are_shuffled(frame, monkeypatch):
+    import os
+
+    held, write = {}, S.Workspace.write
+
+    def spy(self, df, name="table"):
+        held[name] = set(os.listdir(self.root.removeprefix("file:"))) if os.path.exists(self.root.removeprefix("file:")) else set()
+        return write(self, df, name)
+
+    monkeypatch.setattr(S.Workspace, "write", spy)
+    S.removal(frame(list(enumerate(texts())))).collect()
+    assert held["found"] == {"places"}
+    assert held["cuts"] == {"found"}

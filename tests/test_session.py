@@ -32,6 +32,28 @@ def test_workspace_drops_its_tables(spark):
     assert not os.path.exists(space.root.removeprefix("file:"))
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from reviewloom import Workspace
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in found.mkString("\n").split("\n") if "shuffle_" in x}
+
+    space, before, key = Workspace(spark, "test"), files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    counts = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    table = space.write(counts.join(spark.range(50).toDF("k").hint("shuffle_merge"), "k"))
+    until = time.time() + 10  # Spark removes them beside other work
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 50 and spark.conf.get(key) == was
+
+
 def test_a_cluster_needs_the_shared_folder():
     import pytest
 
